@@ -29,5 +29,6 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules fills the registries
     from quayside.workloads import (  # noqa: F401
+        w_clean,
         w_risk,
     )
