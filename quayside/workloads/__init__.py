@@ -30,5 +30,6 @@ def load_all() -> None:
     # importing the modules fills the registries
     from quayside.workloads import (  # noqa: F401
         w_clean,
+        w_keys_cdc,
         w_risk,
     )
