@@ -31,5 +31,7 @@ def load_all() -> None:
     from quayside.workloads import (  # noqa: F401
         w_clean,
         w_keys_cdc,
+        w_messages,
+        w_parse,
         w_risk,
     )
