@@ -36,73 +36,96 @@ def latest_changes(changes: DataFrame, keys: list[str], seq: list[str] | str) ->
     return dedupe(changes, keys, order=seq, keep="last")
 
 
+DELETED = "_deleted"
+
+
 def _merge_rows(target: DataFrame, latest: DataFrame, keys: list[str], value_cols: list[str],
-                op: str, seq: str, mode: str, broadcast_ok: bool) -> DataFrame:
+                op: str, seq: str, mode: str, broadcast_ok: bool, tombstones: bool) -> DataFrame:
+    seq_type = latest.schema[seq].dataType
     c = latest.select(*keys, *[F.col(v).alias(f"_c_{v}") for v in value_cols],
                       F.col(op).alias("_c_op"), F.col(seq).alias("_c_seq"))
     t = target.select(*keys, *[F.col(v).alias(f"_t_{v}") for v in value_cols],
-                      (F.col(seq) if seq in target.columns else F.lit(None).cast(latest.schema[seq].dataType))
-                      .alias("_t_seq"), F.lit(True).alias("_t_present"))
+                      (F.col(seq) if seq in target.columns else F.lit(None).cast(seq_type)).alias("_t_seq"),
+                      (F.col(DELETED) if DELETED in target.columns else F.lit(False)).alias("_t_deleted"),
+                      F.lit(True).alias("_t_present"))
     if broadcast_ok:
         b = F.broadcast(c)
-        # target rows with their change (or none): target streams, no shuffle
+        # target rows with their change (or none): the target streams, no shuffle
         left = t.join(b, keys, "left")
         matched_keys = t.select(*keys).join(F.broadcast(c.select(*keys)), keys, "left_semi")
         inserts = c.join(F.broadcast(matched_keys), keys, "left_anti")
         for v in value_cols:
             inserts = inserts.withColumn(f"_t_{v}", F.lit(None).cast(target.schema[v].dataType))
-        inserts = inserts.withColumn("_t_seq", F.lit(None).cast(latest.schema[seq].dataType)) \
-            .withColumn("_t_present", F.lit(False))
-        both = left.withColumn("_t_present", F.lit(True)).unionByName(inserts)
+        inserts = (inserts.withColumn("_t_seq", F.lit(None).cast(seq_type))
+                   .withColumn("_t_deleted", F.lit(False)).withColumn("_t_present", F.lit(False)))
+        both = left.unionByName(inserts)
     else:
         both = t.join(c, keys, "full_outer").withColumn("_t_present", F.coalesce("_t_present", F.lit(False)))
 
     has_change = F.col("_c_op").isNotNull()
     present = F.col("_t_present")
-    newer = F.col("_t_seq").isNull() | (F.col("_c_seq") > F.col("_t_seq"))
+    live = present & ~F.coalesce(F.col("_t_deleted"), F.lit(False))
+    newer = has_change & (F.col("_t_seq").isNull() | (F.col("_c_seq") > F.col("_t_seq")))
+    is_delete = F.col("_c_op") == OP_DELETE
     if mode == "upsert":
-        take_change = has_change & newer & (F.col("_c_op") != OP_DELETE)
-        drop = has_change & newer & (F.col("_c_op") == OP_DELETE)
+        write = newer & ~is_delete
+        delete = newer & is_delete
     elif mode == "strict":
         # MERGE rules: matched+d delete, matched+u update, not matched+c/r insert;
         # everything else leaves the target as it is
-        take_change = has_change & newer & (
-            (present & (F.col("_c_op") == OP_UPDATE)) | (~present & F.col("_c_op").isin(*INSERT_OPS)))
-        drop = has_change & newer & present & (F.col("_c_op") == OP_DELETE)
+        write = newer & ((live & (F.col("_c_op") == OP_UPDATE)) | (~live & F.col("_c_op").isin(*INSERT_OPS)))
+        delete = newer & live & is_delete
     else:
         raise ValueError("mode must be 'upsert' or 'strict'")
-    keep_target = ~take_change & ~drop & present
-    out = both.filter(take_change | keep_target)
+    keep = ~write & ~delete & present
+    out = both.filter(write | keep | delete) if tombstones else both.filter(write | keep)
 
     def pick(v: str) -> Column:
-        return F.when(take_change, F.col(f"_c_{v}")).otherwise(F.col(f"_t_{v}"))
+        return (F.when(write, F.col(f"_c_{v}"))
+                .when(delete, F.lit(None).cast(target.schema[v].dataType if v in target.columns
+                                               else latest.schema[v].dataType))
+                .otherwise(F.col(f"_t_{v}")))
 
     cols = [F.col(k) for k in keys] + [pick(v).alias(v) for v in value_cols]
-    cols.append(F.when(take_change, F.col("_c_seq")).otherwise(F.col("_t_seq")).alias(seq))
+    cols.append(F.when(write | delete, F.col("_c_seq")).otherwise(F.col("_t_seq")).alias(seq))
+    if tombstones:
+        cols.append(F.when(write, F.lit(False)).when(delete, F.lit(True))
+                    .otherwise(F.coalesce(F.col("_t_deleted"), F.lit(False))).alias(DELETED))
     return out.select(*cols)
 
 
 def apply_changes(target: DataFrame | None, changes: DataFrame, keys: list[str], *,
                   op: str = "op", seq: str = "seq", value_cols: list[str] | None = None,
-                  mode: str = "upsert", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  mode: str = "upsert", tombstones: bool = False,
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   broadcast_changes: bool | None = None) -> DataFrame:
     """Fold ``changes`` into ``target``; returns the new target.
 
     The target keeps ``seq`` of the change that produced each row, so a
     replayed or late change (sequence not newer) is ignored.
+    ``tombstones=True`` keeps deleted keys as rows flagged ``_deleted`` (with
+    the delete's sequence), so a late change cannot resurrect a deleted row
+    and batches may arrive in any order; read with :func:`live_rows`.
 
     ``mode="upsert"``: create/read/update all write the row, delete removes it.
     ``mode="strict"``: the warehouse MERGE rules (update needs an existing row,
     insert needs a missing one).
     """
     value_cols = value_cols or [c for c in changes.columns if c not in keys + [op, seq]]
-    latest = latest_changes(changes, keys, seq)
+    latest = latest_changes(changes.select(*keys, *value_cols, op, seq), keys, seq)
     if target is None:
         spark = changes.sparkSession
         schema = latest.select(*keys, *value_cols, seq).schema
         target = spark.createDataFrame([], schema)
     ok = row_count_at_most(latest, max_broadcast_rows) if broadcast_changes is None else broadcast_changes
-    return _merge_rows(target, latest, keys, value_cols, op, seq, mode, ok)
+    return _merge_rows(target, latest, keys, value_cols, op, seq, mode, ok, tombstones)
+
+
+def live_rows(state: DataFrame) -> DataFrame:
+    """Rows of a tombstoned state table that are not deleted."""
+    if DELETED not in state.columns:
+        return state
+    return state.filter(~F.col(DELETED)).drop(DELETED)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:

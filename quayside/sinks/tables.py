@@ -27,7 +27,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_marker(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _jvm_path(spark, path)
     tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(tmp, True)
@@ -38,7 +38,7 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def read_marker(spark: SparkSession, path: str) -> str | None:
     fs, p = _jvm_path(spark, path)
     if not fs.exists(p):
         return None
@@ -51,7 +51,7 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
-    text = _read_text(spark, f"{base.rstrip('/')}/{_POINTER}")
+    text = read_marker(spark, f"{base.rstrip('/')}/{_POINTER}")
     return int(text.strip()) if text else None
 
 
@@ -63,7 +63,7 @@ def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{base.rstrip('/')}/v={version}")
-    _write_text(spark, f"{base.rstrip('/')}/{_POINTER}", str(version))
+    write_marker(spark, f"{base.rstrip('/')}/{_POINTER}", str(version))
     return version
 
 

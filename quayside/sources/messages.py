@@ -37,13 +37,19 @@ CHANGE_SCHEMA = T.StructType([
 ])
 
 
+# Time stamps in messages keep microseconds
+JSON_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, options: dict | None = None) -> DataFrame:
     """Parse ``value_col`` (string or binary) into top-level columns plus a
     ``_malformed`` flag (unparsable text or a NULL message)."""
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     text = F.col(value_col).cast("string")
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIME_OPTIONS, **(options or {})}
+    parsed = F.from_json(text, with_corrupt, opts)
     out = df.select(*(keep or []), text.alias("_text"), parsed.alias("_m"))
     malformed = F.col("_text").isNull() | F.col(f"_m.{CORRUPT}").isNotNull() | F.col("_m").isNull()
     return out.select(*(keep or []), *[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields],

@@ -34,4 +34,5 @@ def load_all() -> None:
         w_messages,
         w_parse,
         w_risk,
+        w_stream,
     )
