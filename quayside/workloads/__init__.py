@@ -32,6 +32,7 @@ def load_all() -> None:
         w_clean,
         w_keys_cdc,
         w_messages,
+        w_model,
         w_parse,
         w_risk,
         w_stream,
