@@ -65,8 +65,10 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     dlat = p2 - p1
     dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
-    # least() guards asin against a rounding overshoot above 1.0
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
+    # clamp a rounding overshoot above 1.0 for asin; unlike least(), when()
+    # keeps a NULL input NULL
+    root = F.sqrt(a)
+    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))
 
 
 def impact_level(distance_km, radius_km) -> Column:
