@@ -4,10 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension we are willing to ship to every executor. Rows, not bytes: the
-# callers project to a handful of narrow columns before asking.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Upper bounds for shipping a table to every executor. The row cap is
+# derived from the byte budget and the projected row width, so a wide table
+# gets a lower cap; callers project to the columns they need first.
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+_STRING_GUESS = 32  # bytes assumed per string value
+
+
+def _width(dt: T.DataType) -> int:
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(dt, T.DecimalType):
+        return 16
+    if isinstance(dt, T.StructType):
+        return sum(_width(f.dataType) for f in dt.fields)
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return 8 * _STRING_GUESS
+    return _STRING_GUESS
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Rough in-memory width of one row (8 bytes of row overhead)."""
+    return 8 + sum(_width(f.dataType) for f in df.schema.fields)
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -19,14 +46,21 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def broadcast_cap(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
+    return max(1, min(max_rows, max_bytes // estimated_row_bytes(df)))
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                         decision: bool | None = None) -> tuple[DataFrame, bool]:
+                         decision: bool | None = None,
+                         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(df_or_hinted_df, broadcasted)``.
 
-    ``decision`` lets a caller reuse an earlier check (e.g. once per stream
-    rather than per micro-batch). When the side is too big no hint is added;
-    the join then shuffles, and AQE may still pick a broadcast from the
-    measured shuffle size.
+    The table is hinted for broadcast only when a counting job proves it has
+    at most ``min(max_rows, max_bytes / row width)`` rows. ``decision`` lets a
+    caller reuse an earlier check (e.g. once per stream rather than per
+    micro-batch). When the side is too big no hint is added; the join then
+    shuffles, and AQE may still pick a broadcast from the measured size.
     """
-    ok = row_count_at_most(df, max_rows) if decision is None else decision
+    ok = row_count_at_most(df, broadcast_cap(df, max_rows, max_bytes)) if decision is None else decision
     return (F.broadcast(df) if ok else df), ok

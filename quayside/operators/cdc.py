@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_cap, row_count_at_most
 from quayside.operators.dedupe import dedupe
 
 # Change operation codes
@@ -117,7 +117,8 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, keys: list[str],
         spark = changes.sparkSession
         schema = latest.select(*keys, *value_cols, seq).schema
         target = spark.createDataFrame([], schema)
-    ok = row_count_at_most(latest, max_broadcast_rows) if broadcast_changes is None else broadcast_changes
+    ok = (row_count_at_most(latest, broadcast_cap(latest, max_broadcast_rows))
+          if broadcast_changes is None else broadcast_changes)
     return _merge_rows(target, latest, keys, value_cols, op, seq, mode, ok, tombstones)
 
 

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import geo
-from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from quayside.operators.broadcast import (DEFAULT_MAX_BROADCAST_ROWS, broadcast_cap, broadcast_if_bounded,
+                                          row_count_at_most)
 
 # (max radius km handled by the level, cell size in degrees); sizes divide 180
 GRID_LEVELS = [(100.0, 1.0), (500.0, 5.0), (float("inf"), 20.0)]
@@ -93,6 +94,13 @@ def _wrap_point_cells(cells: DataFrame, size_levels: bool) -> DataFrame:
     return cells.withColumn("_g_cx", F.pmod(F.col("_g_cx"), n)) if size_levels else cells
 
 
+def points_broadcastable(points: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """Whether the point side, once placed on every grid level, fits the
+    broadcast bound (checked with a counting job)."""
+    cap = broadcast_cap(points, max_rows) // len(GRID_LEVELS)
+    return row_count_at_most(points, max(cap, 1))
+
+
 def geo_range_join(centres: DataFrame, points: DataFrame, *,
                    centre_lat: str = "lat", centre_lon: str = "lon", radius: str = "radius_km",
                    point_lat: str = "port_latitude", point_lon: str = "port_longitude",
@@ -111,8 +119,9 @@ def geo_range_join(centres: DataFrame, points: DataFrame, *,
     """
     c_cells = _centre_cells(centres, centre_lat, centre_lon, radius, mode)
     p_cells = _wrap_point_cells(_point_cells(points, point_lat, point_lon), mode == "exact")
-    p_cells, _ = broadcast_if_bounded(p_cells, max_broadcast_rows * len(GRID_LEVELS),
-                                      decision=broadcast_points)
+    if broadcast_points is None:
+        broadcast_points = points_broadcastable(points.select(point_lat, point_lon), max_broadcast_rows)
+    p_cells, _ = broadcast_if_bounded(p_cells, decision=broadcast_points)
     keys = ["_g_level", "_g_cy", "_g_cx"]
     joined = c_cells.join(p_cells, on=keys, how="inner").drop(*keys)
     dist = geo.haversine_km(F.col(centre_lat), F.col(centre_lon), F.col(point_lat), F.col(point_lon))

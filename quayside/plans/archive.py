@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from quayside.operators.cdc import upsert
 from quayside.operators.quality import reconcile
 from quayside.operators.snapshot import incremental_slice
-from quayside.sinks.tables import publish, read_published
+from quayside.sinks.tables import MAX_RECORDS_PER_FILE, cluster_for_write, publish, read_published
 
 # Fixed value: a pipeline with no watermark yet starts after this instant
 EPOCH_START = dt.datetime(1970, 1, 1)
@@ -86,9 +86,10 @@ def incremental_archive(spark: SparkSession, source: DataFrame, *, archive_path:
                      F.max("ingestion_date").alias("hi")).first()
     if stats["n"] == 0:
         return ArchiveResult(run_id, lower, run_end, 0, 0, 0, "EMPTY", False)
-    (part.repartition("year", "month", "day").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run_id", "year", "month", "day").parquet(archive_path))
+    parts = ["run_id", "year", "month", "day"]
+    (cluster_for_write(part, parts, keys).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+         .partitionBy(*parts).parquet(archive_path))
     # verify: read back only this run's partitions (pruned by run_id)
     written = spark.read.parquet(archive_path).filter(F.col("run_id") == run_id)
     check = reconcile(part.select(*keys), written.select(*keys), keys).first()

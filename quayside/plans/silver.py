@@ -60,4 +60,5 @@ def _all_not_null(columns: list[str]):
 
 def build_silver(raw: DataFrame, spec: SchemaSpec, out_path: str, *, on_null: str = "fail") -> None:
     """Clean ``raw`` and overwrite only the snapshots it contains."""
-    write_snapshot(clean_snapshot(raw, spec, on_null=on_null), out_path, list(spec.partition_columns))
+    write_snapshot(clean_snapshot(raw, spec, on_null=on_null), out_path, list(spec.partition_columns),
+                   tiebreak=spec.business_key or spec.names[:1])

@@ -13,6 +13,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 _POINTER = "_CURRENT"
+# bounded output files whatever the partition size
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
+def cluster_for_write(df: DataFrame, partition_by: list[str], tiebreak: list[str] | None = None,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Range-partition rows on (partition columns, tiebreak) before a
+    partitioned write.
+
+    Hash-repartitioning on the partition columns alone sends a whole output
+    partition (e.g. one day holding a third of the rows) to one task. Range
+    partitioning on the partition columns plus a finer key splits a large
+    output partition over several tasks while each task still writes to few
+    partitions. The tiebreak defaults to the remaining columns.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = tiebreak if tiebreak is not None else [c for c in df.columns if c not in partition_by]
+    return df.repartitionByRange(n, *partition_by, *rest)
 
 
 def _jvm_path(spark: SparkSession, path: str):
@@ -76,18 +94,19 @@ def read_published(spark: SparkSession, base: str, schema=None) -> DataFrame | N
     return reader.parquet(f"{base.rstrip('/')}/v={version}")
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def write_snapshot(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite), so
     earlier snapshots survive a partial re-run."""
-    (df.repartition(*partition_by).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
+    (cluster_for_write(df, partition_by, tiebreak).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(*partition_by).parquet(path))
 
 
-def append_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def append_partitioned(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> None:
     """Append, clustering rows by the partition columns first so each task
     writes few files."""
-    df.repartition(*partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    (cluster_for_write(df, partition_by, tiebreak).write.mode("append")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by).parquet(path))
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 from quayside.operators.quality import assert_not_empty
+from quayside.sinks.tables import cluster_for_write
 
 
 def read_snapshot_csv(spark: SparkSession, path: str, *, header: bool = True, sep: str = ",",
@@ -62,11 +63,14 @@ def land_dated_files(spark: SparkSession, src: str, dst: str, prefix: str, *, he
     """
     raw = (spark.read.option("header", header).option("inferSchema", False)
            .option("recursiveFileLookup", True).csv(src)
-           .withColumn("_source_path", F.col("_metadata.file_path")))
+           .withColumn("_source_path", F.col("_metadata.file_path"))
+           .withColumn("_block", F.col("_metadata.file_block_start")))
     dated = raw.withColumn("_file_date", dated_file_date(prefix)).filter(F.col("_file_date").isNotNull())
-    out = dated.withColumns({"year": F.year("_file_date"), "month": F.format_string("%02d", F.month("_file_date"))}) \
-        .drop("_source_path", "_file_date")
-    (out.repartition("year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = dated.withColumns({"year": F.year("_file_date"), "month": F.format_string("%02d", F.month("_file_date"))})
+    # a big file is split over several tasks by its block offset
+    clustered = cluster_for_write(out, ["year", "month"], ["_source_path", "_block"]) \
+        .drop("_source_path", "_block", "_file_date")
+    (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("header", True).partitionBy("year", "month").csv(dst))
     return spark.read.option("header", True).csv(dst)
 

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from quayside.operators.geojoin import points_broadcastable
 from quayside.operators.cdc import OP_DELETE, apply_changes, latest_changes, live_rows
 from quayside.plans.risk import risk_fact
-from quayside.sinks.tables import publish, read_marker, read_published, write_marker
+from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, cluster_for_write, publish, read_marker,
+                                   read_published, write_marker)
 
 
 def read_change_stream(spark: SparkSession, fmt: str, path: str | None = None, *,
@@ -104,19 +106,23 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
     replaces its own output instead of appending it twice. The port-table
     broadcast decision is made once, not per batch.
     """
-    broadcast_ok = row_count_at_most(ports, max_broadcast_rows)
+    broadcast_ok = points_broadcastable(ports.select("port_key", "port_latitude", "port_longitude"),
+                                        max_broadcast_rows)
     opts = dict(risk_options or {})
+    parts = ["EVENT_YEAR", "EVENT_MONTH", "batch_id"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch
-        if seq is not None:
-            b = latest_changes(b, [key], seq)
-        if op is not None:
-            b = b.filter(F.col(op).isNull() | (F.col(op) != OP_DELETE))
-        fact = risk_fact(b, ports, broadcast_ports=broadcast_ok, **opts)
-        (fact.withColumn("batch_id", F.lit(batch_id))
-             .repartition("EVENT_YEAR", "EVENT_MONTH")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("EVENT_YEAR", "EVENT_MONTH", "batch_id").parquet(fact_path))
+        b = batch.persist()  # scored and joined back: read the source once
+        try:
+            if seq is not None:
+                b = latest_changes(b, [key], seq)
+            if op is not None:
+                b = b.filter(F.col(op).isNull() | (F.col(op) != OP_DELETE))
+            fact = risk_fact(b, ports, broadcast_ports=broadcast_ok, **opts).withColumn("batch_id", F.lit(batch_id))
+            (cluster_for_write(fact, parts, ["EARTHQUAKE_KEY", "PORT_KEY"])
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*parts).parquet(fact_path))
+        finally:
+            batch.unpersist()
 
     return run_stream(quakes, on_batch, checkpoint, trigger=trigger)
