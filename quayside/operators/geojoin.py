@@ -101,12 +101,20 @@ def points_broadcastable(points: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAS
     return row_count_at_most(points, max(cap, 1))
 
 
+def prepare_points(points: DataFrame, *, point_lat: str = "port_latitude", point_lon: str = "port_longitude",
+                   mode: str = "box") -> DataFrame:
+    """The point side placed on every grid level; a caller joining many
+    batches against the same points (a stream) prepares this once."""
+    return _wrap_point_cells(_point_cells(points, point_lat, point_lon), mode == "exact")
+
+
 def geo_range_join(centres: DataFrame, points: DataFrame, *,
                    centre_lat: str = "lat", centre_lon: str = "lon", radius: str = "radius_km",
                    point_lat: str = "port_latitude", point_lon: str = "port_longitude",
                    mode: str = "box", distance_col: str = "distance_km",
                    broadcast_points: bool | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   prepared_points: DataFrame | None = None) -> DataFrame:
     """Inner join of centres and points with ``distance <= radius``.
 
     ``mode="box"`` also requires the point to lie in the degree box of
@@ -115,10 +123,12 @@ def geo_range_join(centres: DataFrame, points: DataFrame, *,
     great-circle radius, wrapping longitude and covering the poles.
 
     ``broadcast_points``: ``None`` checks the row bound, ``True``/``False``
-    reuse a decision made by the caller.
+    reuse a decision made by the caller. ``prepared_points`` is the output
+    of :func:`prepare_points` for the same ``points`` and ``mode``.
     """
     c_cells = _centre_cells(centres, centre_lat, centre_lon, radius, mode)
-    p_cells = _wrap_point_cells(_point_cells(points, point_lat, point_lon), mode == "exact")
+    p_cells = prepared_points if prepared_points is not None else \
+        prepare_points(points, point_lat=point_lat, point_lon=point_lon, mode=mode)
     if broadcast_points is None:
         broadcast_points = points_broadcastable(points.select(point_lat, point_lon), max_broadcast_rows)
     p_cells, _ = broadcast_if_bounded(p_cells, decision=broadcast_points)

@@ -55,6 +55,20 @@ def raise_on_nulls(df: DataFrame, columns: list[str]) -> None:
         raise DataQualityError(f"NULLs in non-nullable columns: {bad}")
 
 
+def with_metrics(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, "Observation"]:
+    """Attach named aggregate metrics to ``df`` (default: its row count).
+
+    The metrics are computed by whatever action runs the returned frame
+    anyway (e.g. the write), instead of by one extra ``count()`` per step;
+    read them afterwards with ``observation.get``.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    exprs = [e.alias(k) for k, e in metrics.items()] or [F.count(F.lit(1)).alias("rows")]
+    return df.observe(obs, *exprs), obs
+
+
 def assert_not_empty(df: DataFrame, what: str = "input") -> DataFrame:
     if df.isEmpty():
         raise DataQualityError(f"{what} is empty")

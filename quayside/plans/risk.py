@@ -37,12 +37,12 @@ def with_bounding_box(quakes: DataFrame, lat: str = "lat", lon: str = "lon",
 
 def affected_pairs(quakes: DataFrame, ports: DataFrame, *, mode: str = "box",
                    null_radius: int | None = geo.RADIUS_OTHERWISE,
-                   broadcast_ports: bool | None = None) -> DataFrame:
+                   broadcast_ports: bool | None = None, prepared_ports: DataFrame | None = None) -> DataFrame:
     """(unid, port_key, distance_km, radius_km, impact_level) for every port
     in range of a quake."""
     centres = with_radius(quakes.select("unid", "lat", "lon", "mag"), null_radius=null_radius)
     pairs = geo_range_join(centres, ports.select("port_key", "port_latitude", "port_longitude"),
-                           mode=mode, broadcast_points=broadcast_ports)
+                           mode=mode, broadcast_points=broadcast_ports, prepared_points=prepared_ports)
     return pairs.select(
         "unid", "port_key", "distance_km", "radius_km",
         geo.impact_level("distance_km", "radius_km").alias("impact_level"))
@@ -60,7 +60,8 @@ def _reason(mag, dist, reason_format: str):
 
 def risk_fact(quakes: DataFrame, ports: DataFrame, *, mode: str = "box",
               null_radius: int | None = geo.RADIUS_OTHERWISE, reason_format: str = "raw",
-              round_digits: int | None = None, broadcast_ports: bool | None = None) -> DataFrame:
+              round_digits: int | None = None, broadcast_ports: bool | None = None,
+              prepared_ports: DataFrame | None = None) -> DataFrame:
     """Build the risk fact.
 
     ``quakes``: ``unid, time, lat, lon, mag`` (one row per ``unid``; collapse
@@ -72,7 +73,7 @@ def risk_fact(quakes: DataFrame, ports: DataFrame, *, mode: str = "box",
         F.to_date("time").alias("_event_date"),
         F.year("time").alias("_event_year"), F.month("time").alias("_event_month"))
     pairs = affected_pairs(quakes, ports, mode=mode, null_radius=null_radius,
-                           broadcast_ports=broadcast_ports)
+                           broadcast_ports=broadcast_ports, prepared_ports=prepared_ports)
     joined = q.join(pairs, on="unid", how="left")
     dist = F.col("distance_km")
     if round_digits is not None:

@@ -109,6 +109,22 @@ def append_partitioned(df: DataFrame, path: str, partition_by: list[str], tiebre
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by).parquet(path))
 
 
+def append_fact(fact: DataFrame, path: str, partition_by: list[str] | None = None,
+                tiebreak: list[str] | None = None) -> None:
+    """Bulk append of fact rows (never row-by-row inserts from the driver)."""
+    parts = partition_by or ["EVENT_YEAR", "EVENT_MONTH"]
+    append_partitioned(fact, path, parts, tiebreak if tiebreak is not None else ["EARTHQUAKE_KEY", "PORT_KEY"])
+
+
+def replace_by_key(current: DataFrame | None, new_rows: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of ``new_rows`` plus the rows of ``current`` whose key does
+    not occur in ``new_rows``: re-scoring a quake replaces its fact rows
+    instead of adding a second set."""
+    if current is None:
+        return new_rows
+    return current.join(new_rows.select(*keys).distinct(), keys, "left_anti").unionByName(new_rows)
+
+
 def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str | None = None,
                    partition_by: list[str] | None = None) -> None:
     """External Parquet table over ``path`` plus partition discovery."""

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
-from quayside.operators.geojoin import points_broadcastable
+from quayside.operators.geojoin import points_broadcastable, prepare_points
 from quayside.operators.cdc import OP_DELETE, apply_changes, latest_changes, live_rows
 from quayside.plans.risk import risk_fact
 from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, cluster_for_write, publish, read_marker,
-                                   read_published, write_marker)
+                                   read_published, replace_by_key, write_marker)
 
 
 def read_change_stream(spark: SparkSession, fmt: str, path: str | None = None, *,
@@ -74,7 +74,7 @@ def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, k
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last = read_marker(spark, f"{state_base.rstrip('/')}/{_BATCH_MARK}")
-        if last is not None and batch_id <= int(last):
+        if (last is not None and batch_id <= int(last)) or batch.isEmpty():
             return
         batch = batch.persist()  # read by the bound check and by the merge
         try:
@@ -97,6 +97,7 @@ def read_stream_state(spark: SparkSession, state_base: str) -> DataFrame | None:
 def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint: str, *,
                 key: str = "unid", seq: str | None = None, op: str | None = None,
                 trigger: dict | None = None, risk_options: dict | None = None,
+                mode: str = "append",
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> StreamingQuery:
     """Append the risk fact of each micro-batch of quake changes.
 
@@ -105,20 +106,39 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
     ``EVENT_YEAR/EVENT_MONTH/batch_id=<n>`` with dynamic partition overwrite, so a replayed batch
     replaces its own output instead of appending it twice. The port-table
     broadcast decision is made once, not per batch.
+
+    ``mode="replace"`` keeps one set of rows per quake instead: the fact is a
+    published table and a re-scored quake's rows replace its earlier ones
+    (a rewrite of the table per batch; see README, open points).
     """
-    broadcast_ok = points_broadcastable(ports.select("port_key", "port_latitude", "port_longitude"),
-                                        max_broadcast_rows)
+    port_cols = ports.select("port_key", "port_latitude", "port_longitude")
+    broadcast_ok = points_broadcastable(port_cols, max_broadcast_rows)
     opts = dict(risk_options or {})
+    # the static side of every batch's join, placed on the grid once; kept
+    # in memory only when it passed the broadcast bound
+    prepared = prepare_points(port_cols, mode=opts.get("mode", "box"))
+    if broadcast_ok:
+        prepared = prepared.persist()
     parts = ["EVENT_YEAR", "EVENT_MONTH", "batch_id"]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         b = batch.persist()  # scored and joined back: read the source once
         try:
             if seq is not None:
                 b = latest_changes(b, [key], seq)
             if op is not None:
                 b = b.filter(F.col(op).isNull() | (F.col(op) != OP_DELETE))
-            fact = risk_fact(b, ports, broadcast_ports=broadcast_ok, **opts).withColumn("batch_id", F.lit(batch_id))
+            fact = risk_fact(b, ports, broadcast_ports=broadcast_ok, prepared_ports=prepared, **opts) \
+                .withColumn("batch_id", F.lit(batch_id))
+            if mode == "replace":
+                last = read_marker(b.sparkSession, f"{fact_path.rstrip('/')}/{_BATCH_MARK}")
+                if last is None or batch_id > int(last):
+                    current = read_published(b.sparkSession, fact_path)
+                    publish(replace_by_key(current, fact, ["EARTHQUAKE_KEY"]), fact_path)
+                    write_marker(b.sparkSession, f"{fact_path.rstrip('/')}/{_BATCH_MARK}", str(batch_id))
+                return
             (cluster_for_write(fact, parts, ["EARTHQUAKE_KEY", "PORT_KEY"])
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*parts).parquet(fact_path))

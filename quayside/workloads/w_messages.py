@@ -114,3 +114,59 @@ def decode_json_q(spark, sf_dir):
            .when(F.col("seq") % 31 == 0, F.lit(None).cast("string"))  # NULL message
            .otherwise(text))
     return decode_json(ch.select(msg.alias("value")), MESSAGE_SCHEMA)
+
+
+# --- current quake state and fact from change messages on the change schema -----
+
+def quake_change_messages(spark, sf_dir):
+    """One change message per event: the quake is the user (about 67 changes
+    each), the sequence is the event id, times are epoch milliseconds."""
+    from quayside.workloads.fixtures import OP_OF_EVENT_TYPE, table
+
+    e = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    op = None
+    for et, o in OP_OF_EVENT_TYPE.items():
+        op = F.when(F.col("event_type") == et, F.lit(o)) if op is None else op.when(F.col("event_type") == et, F.lit(o))
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    row = F.struct(
+        F.concat(F.lit("q"), F.col("user_id").cast("string")).alias("unid"),
+        F.concat(F.lit("src-"), eid.cast("string")).alias("source_id"), F.lit("EMSC").alias("source_catalog"),
+        (ms + 60000).alias("lastupdate"), ms.alias("time"), F.col("event_type").alias("flynn_region"),
+        (((eid * 37) % 140 - 70).cast("double") + 0.5).alias("lat"),
+        (((eid * 53) % 360 - 180).cast("double") + 0.5).alias("lon"),
+        (eid % 50).cast("double").alias("depth"), F.lit("ke").alias("evtype"), F.lit("AUTH").alias("auth"),
+        (2 + eid % 7).cast("double").alias("mag"), F.lit("ml").alias("magtype"), F.col("event_type").alias("action"),
+        (ms + 1000).alias("received_at"), op.alias("__op"), eid.alias("__ts_ms"))
+    return e.select(F.to_json(row).alias("value"))
+
+
+@register("fact_earthquake", """
+WITH latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1),
+cur AS (
+  SELECT 'q' || CAST(user_id AS VARCHAR) AS unid,
+         make_timestamp((epoch_us(ts) // 1000) * 1000) AS t,
+         make_timestamp((epoch_us(ts) // 1000) * 1000 + 60000000) AS lu,
+         CAST((event_id * 37) % 140 - 70 AS DOUBLE) + 0.5 AS lat,
+         CAST((event_id * 53) % 360 - 180 AS DOUBLE) + 0.5 AS lon,
+         CAST(2 + event_id % 7 AS DOUBLE) AS mag
+  FROM latest WHERE event_type <> 'error')
+SELECT CAST(row_number() OVER (ORDER BY unid) AS BIGINT) AS EARTHQUAKE_SK, unid AS UNID, t AS TIME, lat AS LAT,
+       lon AS LON, mag AS MAG, CAST(t AS DATE) AS EVENT_DATE,
+       CAST(strftime(t, '%Y%m%d') AS INTEGER) AS TIME_DATE_KEY, CAST(strftime(t, '%H%M%S') AS INTEGER) AS TIME_TIME_KEY,
+       CAST(strftime(lu, '%Y%m%d') AS INTEGER) AS LAST_UPDATE_DATE_KEY,
+       CAST(strftime(lu, '%H%M%S') AS INTEGER) AS LAST_UPDATE_TIME_KEY,
+       CAST(strftime(t, '%Y%m%d') AS INTEGER) AS EVENT_DATE_KEY,
+       CAST(year(t) AS INTEGER) AS EVENT_YEAR, CAST(month(t) AS INTEGER) AS EVENT_MONTH
+FROM cur""")
+def fact_earthquake_q(spark, sf_dir):
+    from quayside.operators.cdc import live_rows
+    from quayside.plans.quakes import apply_quake_changes, fact_earthquake, stage_quake_changes
+    from quayside.sources.messages import decode_change_json
+
+    ensure_utc(spark)
+    decoded = decode_change_json(quake_change_messages(spark, sf_dir)).filter(~F.col("_malformed"))
+    state = live_rows(apply_quake_changes(None, stage_quake_changes(decoded)))
+    return fact_earthquake(state)
