@@ -60,7 +60,9 @@ def with_metrics(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, "Obser
 
     The metrics are computed by whatever action runs the returned frame
     anyway (e.g. the write), instead of by one extra ``count()`` per step;
-    read them afterwards with ``observation.get``.
+    read them afterwards with ``observation.get``. The first action that
+    runs the node fills the observation, so attach it where only the
+    intended action runs it (e.g. above a write's exchange).
     """
     from pyspark.sql import Observation
 

@@ -94,12 +94,20 @@ def read_published(spark: SparkSession, base: str, schema=None) -> DataFrame | N
     return reader.parquet(f"{base.rstrip('/')}/v={version}")
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> None:
+def write_snapshot(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> int:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite), so
-    earlier snapshots survive a partial re-run."""
-    (cluster_for_write(df, partition_by, tiebreak).write.mode("overwrite")
+    earlier snapshots survive a partial re-run. Returns the rows written,
+    observed by the write itself (no extra count)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation("written")
+    # observed above the exchange, so only the write (not the range sampling) runs it
+    clustered = cluster_for_write(df, partition_by, tiebreak).observe(obs, F.count(F.lit(1)).alias("rows"))
+    (clustered.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(*partition_by).parquet(path))
+    return int(obs.get.get("rows", 0))
 
 
 def append_partitioned(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> None:
