@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.parse import absolute_url, parse_eta, split_size
+from quayside.functions.parse import absolute_url, eta_from_matches, eta_matches, parse_eta, split_size
 
 # Total-page patterns tried in order (case-insensitive), default 1
 TOTAL_PAGE_PATTERNS = [
@@ -80,9 +80,19 @@ def extract_listing_rows(pages: DataFrame, *, html_col: str = "html", keep: list
         absolute_url(F.col("_link"), base_url).alias("detail_link"))
 
 
+BLOCK_PREFIX = '<div class="vi__r1'
+
+
 def _block(html: Column, cls: str) -> Column:
-    # a block runs from its opening div to the next block, table or end
-    return F.regexp_extract(html, r'(?s)<div class="' + cls + r'">(.*?)(?=<div class="vi__r1|<table|$)', 1)
+    """Text of a block: from its opening div to the next block, the table or
+    the end (plain substring search, no regular expression)."""
+    marker = f'<div class="{cls}">'
+    start = F.instr(html, marker)
+    rest = F.substring(html, start + len(marker), 1 << 30)
+    ends = [F.locate(BLOCK_PREFIX, rest), F.locate("<table", rest)]
+    end = F.least(*[F.when(e > 0, e) for e in ends])
+    block = F.when(end.isNotNull(), F.substring(rest, F.lit(1), end - 1)).otherwise(rest)
+    return F.when(start > 0, block).otherwise(F.lit(""))
 
 
 def _port_block_stages(df: DataFrame, html: str, cls: str, p: str, as_of_year: int, base_url: str) -> DataFrame:
@@ -116,7 +126,10 @@ def _port_block_stages(df: DataFrame, html: str, cls: str, p: str, as_of_year: i
         f"{p}link": F.when(present & has_link, absolute_url(F.col(f"{p}href"), base_url)).otherwise(blank),
     })
     eta = F.col(f"{p}eta_src")
-    return df.withColumn(f"{p}date", F.when(eta.isNotNull(), parse_eta(eta, as_of_year)).otherwise(blank))
+    m = eta_matches(eta)
+    df = df.withColumns({f"{p}m0": m[0], f"{p}m1": m[1]})
+    parsed = eta_from_matches([F.col(f"{p}m0"), F.col(f"{p}m1")], as_of_year)
+    return df.withColumn(f"{p}date", F.when(eta.isNotNull(), parsed).otherwise(blank))
 
 
 def extract_vessel_details(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None,
@@ -131,7 +144,10 @@ def extract_vessel_details(pages: DataFrame, *, html_col: str = "html", keep: li
         "_status": F.trim(F.regexp_extract("_table", r"(?s)" + STATUS_LABEL + r"\s*</td>\s*<td[^>]*>([^<]*)<", 1)),
         "_title": F.regexp_extract("_table", r'<svg class="' + REPORT_ICON_CLASS + r'"[^>]*data-title="([^"]*)"', 1),
     })
-    report = F.when(F.col("_title") != "", parse_eta(F.col("_title"), as_of_year)).otherwise(F.lit(""))
+    m = eta_matches(F.col("_title"))
+    df = df.withColumns({"_r_m0": m[0], "_r_m1": m[1]})
+    parsed = eta_from_matches([F.col("_r_m0"), F.col("_r_m1")], as_of_year)
+    report = F.when(F.col("_title") != "", parsed).otherwise(F.lit(""))
     return df.select(
         *keep,
         F.col("_d_date").alias("departure_date"), F.col("_d_country").alias("last_port_country"),

@@ -130,7 +130,11 @@ def detail_pages(spark, sf_dir):
               '</td><td><svg class="ttt1 info" data-title="'), F.date_format("o_orderdate", "MMM d, yyyy HH:mm"),
         F.lit('"></svg></td></tr></table>')))
     html = F.concat(F.lit("<html><body><h1>Vessel</h1>"), dep, dst, tbl, F.lit("</body></html>"))
-    return j.select(k.alias("page_id"), html.alias("html"))
+    # the join output is small in bytes, so AQE would pack it into one or two
+    # partitions; the pages are CPU-heavy to parse, so spread them (fetched
+    # pages read from files arrive spread over file splits anyway)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return j.select(k.alias("page_id"), html.alias("html")).repartition(n, "page_id")
 
 
 def port_pages(spark, sf_dir):
