@@ -17,20 +17,17 @@ _POINTER = "_CURRENT"
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def cluster_for_write(df: DataFrame, partition_by: list[str], tiebreak: list[str] | None = None,
-                      num_partitions: int | None = None) -> DataFrame:
-    """Range-partition rows on (partition columns, tiebreak) before a
-    partitioned write.
-
-    Hash-repartitioning on the partition columns alone sends a whole output
-    partition (e.g. one day holding a third of the rows) to one task. Range
-    partitioning on the partition columns plus a finer key splits a large
-    output partition over several tasks while each task still writes to few
-    partitions. The tiebreak defaults to the remaining columns.
+def cluster_for_write(df: DataFrame, partition_by: list[str], tiebreak: list[str] | None = None) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned write.
+
+    Uses the ``rebalance`` hint: rows are shuffled by the partition columns
+    so each task writes to few partitions, and AQE splits a skewed output
+    partition (e.g. one day holding a third of the rows) over several tasks
+    and merges small ones -- sized from the measured shuffle, with no
+    sampling pass. ``tiebreak`` is accepted for callers that name a key, and
+    is not needed for the split.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = tiebreak if tiebreak is not None else [c for c in df.columns if c not in partition_by]
-    return df.repartitionByRange(n, *partition_by, *rest)
+    return df.hint("rebalance", *partition_by)
 
 
 def _jvm_path(spark: SparkSession, path: str):
