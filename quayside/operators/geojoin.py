@@ -117,6 +117,9 @@ def geo_range_join(centres: DataFrame, points: DataFrame, *,
                    prepared_points: DataFrame | None = None) -> DataFrame:
     """Inner join of centres and points with ``distance <= radius``.
 
+    The ``between`` box test (F4) and ``distance <= radius`` (F5) are the
+    exact predicate applied after the cell equi-join.
+
     ``mode="box"`` also requires the point to lie in the degree box of
     :func:`quayside.functions.geo.bounding_box` (the original semantics, with
     no antimeridian wrap). ``mode="exact"`` keeps every point within the

@@ -16,7 +16,8 @@ class DataQualityError(ValueError):
 
 def check_columns(df: DataFrame, required: list[str], allow_extra: bool = True,
                   allow_missing: bool = False) -> dict[str, list[str]]:
-    """Compare column names with the spec (metadata only, no job)."""
+    """Compare column names with the spec (Q1; the missing/extra set
+    difference of U4 on metadata only, no job)."""
     actual, expected = set(df.columns), set(required)
     missing, extra = sorted(expected - actual), sorted(actual - expected)
     if missing and not allow_missing:
@@ -56,7 +57,8 @@ def raise_on_nulls(df: DataFrame, columns: list[str]) -> None:
 
 
 def with_metrics(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, "Observation"]:
-    """Attach named aggregate metrics to ``df`` (default: its row count).
+    """Attach named aggregate metrics to ``df`` (default: its row count; A1,
+    A17).
 
     The metrics are computed by whatever action runs the returned frame
     anyway (e.g. the write), instead of by one extra ``count()`` per step;
@@ -72,6 +74,7 @@ def with_metrics(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, "Obser
 
 
 def assert_not_empty(df: DataFrame, what: str = "input") -> DataFrame:
+    """A one-row probe (``isEmpty``), never a full count."""
     if df.isEmpty():
         raise DataQualityError(f"{what} is empty")
     return df

@@ -63,7 +63,8 @@ def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, k
                          mode: str = "upsert", trigger: dict | None = None) -> StreamingQuery:
     """Fold each micro-batch into the state table published at ``state_base``.
 
-    Per batch: latest change per key, merge with the current version, publish
+    Per batch (an empty batch is skipped, F8): latest change per key, merge
+    with the current version, publish
     the next version. A batch id at or below the last committed one is
     skipped, and a replay of a batch whose commit was cut short is harmless:
     a change that is not newer than the stored sequence is ignored.
