@@ -83,12 +83,15 @@ def assert_not_empty(df: DataFrame, what: str = "input") -> DataFrame:
 def reconcile(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     """One row: expected rows, actual rows, expected keys missing from actual,
     and ``status`` (``OK`` when nothing is missing and actual >= expected)."""
-    exp = expected.agg(F.count(F.lit(1)).alias("expected_rows"))
-    act = actual.agg(F.count(F.lit(1)).alias("actual_rows"))
-    missing = (expected.select(*keys)
-               .join(actual.select(*keys), on=keys, how="left_anti")
-               .agg(F.count(F.lit(1)).alias("missing_rows")))
-    # three one-row aggregates: combining them is a bounded 1x1x1 product
-    row = exp.crossJoin(act).crossJoin(missing)
+    def tagged(df: DataFrame, e: int, a: int, m: int) -> DataFrame:
+        return df.select(F.lit(e).alias("e"), F.lit(a).alias("a"), F.lit(m).alias("m"))
+
+    missing = expected.select(*keys).join(actual.select(*keys), on=keys, how="left_anti")
+    # one aggregate over the three tagged inputs (no join between the counts)
+    row = tagged(expected, 1, 0, 0).unionByName(tagged(actual, 0, 1, 0)).unionByName(tagged(missing, 0, 0, 1)) \
+        .agg(F.sum("e").cast("bigint").alias("expected_rows"), F.sum("a").cast("bigint").alias("actual_rows"),
+             F.sum("m").cast("bigint").alias("missing_rows")) \
+        .select(*[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
+                  for c in ("expected_rows", "actual_rows", "missing_rows")])
     ok = (F.col("missing_rows") == 0) & (F.col("actual_rows") >= F.col("expected_rows"))
     return row.withColumn("status", F.when(ok, F.lit("OK")).otherwise(F.lit("FAIL")))

@@ -47,7 +47,8 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 SCALABLE = ["risk_fact", "risk_pairs_grid", "haversine_pairs", "cdc_apply", "dedupe_latest", "scd2_history",
-            "star_join", "vessel_trip", "kpi_last_24h", "location_map_detail", "seismic_flatten", "page_details"]
+            "star_join", "vessel_trip", "kpi_last_24h", "location_map_detail", "seismic_flatten", "page_details",
+            "listing_rows", "total_pages", "fact_earthquake", "port_dimension", "surrogate_initial", "vessel_port_risk"]
 
 
 @pytest.mark.parametrize("name", SCALABLE)
