@@ -118,7 +118,10 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, keys: list[str],
         spark = changes.sparkSession
         schema = latest.select(*keys, *value_cols, seq).schema
         target = spark.createDataFrame([], schema)
-    ok = (row_count_at_most(latest, broadcast_cap(latest, max_broadcast_rows))
+    # the folded batch has at most one row per change, so counting the raw
+    # changes (a cheap limited scan) proves its bound without running the
+    # fold twice; a batch with many changes for few keys takes the shuffle path
+    ok = (row_count_at_most(changes.select(*keys), broadcast_cap(latest, max_broadcast_rows))
           if broadcast_changes is None else broadcast_changes)
     return _merge_rows(target, latest, keys, value_cols, op, seq, mode, ok, tombstones)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.parse import absolute_url, eta_from_matches, eta_matches, parse_eta, split_size
+from quayside.functions.parse import absolute_url, eta_from_matches, eta_matches, split_size
 
 # Total-page patterns tried in order (case-insensitive), default 1
 TOTAL_PAGE_PATTERNS = [
