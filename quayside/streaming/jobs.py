@@ -12,7 +12,8 @@ from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from quayside.operators.geojoin import points_broadcastable, prepare_points
 from quayside.operators.cdc import OP_DELETE, apply_changes, latest_changes, live_rows
 from quayside.plans.risk import risk_fact
-from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, cluster_for_write, publish, read_marker,
+from quayside.sinks.bucketed import merge_into_bucketed, read_bucketed
+from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, cluster_for_write, path_exists, publish, read_marker,
                                    read_published, replace_by_key, write_marker)
 
 
@@ -60,7 +61,8 @@ _BATCH_MARK = "_LAST_BATCH"
 
 def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, keys: list[str], *,
                          op: str = "op", seq: str = "seq", value_cols: list[str] | None = None,
-                         mode: str = "upsert", trigger: dict | None = None) -> StreamingQuery:
+                         mode: str = "upsert", trigger: dict | None = None,
+                         layout: str = "versioned", buckets: int = 4096) -> StreamingQuery:
     """Fold each micro-batch into the state table published at ``state_base``.
 
     Per batch (an empty batch is skipped, F8): latest change per key, merge
@@ -69,11 +71,28 @@ def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, k
     skipped, and a replay of a batch whose commit was cut short is harmless:
     a change that is not newer than the stored sequence is ignored.
     Deleted keys stay as tombstones so batches may arrive out of order; read
-    the state with :func:`read_stream_state`. Failures propagate and stop the
+    the state with :func:`read_stream_state`.
+
+    ``layout="versioned"`` publishes the whole state as a new version per
+    batch (simple, atomic for readers). ``layout="bucketed"`` rewrites only
+    the hash buckets a batch touches (see :mod:`quayside.sinks.bucketed`),
+    so the per-batch cost follows the batch size, not the table size. Failures propagate and stop the
     query (nothing is silently dropped).
     """
+    if layout not in ("versioned", "bucketed"):
+        raise ValueError("layout must be 'versioned' or 'bucketed'")
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if layout == "bucketed":
+            if not batch.isEmpty():
+                batch = batch.persist()
+                try:
+                    merge_into_bucketed(spark, state_base, batch, keys, batch_id=batch_id, buckets=buckets, op=op,
+                                        seq=seq, value_cols=value_cols, mode=mode)
+                finally:
+                    batch.unpersist()
+            return
         last = read_marker(spark, f"{state_base.rstrip('/')}/{_BATCH_MARK}")
         if (last is not None and batch_id <= int(last)) or batch.isEmpty():
             return
@@ -91,6 +110,9 @@ def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, k
 
 
 def read_stream_state(spark: SparkSession, state_base: str) -> DataFrame | None:
+    """Live rows of a stream's state table, in either layout."""
+    if path_exists(spark, f"{state_base.rstrip('/')}/data"):
+        return read_bucketed(spark, state_base)
     state = read_published(spark, state_base)
     return None if state is None else live_rows(state)
 

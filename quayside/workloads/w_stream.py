@@ -38,8 +38,9 @@ def cdc_stream(spark, sf_dir):
     raw = read_change_stream(spark, "text", inbox, max_per_trigger=1)
     decoded = decode_json(raw, CHANGE_MESSAGE).filter(~F.col("_malformed")).drop("_malformed")
     state = scratch_path(spark, "cdc-state")
+    # bucket-scoped state (the layout meant for large state tables)
     q = stream_apply_changes(decoded, state, scratch_path(spark, "cdc-ckpt"), ["key"],
-                             value_cols=["ts", "value", "event_type"])
+                             value_cols=["ts", "value", "event_type"], layout="bucketed", buckets=64)
     q.awaitTermination()
     return read_stream_state(spark, state).select("key", "ts", "value", "event_type", "seq")
 
