@@ -11,16 +11,19 @@ Crash safety: the staging folder is complete (``_STAGED``) before the live
 table is touched. If the copy is interrupted, the replayed batch finds the
 complete staging folder, skips the merge and repeats the copy. The state
 keeps tombstones, so a bucket whose keys were all deleted still has rows and
-is overwritten like any other.
+is overwritten like any other; a replace (``replace_into_bucketed``) always
+writes the new rows of every touched key.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.cdc import apply_changes, latest_changes, live_rows
-from quayside.sinks.tables import MAX_RECORDS_PER_FILE, path_exists, read_marker, write_marker
+from quayside.sinks.tables import MAX_RECORDS_PER_FILE, path_exists, read_marker, replace_by_key, write_marker
 
 BUCKET = "_bucket"
 _BUCKETS_FILE = "_BUCKETS"
@@ -49,10 +52,10 @@ def read_bucketed(spark: SparkSession, base: str, live: bool = True) -> DataFram
     return live_rows(state) if live else state
 
 
-def merge_into_bucketed(spark: SparkSession, base: str, changes: DataFrame, keys: list[str], *, batch_id: int,
-                        buckets: int = 4096, op: str = "op", seq: str = "seq",
-                        value_cols: list[str] | None = None, mode: str = "upsert") -> bool:
-    """Fold one change batch into the bucketed state at ``base``.
+def rewrite_buckets(spark: SparkSession, base: str, batch: DataFrame, keys: list[str], *, batch_id: int,
+                    buckets: int, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> bool:
+    """Rewrite the buckets that ``batch``'s keys hash to with
+    ``merge(current_rows_of_those_buckets_or_None, batch)``.
 
     Returns False when the batch was already applied (replay), else True.
     """
@@ -63,10 +66,8 @@ def merge_into_bucketed(spark: SparkSession, base: str, changes: DataFrame, keys
     _check_buckets(spark, base, buckets)
     data, staging = f"{base}/data", f"{base}/staging/batch={batch_id}"
     if read_marker(spark, f"{staging}/{_COMPLETE_FILE}") is None:
-        value_cols = value_cols or [c for c in changes.columns if c not in keys + [op, seq]]
-        latest = latest_changes(changes.select(*keys, *value_cols, op, seq), keys, seq)
         # the touched bucket ids: at most ``buckets`` small integers
-        touched = [r[0] for r in latest.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
+        touched = [r[0] for r in batch.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
         if not touched:
             write_marker(spark, f"{base}/{_BATCH_FILE}", str(batch_id))
             return True
@@ -74,8 +75,7 @@ def merge_into_bucketed(spark: SparkSession, base: str, changes: DataFrame, keys
         if path_exists(spark, data):
             current = (spark.read.option("basePath", data).parquet(data)
                        .filter(F.col(BUCKET).isin(touched)).drop(BUCKET))
-        merged = apply_changes(current, latest, keys, op=op, seq=seq, value_cols=value_cols, mode=mode,
-                               tombstones=True)
+        merged = merge(current, batch)
         # static overwrite: a re-run replaces the whole staging folder
         (merged.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
                .write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -86,3 +86,26 @@ def merge_into_bucketed(spark: SparkSession, base: str, changes: DataFrame, keys
           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(BUCKET).parquet(data))
     write_marker(spark, f"{base}/{_BATCH_FILE}", str(batch_id))
     return True
+
+
+def merge_into_bucketed(spark: SparkSession, base: str, changes: DataFrame, keys: list[str], *, batch_id: int,
+                        buckets: int = 4096, op: str = "op", seq: str = "seq",
+                        value_cols: list[str] | None = None, mode: str = "upsert") -> bool:
+    """Fold one change batch into the bucketed state at ``base`` (CDC apply
+    with tombstones)."""
+    value_cols = value_cols or [c for c in changes.columns if c not in keys + [op, seq]]
+    latest = latest_changes(changes.select(*keys, *value_cols, op, seq), keys, seq)
+
+    def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
+        return apply_changes(current, batch, keys, op=op, seq=seq, value_cols=value_cols, mode=mode,
+                             tombstones=True)
+
+    return rewrite_buckets(spark, base, latest, keys, batch_id=batch_id, buckets=buckets, merge=merge)
+
+
+def replace_into_bucketed(spark: SparkSession, base: str, rows: DataFrame, keys: list[str], *, batch_id: int,
+                          buckets: int = 4096) -> bool:
+    """Replace all stored rows of the keys present in ``rows`` with ``rows``
+    (e.g. a re-scored quake's fact rows), touching only their buckets."""
+    return rewrite_buckets(spark, base, rows, keys, batch_id=batch_id, buckets=buckets,
+                           merge=lambda current, batch: replace_by_key(current, batch, keys))

@@ -12,9 +12,9 @@ from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from quayside.operators.geojoin import points_broadcastable, prepare_points
 from quayside.operators.cdc import OP_DELETE, apply_changes, latest_changes, live_rows
 from quayside.plans.risk import risk_fact
-from quayside.sinks.bucketed import merge_into_bucketed, read_bucketed
+from quayside.sinks.bucketed import merge_into_bucketed, read_bucketed, replace_into_bucketed
 from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, cluster_for_write, path_exists, publish, read_marker,
-                                   read_published, replace_by_key, write_marker)
+                                   read_published, write_marker)
 
 
 def read_change_stream(spark: SparkSession, fmt: str, path: str | None = None, *,
@@ -120,7 +120,7 @@ def read_stream_state(spark: SparkSession, state_base: str) -> DataFrame | None:
 def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint: str, *,
                 key: str = "unid", seq: str | None = None, op: str | None = None,
                 trigger: dict | None = None, risk_options: dict | None = None,
-                mode: str = "append",
+                mode: str = "append", buckets: int = 4096,
                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> StreamingQuery:
     """Append the risk fact of each micro-batch of quake changes.
 
@@ -131,8 +131,9 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
     broadcast decision is made once, not per batch.
 
     ``mode="replace"`` keeps one set of rows per quake instead: the fact is a
-    published table and a re-scored quake's rows replace its earlier ones
-    (a rewrite of the table per batch; see README, open points).
+    table bucketed by quake key, and a re-scored quake's rows replace its
+    earlier ones, rewriting only the buckets of the batch's quakes (read it
+    with :func:`quayside.sinks.bucketed.read_bucketed`, ``live=False``).
     """
     port_cols = ports.select("port_key", "port_latitude", "port_longitude")
     broadcast_ok = points_broadcastable(port_cols, max_broadcast_rows)
@@ -156,11 +157,8 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
             fact = risk_fact(b, ports, broadcast_ports=broadcast_ok, prepared_ports=prepared, **opts) \
                 .withColumn("batch_id", F.lit(batch_id))
             if mode == "replace":
-                last = read_marker(b.sparkSession, f"{fact_path.rstrip('/')}/{_BATCH_MARK}")
-                if last is None or batch_id > int(last):
-                    current = read_published(b.sparkSession, fact_path)
-                    publish(replace_by_key(current, fact, ["EARTHQUAKE_KEY"]), fact_path)
-                    write_marker(b.sparkSession, f"{fact_path.rstrip('/')}/{_BATCH_MARK}", str(batch_id))
+                replace_into_bucketed(b.sparkSession, fact_path, fact.drop("batch_id"), ["EARTHQUAKE_KEY"],
+                                      batch_id=batch_id, buckets=buckets)
                 return
             (cluster_for_write(fact, parts, ["EARTHQUAKE_KEY", "PORT_KEY"])
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

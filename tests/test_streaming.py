@@ -68,3 +68,26 @@ def test_risk_stream_matches_batch_and_skips_deletes(spark):
     want = risk_fact(latest, ports)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     assert got.filter(F.col("EARTHQUAKE_KEY") == "3").count() == 0
+
+
+def test_risk_stream_replace_mode_keeps_latest_scoring(spark):
+    from quayside.sinks.bucketed import read_bucketed
+
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("rin", "rout", "rckpt"))
+    schema = "unid long, time timestamp_ntz, lat double, lon double, mag double"
+    t = dt.datetime(2024, 1, 2, 3, 4, 5)
+    ports = spark.createDataFrame([(10, 20.0, 30.0), (11, 23.0, 33.0)],
+                                  "port_key long, port_latitude double, port_longitude double")
+    # first scoring: magnitude 4 reaches port 10 only; re-scored at 7.5 it reaches both
+    spark.createDataFrame([(1, t, 20.0, 30.0, 4.0), (2, t, 0.0, 0.0, 3.0)], schema).coalesce(1) \
+        .write.mode("append").parquet(inbox)
+
+    def run():
+        src = read_change_stream(spark, "parquet", inbox, schema=schema, max_per_trigger=1)
+        stream_risk(src, ports, out, ckpt, mode="replace", buckets=4).awaitTermination()
+
+    run()
+    spark.createDataFrame([(1, t, 20.0, 30.0, 7.5)], schema).coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    got = sorted((r.EARTHQUAKE_KEY, r.PORT_KEY, r.RISK_RADIUS_KM) for r in read_bucketed(spark, out, live=False).collect())
+    assert got == [("1", 10, 1000.0), ("1", 11, 1000.0), ("2", -1, -1.0)]
