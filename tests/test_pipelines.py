@@ -143,3 +143,39 @@ def test_dim_country_and_vessel(spark):
     assert out == {"/v/1": (1, "x2"), "/v/2": (2, "y")}
     _, obs = with_metrics(v, "m")
     assert obs is not None
+
+
+def test_registry_only_missing_path_means_first_load(spark):
+    path = scratch_path(spark, "badreg")
+    spark.createDataFrame([("not parquet",)], "v string").write.text(path)
+    reg = KeyRegistry(spark, path, "oid", "port_key")
+    with pytest.raises(Exception):
+        reg.assign(spark.createDataFrame([(1,)], "oid int")).collect()
+    assert KeyRegistry(spark, scratch_path(spark, "nothing-here"), "oid", "port_key").read() is None
+
+
+def test_archive_keeps_late_arrivals(spark):
+    from quayside.plans.archive import incremental_archive
+
+    rows = [(1, dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6)),
+            (2, dt.datetime(2024, 1, 1, 7), dt.datetime(2024, 1, 3, 9))]   # event on Jan 1, arrives Jan 3
+    src = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, received_at timestamp_ntz")
+    archive, control = scratch_path(spark, "late-arch"), scratch_path(spark, "late-ctl")
+    for run_end in (dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 4)):
+        incremental_archive(spark, src, archive_path=archive, control_base=control, pipeline="p",
+                            slice_col="received_at", event_ts="ts", keys=["event_id"], run_end=run_end,
+                            as_of=dt.datetime(2024, 2, 1))
+    got = sorted((r.event_id, r.day) for r in spark.read.parquet(archive).collect())
+    assert got == [(1, 1), (2, 1)]   # the late row is archived, under its event date
+
+
+def test_latest_snapshot_prunes_partitions(spark):
+    from quayside.operators.snapshot import latest_snapshot
+
+    path = scratch_path(spark, "snaps")
+    spark.createDataFrame([(1, 2023, 12), (2, 2024, 1), (3, 2024, 2)], "oid int, snapshot_year int, snapshot_month int") \
+        .write.partitionBy("snapshot_year", "snapshot_month").parquet(path)
+    df = latest_snapshot(spark.read.parquet(path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "(snapshot_month#" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert [r.oid for r in df.collect()] == [3]
