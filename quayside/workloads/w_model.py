@@ -242,3 +242,50 @@ FROM port_dim""")
 def location_map_detail_q(spark, sf_dir):
     q = quakes(spark, sf_dir).withColumn("magtype", F.lit(None).cast("string"))
     return location_map_detail(q, _fact(spark, sf_dir), port_dimension_rows(spark, sf_dir))
+
+
+@register("quake_calendar", """
+WITH days AS (
+  SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM events),
+dd AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DATE_KEY, d AS FULL_DATE, strftime(d, '%A') AS DAY_NAME,
+              isodow(d) >= 6 AS IS_WEEKEND FROM days),
+dt AS (SELECT CAST((s // 3600) * 10000 + ((s % 3600) // 60) * 100 + s % 60 AS INTEGER) AS TIME_KEY,
+              CAST(s // 3600 AS INTEGER) AS HOUR, CAST((s % 3600) // 60 AS INTEGER) AS MINUTE,
+              printf('%02d:%02d', s // 3600, (s % 3600) // 60) AS HOUR_MINUTE
+       FROM (SELECT range AS s FROM range(86400))),
+e AS (SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS TIME_DATE_KEY,
+             CAST(strftime(ts, '%H%M%S') AS INTEGER) AS TIME_TIME_KEY FROM events)
+SELECT e.event_id, dd.FULL_DATE, dd.DAY_NAME, dd.IS_WEEKEND, dt.HOUR, dt.MINUTE, dt.HOUR_MINUTE
+FROM e LEFT JOIN dd ON e.TIME_DATE_KEY = dd.DATE_KEY LEFT JOIN dt ON e.TIME_TIME_KEY = dt.TIME_KEY""")
+def quake_calendar(spark, sf_dir):
+    """Quakes against DIM_DATE and DIM_TIME through their integer keys (the
+    model's quake->date and quake->time relationships)."""
+    from quayside.plans.dims import dim_time
+
+    e = table(spark, sf_dir, "events")
+    bounds = e.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi")).first()
+    keyed = e.select("event_id", date_key("ts").alias("TIME_DATE_KEY"), time_key("ts").alias("TIME_TIME_KEY"))
+    out = star_join(keyed, [(dim_date(spark, bounds["lo"], bounds["hi"]), "TIME_DATE_KEY", "DATE_KEY"),
+                            (dim_time(spark), "TIME_TIME_KEY", "TIME_KEY")])
+    return out.select("event_id", "FULL_DATE", "DAY_NAME", "IS_WEEKEND", "HOUR", "MINUTE", "HOUR_MINUTE")
+
+
+@register("kpi_port_depths", """
+SELECT count(DISTINCT p_partkey) AS total_ports,
+       round(avg(CASE WHEN p_partkey % 8 IN (0, 1) THEN NULL ELSE CAST(p_size AS DOUBLE) END), 6)
+         AS average_channel_depth,
+       round(avg(p_size * 1.5), 6) AS average_maximum_vessel_draft
+FROM part""")
+def kpi_port_depths(spark, sf_dir):
+    """Total ports and the two depth averages (NULL depths ignored)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    ports_ = p.select(k.alias("port_key"),
+                      F.when(~(k % 8).isin(0, 1), F.col("p_size").cast("double")).alias("channel_depth_m"),
+                      (F.col("p_size") * 1.5).alias("maximum_vessel_draft_m"))
+    # the three measures in one aggregate pass over the table
+    return ports_.agg(
+        F.countDistinct("port_key").cast("bigint").alias("total_ports"),
+        F.round(F.avg("channel_depth_m"), 6).alias("average_channel_depth"),
+        F.round(F.avg("maximum_vessel_draft_m"), 6).alias("average_maximum_vessel_draft"))
