@@ -28,6 +28,24 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested additions for a large cluster reading TB-scale inputs: many
+# initial shuffle partitions that AQE coalesces to ~256 MB, 256 MB input
+# splits, a broadcast threshold matching the library's own byte budget, and
+# decommissioning so shuffle blocks migrate off executors that are lost
+# gracefully. Pass with build_session(conf=CLUSTER_CONF) or at submit time.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "quayside",
                   conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
