@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quayside.operators.clean import cast_to_spec, conform, exclude_containing, null_tokens, trim_strings
 from quayside.sources.html import extract_listing_rows, extract_total_pages, extract_vessel_details, \
     with_port_coordinates
 from quayside.workloads import register
@@ -177,3 +178,40 @@ def page_details(spark, sf_dir):
     details = extract_vessel_details(detail_pages(spark, sf_dir), keep=["page_id"], as_of_year=AS_OF_YEAR,
                                      base_url=SITE)
     return with_port_coordinates(details, port_pages(spark, sf_dir))
+
+
+# --- vessel rows to the typed vessel table ------------------------------------------
+
+VESSEL_COLUMNS = ["name", "type", "year_built", "gross_tonnage", "deadweight", "length_m", "beam_m", "detail_link",
+                  "departure_date", "last_port_country", "last_port_name", "arrival_date",
+                  "destination_port_country", "destination_port_name", "destination_port_lat",
+                  "destination_port_lon", "reported_status", "report_date"]
+VESSEL_TYPES = {"year_built": "int", "gross_tonnage": "bigint", "deadweight": "bigint", "length_m": "double",
+                "beam_m": "double", "departure_date": "timestamp_ntz", "arrival_date": "timestamp_ntz",
+                "destination_port_lat": "double", "destination_port_lon": "double", "report_date": "timestamp_ntz"}
+VESSEL_FORMATS = {c: "yyyy-MM-dd HH:mm" for c in ("departure_date", "arrival_date", "report_date")}
+
+
+@register("vessel_silver", f"""
+SELECT s_name AS name,
+       CASE s_suppkey % 4 WHEN 0 THEN 'Bulk Carrier' WHEN 2 THEN 'Container Ship' ELSE 'Cargo' END AS type,
+       CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST(1990 + s_suppkey % 30 AS INTEGER) END AS year_built,
+       CAST(s_suppkey * 100 AS BIGINT) AS gross_tonnage, CAST(s_suppkey * 150 AS BIGINT) AS deadweight,
+       CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE CAST(s_suppkey % 300 AS DOUBLE) END AS length_m,
+       CASE WHEN s_suppkey % 3 = 1 THEN CAST(s_suppkey % 40 AS DOUBLE) END AS beam_m,
+       CASE WHEN s_suppkey % 5 = 0 THEN 'https://other.example.com/v/' || CAST(s_suppkey AS VARCHAR)
+            ELSE '{SITE}/vessels/details/' || CAST(s_suppkey AS VARCHAR) END AS detail_link,
+       CAST(NULL AS TIMESTAMP) AS departure_date, CAST(NULL AS VARCHAR) AS last_port_country,
+       CAST(NULL AS VARCHAR) AS last_port_name, CAST(NULL AS TIMESTAMP) AS arrival_date,
+       CAST(NULL AS VARCHAR) AS destination_port_country, CAST(NULL AS VARCHAR) AS destination_port_name,
+       CAST(NULL AS DOUBLE) AS destination_port_lat, CAST(NULL AS DOUBLE) AS destination_port_lon,
+       CAST(NULL AS VARCHAR) AS reported_status, CAST(NULL AS TIMESTAMP) AS report_date
+FROM supplier WHERE s_suppkey % 13 <> 0 AND s_suppkey % 17 <> 0 AND s_suppkey % 4 <> 1""")
+def vessel_silver(spark, sf_dir):
+    """Scraped listing rows conformed to the 18 vessel columns (absent ones
+    filled with ""), water tankers excluded, placeholders to NULL, typed."""
+    rows = extract_listing_rows(listing_pages(spark, sf_dir), default_type="Cargo", base_url=SITE).drop("row_pos")
+    conformed = conform(rows, VESSEL_COLUMNS, missing="fill", fill="")
+    kept = exclude_containing(conformed, "type", "Water Tanker")
+    cleaned = trim_strings(null_tokens(kept, VESSEL_COLUMNS, ["-", "", "Destination not available"]))
+    return cast_to_spec(cleaned, VESSEL_TYPES, VESSEL_FORMATS)
