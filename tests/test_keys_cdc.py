@@ -134,3 +134,17 @@ def test_archive_watermark_slices_rerun_and_empty(spark):
     one = scratch_path(spark, "arch1")
     _archive(spark, src, one, scratch_path(spark, "ctl1"), dt.datetime(2024, 1, 11))
     assert spark.read.parquet(one).drop("run_id").exceptAll(spark.read.parquet(archive).drop("run_id")).count() == 0
+
+
+def test_dense_ids_split_a_hot_ordering_value(spark):
+    # a third of the rows share one ordering value: still numbered 1..n in
+    # order, and spread over several range partitions
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "grp int, other int")
+    out = dense_ids(df, ["grp"], "key", num_partitions=6)
+    got = sorted((r.grp, r.other, r.key) for r in out.collect())
+    assert [k for _, _, k in sorted(got, key=lambda t: t[2])] == list(range(1, 601))
+    assert all(a[0] <= b[0] for a, b in zip(sorted(got, key=lambda t: t[2]), sorted(got, key=lambda t: t[2])[1:]))
+    hot = df.filter("grp = 0").repartitionByRange(6, "grp", "other") \
+        .groupBy(F.spark_partition_id().alias("p")).count()
+    assert hot.count() > 1
