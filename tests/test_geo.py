@@ -126,3 +126,11 @@ def test_risk_fact_sentinels_and_summary(spark):
         (-1.0, -1.0, False, "NONE", "No nearby ports")
     s = risk_summary(fact).first()
     assert (s.total_pairs, s.nearby_pairs, s.high_pairs) == (3, 2, 1)
+
+
+def test_risk_fact_null_coordinates_keep_one_sentinel_row(spark):
+    q = spark.createDataFrame([(7, None, 10.0, 6.0), (8, 20.0, None, 6.0)], "unid long, lat double, lon double, mag double") \
+        .withColumn("time", F.lit("2024-03-04 00:00:00").cast("timestamp_ntz"))
+    p = _points(spark, [(10, 20.0, 30.0), (11, 0.0, 10.0)])
+    rows = [(r.EARTHQUAKE_KEY, r.PORT_KEY, r.RISK_LEVEL) for r in risk_fact(q, p).collect()]
+    assert sorted(rows) == [("7", -1, "NONE"), ("8", -1, "NONE")]

@@ -179,3 +179,9 @@ def test_latest_snapshot_prunes_partitions(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "(snapshot_month#" in plan.split("PartitionFilters")[1].split("]")[0]
     assert [r.oid for r in df.collect()] == [3]
+
+
+def test_empty_landed_file_is_rejected(spark):
+    raw = _raw(spark, {(2024, 1): []})   # header only
+    with pytest.raises(DataQualityError):
+        clean_snapshot(raw, SPEC)
