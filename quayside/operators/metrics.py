@@ -16,22 +16,40 @@ def _agg(df: DataFrame, group_by, *exprs: Column) -> DataFrame:
     return df.groupBy(*group_by).agg(*exprs) if group_by else df.agg(*exprs)
 
 
+def distinct_count_expr(col: str, approx: bool = False) -> Column:
+    return (F.approx_count_distinct(col) if approx else F.countDistinct(col)).cast("bigint")
+
+
+def distinct_where_expr(col: str, cond: Column) -> Column:
+    return F.countDistinct(F.when(cond, F.col(col))).cast("bigint")
+
+
+def average_expr(col: str, exclude=None) -> Column:
+    return F.avg(F.col(col) if exclude is None else F.when(F.col(col) != F.lit(exclude), F.col(col)))
+
+
+def measures(df: DataFrame, group_by=None, **named: Column) -> DataFrame:
+    """Several measures in ONE aggregate pass, e.g.
+    ``measures(fact, ["EVENT_MONTH"], nearby=distinct_where_expr(...), avg=average_expr(...))``.
+    Evaluating them one by one and joining the results would scan (and
+    recompute) the input once per measure."""
+    return _agg(df, group_by, *[e.alias(k) for k, e in named.items()])
+
+
 def distinct_count(df: DataFrame, col: str, alias: str, group_by=None, approx: bool = False) -> DataFrame:
     """Exact distinct count (Spark splits it into a (group, value) partial
     aggregate first, so a hot group is spread over its values), or the
     HyperLogLog estimate with ``approx=True``."""
-    e = F.approx_count_distinct(col) if approx else F.countDistinct(col)
-    return _agg(df, group_by, e.cast("bigint").alias(alias))
+    return _agg(df, group_by, distinct_count_expr(col, approx).alias(alias))
 
 
 def distinct_where(df: DataFrame, col: str, cond: Column, alias: str, group_by=None) -> DataFrame:
-    return _agg(df, group_by, F.countDistinct(F.when(cond, F.col(col))).cast("bigint").alias(alias))
+    return _agg(df, group_by, distinct_where_expr(col, cond).alias(alias))
 
 
 def average(df: DataFrame, col: str, alias: str, group_by=None, exclude=None) -> DataFrame:
     """Mean ignoring NULLs; ``exclude`` drops a sentinel value (e.g. -1.0)."""
-    c = F.col(col) if exclude is None else F.when(F.col(col) != F.lit(exclude), F.col(col))
-    return _agg(df, group_by, F.avg(c).alias(alias))
+    return _agg(df, group_by, average_expr(col, exclude).alias(alias))
 
 
 def last_window_distinct(all_rows: DataFrame, filtered: DataFrame, ts: str, key: str, alias: str,

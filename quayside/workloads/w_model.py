@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quayside.functions.flags import add_communication_metrics, add_supply_metrics
 from quayside.functions.keys import date_key, time_key
-from quayside.operators.metrics import (average, cross_filter, distinct_count, distinct_where,
-                                        last_window_distinct, star_join)
+from quayside.operators.metrics import (average_expr, cross_filter, distinct_count_expr, distinct_where_expr,
+                                        last_window_distinct, measures, star_join)
 from quayside.plans.dims import dim_date
 from quayside.plans.risk import risk_fact
 from quayside.plans.views import fill_not_provided, location_map, location_map_detail
@@ -63,9 +63,8 @@ SELECT event_type, count(DISTINCT event_id) AS total_earthquakes, count(DISTINCT
 FROM events GROUP BY event_type""")
 def kpi_distinct(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    a = distinct_count(e, "event_id", "total_earthquakes", ["event_type"])
-    b = distinct_count(e, "user_id", "total_users", ["event_type"])
-    return a.join(b, "event_type")
+    return measures(e, ["event_type"], total_earthquakes=distinct_count_expr("event_id"),
+                    total_users=distinct_count_expr("user_id"))
 
 
 @register("kpi_last_24h", """
@@ -90,10 +89,9 @@ SELECT EVENT_YEAR, EVENT_MONTH,
 FROM fact GROUP BY EVENT_YEAR, EVENT_MONTH""")
 def kpi_filtered_distinct(spark, sf_dir):
     f = _fact(spark, sf_dir)
-    g = ["EVENT_YEAR", "EVENT_MONTH"]
-    a = distinct_where(f, "PORT_KEY", F.col("IS_NEARBY"), "nearby_ports", g)
-    b = distinct_where(f, "PORT_KEY", F.col("RISK_LEVEL") == "HIGH", "high_risk_ports", g)
-    return a.join(b, g)
+    return measures(f, ["EVENT_YEAR", "EVENT_MONTH"],
+                    nearby_ports=distinct_where_expr("PORT_KEY", F.col("IS_NEARBY")),
+                    high_risk_ports=distinct_where_expr("PORT_KEY", F.col("RISK_LEVEL") == "HIGH"))
 
 
 @register("kpi_averages", FACT_CTE + """
@@ -102,11 +100,9 @@ SELECT RISK_LEVEL, round(avg(DISTANCE_KM), 6) AS avg_distance_km,
 FROM fact GROUP BY RISK_LEVEL""")
 def kpi_averages(spark, sf_dir):
     f = _fact(spark, sf_dir)
-    a = average(f, "DISTANCE_KM", "avg_distance_km", ["RISK_LEVEL"])
-    b = average(f, "DISTANCE_KM", "avg_distance_km_matched", ["RISK_LEVEL"], exclude=-1.0)
-    return a.join(b, "RISK_LEVEL").select(
-        "RISK_LEVEL", F.round("avg_distance_km", 6).alias("avg_distance_km"),
-        F.round("avg_distance_km_matched", 6).alias("avg_distance_km_matched"))
+    return measures(f, ["RISK_LEVEL"],
+                    avg_distance_km=F.round(average_expr("DISTANCE_KM"), 6),
+                    avg_distance_km_matched=F.round(average_expr("DISTANCE_KM", exclude=-1.0), 6))
 
 
 @register("kpi_port_ratings", with_ctes(PORT_FLAGS_SQL) + f"""
