@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.operators.broadcast import broadcast_if_bounded
 from quayside.operators.dedupe import dedupe
 
 
@@ -94,3 +95,41 @@ def scd2_merge(current: DataFrame, snapshot: DataFrame, keys: list[str], tracked
     cols = current.columns
     return closed.select(*cols).unionByName(unchanged.select(*cols)).unionByName(to_close.select(*cols)) \
         .unionByName(new_rows.select(*cols))
+
+
+def scd2_from_snapshots(snapshots: DataFrame, keys: list[str], snapshot_col: str, tracked: list[str],
+                        order: list[str] | None = None) -> DataFrame:
+    """SCD2 history from a series of FULL snapshots (every member present in
+    a snapshot has one row there).
+
+    A version starts when a member appears, re-appears after missing from a
+    snapshot, or its tracked values change; it ends at the first later
+    snapshot where the member is missing or changed (``effective_to``), or
+    stays open (``is_current``). Several rows of one member in one snapshot
+    are reduced to the last by ``order`` first. Because a member has at most
+    one row per snapshot, the per-member window holds at most as many rows as
+    there are snapshots; the snapshot calendar is a small broadcast table.
+    """
+    order = list(order or [])
+    one = dedupe(snapshots.select(*keys, snapshot_col, *tracked, *order), [*keys, snapshot_col], order=order,
+                 keep="last").select(*keys, snapshot_col, *tracked)
+    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in tracked])
+    rows = one.withColumn("_h", h)
+    calendar = rows.select(snapshot_col).distinct()
+    cal_order = Window.orderBy(snapshot_col)  # one row per snapshot: bounded
+    calendar = calendar.select(snapshot_col, F.lag(snapshot_col).over(cal_order).alias("_gprev"),
+                               F.lead(snapshot_col).over(cal_order).alias("_gnext"))
+    calendar, _ = broadcast_if_bounded(calendar)
+    rows = rows.join(calendar, snapshot_col)
+    by_key = Window.partitionBy(*keys).orderBy(snapshot_col)
+    prev_snap, prev_h = F.lag(snapshot_col).over(by_key), F.lag("_h").over(by_key)
+    starts = prev_snap.isNull() | (prev_snap != F.col("_gprev")) | (prev_h != F.col("_h"))
+    rows = rows.withColumn("_start", starts.cast("int"))
+    rows = rows.withColumn("_version", F.sum("_start").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
+    versions = rows.groupBy(*keys, "_version").agg(
+        F.min(snapshot_col).alias("effective_from"), F.max(snapshot_col).alias("_last"),
+        F.min_by(F.struct(*tracked), F.col(snapshot_col)).alias("_t"))
+    ends = calendar.select(F.col(snapshot_col).alias("_last"), F.col("_gnext").alias("effective_to"))
+    out = versions.join(ends, "_last")
+    return out.select(*keys, *[F.col(f"_t.{c}").alias(c) for c in tracked], "effective_from", "effective_to",
+                      F.col("effective_to").isNull().alias("is_current"))

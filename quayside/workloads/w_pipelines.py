@@ -228,3 +228,34 @@ def vessel_port_risk_q(spark, sf_dir):
     fact = risk_fact(quakes(spark, sf_dir), ports(spark, sf_dir))
     return vessel_port_risk(snaps, fact, order=["l_orderkey", "l_linenumber"])
 
+
+
+@register("scd2_snapshots", """
+WITH snap AS (
+  SELECT oid, s, o_orderstatus FROM (
+    SELECT o_custkey AS oid, CAST(date_trunc('month', o_orderdate) AS DATE) AS s, o_orderstatus,
+           row_number() OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate)
+                              ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders) WHERE rn = 1),
+cal AS (SELECT s, lag(s) OVER (ORDER BY s) AS gprev, lead(s) OVER (ORDER BY s) AS gnext
+        FROM (SELECT DISTINCT s FROM snap)),
+r AS (SELECT snap.*, cal.gprev, cal.gnext,
+             lag(s) OVER (PARTITION BY oid ORDER BY s) AS ps,
+             lag(o_orderstatus) OVER (PARTITION BY oid ORDER BY s) AS pv
+      FROM snap JOIN cal USING (s)),
+v AS (SELECT *, sum(CASE WHEN ps IS NULL OR ps <> gprev OR pv <> o_orderstatus THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY oid ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ver
+      FROM r),
+g AS (SELECT oid, ver, min(s) AS effective_from, max(s) AS last_s, arg_min(o_orderstatus, s) AS o_orderstatus
+      FROM v GROUP BY oid, ver)
+SELECT g.oid, g.o_orderstatus, g.effective_from, cal.gnext AS effective_to, cal.gnext IS NULL AS is_current
+FROM g JOIN cal ON cal.s = g.last_s""")
+def scd2_snapshots(spark, sf_dir):
+    """Monthly full snapshots of each customer's order status (latest order of
+    the month); a customer missing from a month closes its version."""
+    from quayside.operators.scd import scd2_from_snapshots
+
+    o = table(spark, sf_dir, "orders")
+    snaps = o.select(F.col("o_custkey").alias("oid"), F.trunc("o_orderdate", "month").alias("s"),
+                     "o_orderstatus", "o_orderdate", "o_orderkey")
+    return scd2_from_snapshots(snaps, ["oid"], "s", ["o_orderstatus"], order=["o_orderdate", "o_orderkey"])

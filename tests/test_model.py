@@ -100,3 +100,17 @@ def test_vessel_trip(spark):
     assert (t[7].n_snapshots, t[7].scheduled_arrival, t[7].actual_arrival, t[7].arrival_delay_hours,
             t[7].trip_duration_hours, t[7].trip_status) == (2, d(2024, 1, 10), d(2024, 1, 12), 48, 264, "COMPLETED")
     assert t[8].trip_status == "IN_TRANSIT"
+
+
+def test_scd2_from_snapshots_handles_removal_and_return(spark):
+    from quayside.operators.scd import scd2_from_snapshots
+
+    m = [dt.date(2024, i, 1) for i in range(1, 6)]
+    rows = [(1, m[0], "A"), (1, m[1], "A"), (1, m[3], "A"), (1, m[4], "B"),   # missing in March, back, changed
+            (2, m[0], "X"), (2, m[1], "X"), (2, m[2], "X"), (2, m[3], "X"), (2, m[4], "X"),  # unchanged
+            (3, m[2], "N")]                                                     # new in March, gone in April
+    df = spark.createDataFrame(rows, "k int, s date, v string")
+    got = sorted((r.k, r.v, r.effective_from, r.effective_to, r.is_current)
+                 for r in scd2_from_snapshots(df, ["k"], "s", ["v"]).collect())
+    assert got == [(1, "A", m[0], m[2], False), (1, "A", m[3], m[4], False), (1, "B", m[4], None, True),
+                   (2, "X", m[0], None, True), (3, "N", m[2], m[3], False)]
