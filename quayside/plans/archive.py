@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,14 +82,16 @@ def incremental_archive(spark: SparkSession, source: DataFrame, *, archive_path:
     run_id = run_end.strftime("%Y%m%dT%H%M%S")
     part = with_date_parts(incremental_slice(source, slice_col, after=lower, up_to=run_end), event_ts) \
         .withColumn("run_id", F.lit(run_id))
-    stats = part.agg(F.count(F.lit(1)).alias("n"), F.min("ingestion_date").alias("lo"),
-                     F.max("ingestion_date").alias("hi")).first()
-    if stats["n"] == 0:
-        return ArchiveResult(run_id, lower, run_end, 0, 0, 0, "EMPTY", False)
     parts = ["run_id", "year", "month", "day"]
-    (cluster_for_write(part, parts, keys).write.mode("overwrite")
+    # the row count is observed by the write itself (no separate counting
+    # scan); an empty slice writes nothing under dynamic overwrite
+    written_count = Observation(f"archive-{run_id}")
+    clustered = cluster_for_write(part, parts, keys).observe(written_count, F.count(F.lit(1)).alias("n"))
+    (clustered.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
          .partitionBy(*parts).parquet(archive_path))
+    if not written_count.get.get("n"):
+        return ArchiveResult(run_id, lower, run_end, 0, 0, 0, "EMPTY", False)
     # verify: read back only this run's partitions (pruned by run_id)
     written = spark.read.parquet(archive_path).filter(F.col("run_id") == run_id)
     check = reconcile(part.select(*keys), written.select(*keys), keys).first()
