@@ -94,13 +94,18 @@ def merge_into_bucketed(spark: SparkSession, base: str, changes: DataFrame, keys
     """Fold one change batch into the bucketed state at ``base`` (CDC apply
     with tombstones)."""
     value_cols = value_cols or [c for c in changes.columns if c not in keys + [op, seq]]
-    latest = latest_changes(changes.select(*keys, *value_cols, op, seq), keys, seq)
+    # the folded batch feeds the bucket list, the merge and the staging write:
+    # keep it for the duration of this call only
+    latest = latest_changes(changes.select(*keys, *value_cols, op, seq), keys, seq).persist()
 
     def merge(current: DataFrame | None, batch: DataFrame) -> DataFrame:
         return apply_changes(current, batch, keys, op=op, seq=seq, value_cols=value_cols, mode=mode,
                              tombstones=True)
 
-    return rewrite_buckets(spark, base, latest, keys, batch_id=batch_id, buckets=buckets, merge=merge)
+    try:
+        return rewrite_buckets(spark, base, latest, keys, batch_id=batch_id, buckets=buckets, merge=merge)
+    finally:
+        latest.unpersist()
 
 
 def replace_into_bucketed(spark: SparkSession, base: str, rows: DataFrame, keys: list[str], *, batch_id: int,
