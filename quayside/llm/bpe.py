@@ -35,6 +35,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAF_CHARS = 16384
+from quayside.llm.common import slices, with_column
+
+LEAF_CHARS = 32768
 UNSPLIT_CHARS = 2048
 MARGIN = 64
 CACHE_WORDS = 300_000
@@ -53,6 +56,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # neighbours: up to U+024F, general punctuation and the euro sign.
 OUTSIDE_PLAIN = re.compile("[^\x00-ɏ‐-‧‰-⁞€]")
 
+BLANK_LETTER = re.compile("[ \n][a-zA-Z]")
+
 Tokens = tuple[np.ndarray, np.ndarray, np.ndarray]  # ids, first and end character of each token
 
 
@@ -160,29 +165,87 @@ class Codec:
         return np.asarray(e.ids, np.int64), places[:, 0], places[:, 1]
 
     def encode_unsplit(self, word: str) -> Tokens:
-        """One long unsplit word, by halves."""
-        def leaf(first: int, end: int) -> Tokens:
+        """One long unsplit word, by halves. It has no place that is known to
+        part two words, so the parts keep the places of all their tokens."""
+        def encode(first: int, end: int) -> Tokens:
             return self._library_tokens(self.merges, word[first:end], first)
 
-        def grow(first: int, end: int) -> Tokens:
+        def edge(part: Part, chars: int, at_end: bool) -> Tokens:
+            _, first, end = part.columns
+            if at_end:
+                return _rows(part.columns, slice(int(np.searchsorted(first, part.end - chars)), None))
+            return _rows(part.columns, slice(0, int(np.searchsorted(end, part.first + chars, side="right"))))
+
+        def grow(first: int, end: int) -> Part:
             if end - first <= self.unsplit_chars:
-                return leaf(first, end)
+                return Part(encode(first, end), first, end)
             cut = (first + end) // 2
-            return join(grow(first, cut), grow(cut, end), cut, leaf, first, end)
-
-        return grow(0, len(word))
+            return join(grow(first, cut), grow(cut, end), edge, encode)
+
+        return grow(0, len(word)).columns
+
+    def edge(self, text: str, part: Part, chars: int, at_end: bool) -> Tokens:
+        """Tokens of about ``chars`` characters at an end of a part, up to a
+        blank before an ASCII letter: words end there, so a part's tokens on
+        either side of it are those of the text on that side."""
+        first, end = part.first, part.end
+        if self.by_word and end - first > 2 * chars:
+            if at_end:
+                m = BLANK_LETTER.search(text, end - 2 * chars, end - chars)
+            else:
+                m = BLANK_LETTER.search(text, first + chars, first + 2 * chars)
+            if m and at_end:
+                first = m.start() + 1
+            elif m:
+                end = m.start() + 1
+            else:
+                return self.edge(text, part, 2 * chars, at_end)
+        return self.tokens(text[first:end], first)
+
+
+@dataclass
+class Part:
+    """The tokens of text[first:end]: their ids, and their places if kept."""
+
+    columns: tuple[np.ndarray, ...]
+    first: int
+    end: int
+
+
+def join(left: Part, right: Part, edge, encode, agree: int = 4) -> Part:
+    """One part from two neighbours.
+
+    ``edge(part, chars, at_end)`` gives the tokens at an end of a part,
+    ``encode(a, b)`` those of text[a:b]. The window spans an edge of each side
+    and grows by doubling until ``agree`` tokens at each of its ends, all
+    beyond the margin from the cut, are the sides' own; a side that it covers
+    whole needs no agreement.
+    """
+    chars = 4 * MARGIN
+    while True:
+        before, after = edge(left, chars, True), edge(right, chars, False)
+        n_left, n_right = len(left.columns[0]), len(right.columns[0])
+        whole_left, whole_right = len(before[0]) >= n_left, len(after[0]) >= n_right
+        start = left.first if whole_left or not len(before[0]) else int(before[1][0])
+        stop = right.end if whole_right or not len(after[0]) else int(after[2][-1])
+        inside = encode(start, stop)
+        if (whole_left or _agree(before, inside, slice(0, agree), left.end - MARGIN, None)) and \
+                (whole_right or _agree(after, inside, slice(-agree, None), None, left.end + MARGIN)):
+            columns = [np.concatenate([l[:max(0, n_left - len(before[0]))], w, r[len(after[0]):]])
+                       for l, w, r in zip(left.columns, inside, right.columns)]
+            return Part(tuple(columns), left.first, right.end)
+        chars *= 2
 
 
-def plain_pattern(regex) -> re.Pattern:
-    """``WORD_PATTERN`` for plain characters, with the classes spelt out as
-    ranges (several times faster). Contractions start with an apostrophe,
-    which is in neither class, so they need not come first."""
-    plain = [c for c in map(chr, range(0x2100)) if not OUTSIDE_PLAIN.search(c) or c == "\u0307"]  # U+0307: from dotted I
+def _rows(columns, rows: slice):
+    return tuple(c[rows] for c in columns)
 
-    def cls(pattern: str) -> str:
-        return "".join(f"\\u{ord(c):04x}" for c in plain if regex.fullmatch(pattern, c))
 
-    return re.compile(f"[{cls(r'\p{L}')}]+|[{cls(r'\p{N}')}]|'(?:s|t|re|ve|m|ll|d)|[{cls(r'[^\s\p{L}\p{N}]')}]+")
+def _agree(side: Tokens, inside: Tokens, rows: slice, before: int | None, after: int | None) -> bool:
+    (ids, first, end), own = _rows(side, rows), _rows(inside, rows)
+    n = abs(rows.stop or rows.start)
+    return len(ids) == n and (before is None or end[-1] <= before) and (after is None or first[0] >= after) \
+        and all(np.array_equal(a, b) for a, b in zip((ids, first, end), own))
 
 
 def concat(parts: list[Tokens]) -> Tokens:
@@ -192,34 +255,26 @@ def concat(parts: list[Tokens]) -> Tokens:
     return tuple(np.concatenate(column) for column in zip(*parts))  # type: ignore[return-value]
 
 
-def join(left: Tokens, right: Tokens, cut: int, encode, first: int, end: int, agree: int = 4) -> Tokens:
-    """Tokens of text[first:end] from those of its halves at ``cut``.
+def codec(vocab_path: str) -> Codec:
+    """One codec in a worker process, kept from task to task with its cache."""
+    if vocab_path not in _CODECS:
+        _CODECS[vocab_path] = Codec(vocab_path)
+    return _CODECS[vocab_path]
 
-    ``encode(a, b)`` gives the tokens of text[a:b]. The window grows by
-    doubling until ``agree`` tokens at each of its ends, all beyond the margin
-    from the cut, are the sides' own; a side that the window covers whole
-    needs no agreement.
-    """
-    n_left, n_right, width = len(left[0]), len(right[0]), 64
-    while True:
-        a, b = max(0, n_left - width), min(n_right, width)
-        start = int(left[1][a]) if a else first
-        stop = int(right[2][b - 1]) if b < n_right else end
-        inside = encode(start, stop)
-        if (a == 0 or _agrees(left, a, inside, 0, agree, cut - MARGIN, None)) and \
-                (b == n_right or _agrees(right, b - agree, inside, len(inside[0]) - agree, agree, None, cut + MARGIN)):
-            return concat([tuple(x[:a] for x in left), inside, tuple(x[b:] for x in right)])  # type: ignore[list-item]
-        width *= 2
 
+_CODECS: dict[str, Codec] = {}
 
-def _agrees(side: Tokens, i: int, inside: Tokens, j: int, n: int, before: int | None, after: int | None) -> bool:
-    if i < 0 or j < 0 or i + n > len(side[0]) or j + n > len(inside[0]):
-        return False
-    if before is not None and (side[2][i + n - 1] > before or i and side[2][i - 1] > side[1][i]):
-        return False
-    if after is not None and (side[1][i] < after or i + n < len(side[0]) and side[2][i + n - 1] > side[1][i + n]):
-        return False
-    return all(np.array_equal(s[i:i + n], w[j:j + n]) for s, w in zip(side, inside))
+
+def plain_pattern(regex) -> re.Pattern:
+    """``WORD_PATTERN`` for plain characters, with the classes spelt out as
+    ranges (several times faster). Contractions start with an apostrophe,
+    which is in neither class, so they need not come first."""
+    plain = [c for c in map(chr, range(0x2100)) if not OUTSIDE_PLAIN.search(c) or c == "\u0307"]  # U+0307: from dotted I
+
+    def cls(pattern: str) -> str:
+        return "".join(f"\\u{ord(c):04x}" for c in plain if regex.fullmatch(pattern, c))
+
+    return re.compile(f"[{cls(r'\p{L}')}]+|[{cls(r'\p{N}')}]|'(?:s|t|re|ve|m|ll|d)|[{cls(r'[^\s\p{L}\p{N}]')}]+")
 
 
 def cuts(text: str, leaf_chars: int) -> list[int]:
@@ -236,23 +291,18 @@ def cuts(text: str, leaf_chars: int) -> list[int]:
     return [*out, len(text)]
 
 
-def join_leaves(codec: Codec, text: str, bounds: list[int], leaves: list[Tokens]) -> Tokens:
-    """Join neighbouring leaves pairwise, level by level."""
-    def encode(a: int, b: int) -> Tokens:
-        return codec.tokens(text[a:b], a)
+def join_leaves(codec: Codec, text: str, parts: list[Part]) -> Part:
+    """Join neighbouring parts pairwise, level by level."""
+    def encode(first: int, end: int) -> Tokens:
+        return codec.tokens(text[first:end], first)
+
+    def edge(part: Part, chars: int, at_end: bool) -> Tokens:
+        return codec.edge(text, part, chars, at_end)
 
-    spans = list(zip(bounds, bounds[1:]))
-    while len(leaves) > 1:
-        up_leaves, up_spans = [], []
-        for k in range(0, len(leaves) - 1, 2):
-            (first, cut), (_, end) = spans[k], spans[k + 1]
-            up_leaves.append(join(leaves[k], leaves[k + 1], cut, encode, first, end))
-            up_spans.append((first, end))
-        if len(leaves) % 2:
-            up_leaves.append(leaves[-1])
-            up_spans.append(spans[-1])
-        leaves, spans = up_leaves, up_spans
-    return leaves[0]
+    while len(parts) > 1:
+        parts = [join(*pair, edge, encode) if len(pair) == 2 else pair[0]
+                 for pair in (parts[k:k + 2] for k in range(0, len(parts), 2))]
+    return parts[0]
 
 
 def _ids_bytes(tokens: Tokens) -> bytes:
@@ -269,52 +319,45 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
     long = texts.filter(F.length("_text") > leaf_chars)
 
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(vocab_path)
-        for batch in batches:
-            ids = pa.array([codec.encode(t) for t in batch.column(1).to_pylist()], pa.binary())
+        for batch in slices(batches, "_text"):
+            ids = pa.array([codec(vocab_path).encode(t) for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, text, row in batch.itertuples(index=False):
                 bounds = cuts(text, leaf_chars)
-                yield pd.DataFrame({"_id": key, "_row": row, "_n": np.arange(len(bounds) - 1),
-                                    "_at": bounds[:-1], "_text": [text[a:b] for a, b in zip(bounds, bounds[1:])]}
-                                   ).astype({"_n": "int64", "_at": "int64"})
+                parts = list(zip(bounds, bounds[1:]))
+                yield pd.DataFrame({"_id": [key] * len(parts), "_row": row, "_n": range(len(parts)),
+                                    "_text": [text[a:b] for a, b in parts]})
 
     def encode_leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(vocab_path)
         for batch in batches:
-            found = [codec.tokens(t, at) for t, at in zip(batch["_text"], batch["_at"])]
-            for k, name in enumerate(("_ids", "_first", "_end")):
-                batch[name] = [x[k].astype(np.int64).tobytes() for x in found]
-            yield batch
+            yield batch.assign(_ids=[codec(vocab_path).encode(t) for t in batch["_text"]])
 
     def join_text(group: pd.DataFrame) -> pd.DataFrame:
-        codec = Codec.__dict__.get("_kept") or Codec(vocab_path)
-        Codec._kept = codec  # type: ignore[attr-defined]
         group = group.sort_values("_n")
-        bounds = [*group["_at"].tolist(), int(group["_at"].iloc[-1]) + len(group["_text"].iloc[-1])]
-        parts = [tuple(np.frombuffer(row[c], np.int64) for c in ("_ids", "_first", "_end")) for _, row in group.iterrows()]
-        tokens = join_leaves(codec, "".join(group["_text"]), bounds, parts)
-        return pd.DataFrame({id_col: group["_id"].iloc[:1], "ids": [_ids_bytes(tokens)]})
+        ends = np.cumsum(group["_text"].str.len())
+        parts = [Part((np.frombuffer(ids, "<u4"),), end - len(text), end)
+                 for ids, text, end in zip(group["_ids"], group["_text"], ends.tolist())]
+        whole = join_leaves(codec(vocab_path), "".join(group["_text"]), parts)
+        return pd.DataFrame({id_col: group["_id"].iloc[:1], "ids": [whole.columns[0].astype("<u4").tobytes()]})
 
     kind = id_field.dataType.simpleString()
-    leaf_rows = long.mapInPandas(leaves, f"_id {kind}, _row long, _n long, _at long, _text string").repartition("_row", "_n")
-    encoded = leaf_rows.mapInPandas(
-        encode_leaf, f"_id {kind}, _row long, _n long, _at long, _text string, _ids binary, _first binary, _end binary")
+    leaf_rows = long.mapInPandas(leaves, f"_id {kind}, _row long, _n long, _text string").repartition("_row", "_n")
+    encoded = leaf_rows.mapInPandas(encode_leaf, f"_id {kind}, _row long, _n long, _text string, _ids binary")
     return short.mapInArrow(encode_short, spark_ids).unionByName(encoded.groupBy("_row").applyInPandas(join_text, spark_ids))
 
 
 def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """Adds the text that the ids decode to."""
-    schema = encoded.schema.add(text_col, "string")
+    encoded = encoded.drop(text_col)
+    schema = with_column(encoded, text_col, "string")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(vocab_path)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            texts = pa.array([codec.decode(x or b"") for x in ids], pa.string())
+            texts = pa.array([codec(vocab_path).decode(x or b"") for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, text_col])
 
     return encoded.mapInArrow(decode, schema)
@@ -327,13 +370,12 @@ def bpe_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_c
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(vocab_path)
         for batch in batches:
             ids = [x or b"" for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(codec.decode(x).encode()).hexdigest() for x in ids])],
+                pa.array([hashlib.sha256(codec(vocab_path).decode(x).encode()).hexdigest() for x in ids])],
                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(digest, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
