@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
 
 from quayside.session import scratch_path
 
@@ -25,6 +26,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_column(df: DataFrame, name: str, kind: str) -> StructType:
+    """The schema of ``df`` and one more column."""
+    return StructType([*df.schema.fields, StructField(name, DataType.fromDDL(kind))])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

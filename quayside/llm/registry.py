@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.bpe import bpe_digests
 from quayside.llm.common import table
+from quayside.llm.quality import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQLS: dict[str, str] = {}
@@ -24,6 +25,12 @@ def vocab_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the rows not held out."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again; digests of both."""
