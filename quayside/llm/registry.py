@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quayside.llm.ann import nearest
 from quayside.llm.bpe import bpe_digests
 from quayside.llm.common import table
 from quayside.llm.quality import quality_scores
+from quayside.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQLS: dict[str, str] = {}
@@ -35,3 +38,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again; digests of both."""
     return bpe_digests(table(spark, sf_dir, "documents"), vocab_path())
+
+
+@query
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest by cosine of every vector whose id is divisible by 50."""
+    return nearest(table(spark, sf_dir, "embeddings"), 5, lambda i: F.col(i) % 50 == 0)
+
+
+@query
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products of every vector whose id is divisible by 20."""
+    return exact_top_k(table(spark, sf_dir, "embeddings"), 20, lambda i: F.col(i) % 20 == 0)
