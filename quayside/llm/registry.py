@@ -12,6 +12,7 @@ from quayside.llm.bpe import bpe_digests
 from quayside.llm.common import table
 from quayside.llm.quality import quality_scores
 from quayside.llm.topk import exact_top_k
+from quayside.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQLS: dict[str, str] = {}
@@ -34,6 +35,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to Zstandard WARC archives and read back."""
+    return archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again; digests of both."""
