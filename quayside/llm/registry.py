@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from quayside.llm.ann import nearest
 from quayside.llm.bpe import bpe_digests
 from quayside.llm.common import table
+from quayside.llm.lines import LINES_SQL, drop_boilerplate
+from quayside.llm.mixing import MIX_SQL, domain_of, mix_sources
 from quayside.llm.quality import quality_scores
 from quayside.llm.topk import exact_top_k
 from quayside.llm.warc import archive_round_trip
@@ -18,6 +20,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQLS: dict[str, str] = {}
 
 
+ORACLE_SQLS["op2_lines"] = LINES_SQL
+ORACLE_SQLS["op3_mixing"] = MIX_SQL
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -35,6 +41,20 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that are boilerplate across sites."""
+    kept = drop_boilerplate(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document."""
+    docs = table(spark, sf_dir, "documents").withColumn("domain", domain_of())
+    return mix_sources(docs).select("doc_id", "domain", "n_tokens", "copies")
+
+
 @query
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to Zstandard WARC archives and read back."""
