@@ -48,7 +48,7 @@ from quayside.llm.common import slices, with_column
 LEAF_CHARS = 32768
 UNSPLIT_CHARS = 2048
 MARGIN = 64
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 # Fixed value: the splitter pattern of the vocabulary file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
