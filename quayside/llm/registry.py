@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quayside.llm.ann import nearest
 from quayside.llm.bpe import bpe_digests
 from quayside.llm.common import table
+from quayside.llm.extract import extract_text
 from quayside.llm.lines import LINES_SQL, drop_boilerplate
 from quayside.llm.mixing import MIX_SQL, domain_of, mix_sources
 from quayside.llm.quality import quality_scores
@@ -62,6 +63,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+@query
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded again; digests of both."""
