@@ -11,6 +11,7 @@ from quayside.llm.ann import nearest
 from quayside.llm.bpe import bpe_digests
 from quayside.llm.common import table
 from quayside.llm.extract import extract_text
+from quayside.llm.jaccard import jaccard_components
 from quayside.llm.lines import LINES_SQL, drop_boilerplate
 from quayside.llm.mixing import MIX_SQL, domain_of, mix_sources
 from quayside.llm.quality import quality_scores
@@ -81,6 +82,12 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), 5, lambda i: F.col(i) % 50 == 0)
 
 
+@query
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every vector whose id is divisible by 20."""
