@@ -65,12 +65,20 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
 
 
-def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+def moderate(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, those of extreme size scaled so that squares neither
+    overflow nor vanish; a cosine does not change by that."""
+    top = np.abs(vectors).max(1, keepdims=True, initial=0)
+    return np.where((top < 1e-100) | (top > 1e100), vectors / np.where(top == 0, 1, top), vectors)
+
+
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors * vectors).sum(1))
+
+
+def cosines(rows: np.ndarray, norms: np.ndarray, query: np.ndarray, norm: float) -> np.ndarray:
     """In double precision; a row's value does not depend on the other rows."""
-    top = np.abs(rows).max(1, keepdims=True), np.abs(query).max()
-    if not (1e-100 < top[0].min() and top[0].max() < 1e100 and 1e-100 < top[1] < 1e100):
-        rows, query = rows / top[0], query / top[1]
-    return (rows * query).sum(1) / (np.sqrt((rows * rows).sum(1)) * math.sqrt((query * query).sum()))
+    return (rows * query).sum(1) / (norms * norm)
 
 
 @dataclass
@@ -135,29 +143,37 @@ class KdTree:
 
         leaves = list(grow(order))
         order, starts = np.concatenate(leaves), np.cumsum([0, *map(len, leaves)])
-        self.ids, self.vectors, self.points, self.starts = ids[order], vectors[order], points[order], starts
+        self.ids, self.vectors, self.points, self.starts = ids[order], moderate(vectors[order]), points[order], starts
+        self.norms = lengths(self.vectors)
         self.low = np.minimum.reduceat(self.points, starts[:-1])
         self.high = np.maximum.reduceat(self.points, starts[:-1])
 
     def search(self, own: int, query: np.ndarray, point: np.ndarray, k: int, reach: float, quantile: float):
         """Ids and cosines of the k nearest found, none farther than ``reach``
-        (a squared distance). Leaves come in order of their boxes' distances."""
+        (a squared distance). Leaves come in order of their boxes' distances,
+        a few at first and then twice as many at a time."""
         away = box_distance(self.low, self.high, point)
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        for leaf in np.argsort(away, kind="stable"):
-            if away[leaf] > quantile * reach:
-                break
-            rows = slice(self.starts[leaf], self.starts[leaf + 1])
+        leaves = np.argsort(away, kind="stable")
+        norm = float(lengths(query[None, :])[0])
+        ids, scores, at, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
+        while at < len(leaves) and away[leaves[at]] <= quantile * reach:
+            some = leaves[at:at + step]
+            some = some[away[some] <= quantile * reach]
+            rows = np.concatenate([np.arange(self.starts[x], self.starts[x + 1]) for x in some])
+            at, step = at + step, 2 * step
             gap = self.points[rows] - point
-            near = np.flatnonzero(((gap * gap).sum(1) <= quantile * reach) & (self.ids[rows] != own))
-            if len(near):
-                ids = np.concatenate([ids, self.ids[rows][near]])
-                scores = np.concatenate([scores, cosines(self.vectors[rows][near], query)])
-                if len(ids) > k:
-                    top = np.lexsort((ids, -scores))[:k]
-                    ids, scores = ids[top], scores[top]
-                if len(ids) == k:
-                    reach = min(reach, _distance(scores.min()))
+            rows = rows[((gap * gap).sum(1) <= quantile * reach) & (self.ids[rows] != own)]
+            if not len(rows):
+                continue
+            ids = np.concatenate([ids, self.ids[rows]])
+            scores = np.concatenate([scores, cosines(self.vectors[rows], self.norms[rows], query, norm)])
+            if len(ids) > k:
+                worst = -np.partition(-scores, k - 1)[k - 1]
+                ids, scores = ids[scores >= worst], scores[scores >= worst]
+                top = np.lexsort((ids, -scores))[:k]
+                ids, scores = ids[top], scores[top]
+            if len(ids) == k:
+                reach = min(reach, _distance(scores.min()))
         return ids, scores
 
 
@@ -209,7 +225,7 @@ def nearest(vectors: DataFrame, k: int, is_query: Callable[[str], Column], id_co
         own = matrix(held["vec"])
         dim = own.shape[1]
         tree, points = KdTree(held["id"].to_numpy(), own, project(dim, own)), project(dim, vecs)
-        got = [tree.search(*x, k, r, quantile) for *x, r in zip(ids, vecs, points, reach)]
+        got = [tree.search(*x, k, r, quantile) for *x, r in zip(ids, moderate(vecs), points, reach)]
         return pd.DataFrame({"query_id": np.repeat(ids, [len(g[0]) for g in got]),
                              "vec_id": np.concatenate([g[0] for g in got]), "score": np.concatenate([g[1] for g in got])})
 
