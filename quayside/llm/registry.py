@@ -15,6 +15,7 @@ from quayside.llm.jaccard import jaccard_components
 from quayside.llm.lines import LINES_SQL, drop_boilerplate
 from quayside.llm.mixing import MIX_SQL, domain_of, mix_sources
 from quayside.llm.quality import quality_scores
+from quayside.llm.substrings import cut_digests
 from quayside.llm.topk import exact_top_k
 from quayside.llm.warc import archive_round_trip
 
@@ -64,6 +65,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+@query
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that start in an earlier one."""
+    return cut_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
