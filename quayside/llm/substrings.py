@@ -183,7 +183,7 @@ def _rows(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.Table:
 
 
 # buckets -------------------------------------------------------------------
-def shared_anchors(table: pa.Table) -> pa.Table:
+def shared_anchors(table):
     """Per batch and anchor, in the order sent: 0 in one document only, 1
     shared, 2 shared by very many texts."""
     blobs = table.column("sent").to_pylist()
@@ -334,16 +334,16 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     batches = buckets = max(LEAST_BATCHES, -(-total // BATCH_BYTES))
     rows = rows.select(F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(batches)).alias("batch"), "doc_id", "text")
 
-    def anchors(key, table: pa.Table) -> pa.Table:
+    def anchors(key, table):
         return send_anchors(key[0].as_py(), Batch.of(table, length), buckets)
 
-    def texts(key, table: pa.Table, answers: pa.Table) -> pa.Table:
+    def texts(key, table, answers):
         return send_texts(key[0].as_py(), Batch.of(table, length), answers, buckets, length)
 
-    def older(table: pa.Table) -> pa.Table:
+    def older(table):
         return older_windows(table, length)
 
-    def cut(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def cut(table, answers):
         batch = Batch.of(table, length)
         out = cut_rows(batch, covered(batch, answers, buckets, length))
         return finish(out) if finish else out
