@@ -364,18 +364,21 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_c
 
 
 def bpe_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
-                leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """Per document: n_tokens, ids_sha256 and decoded_sha256 (lower-case hex)."""
+                leaf_chars: int = LEAF_CHARS, keep_ids: bool = False) -> DataFrame:
+    """Per document: n_tokens, ids_sha256 and decoded_sha256 (lower-case hex),
+    and the ids themselves if they are to be kept."""
     encoded = bpe_encode(docs, vocab_path, id_col, text_col, leaf_chars)
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "ids"):
             ids = [x or b"" for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(codec(vocab_path).decode(x).encode()).hexdigest() for x in ids])],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return encoded.mapInArrow(digest, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                       pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                       pa.array([hashlib.sha256(codec(vocab_path).decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                       *([batch.column(1)] if keep_ids else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
+    return encoded.mapInArrow(digest, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+                              + (", ids binary" if keep_ids else ""))

@@ -13,10 +13,11 @@ Lines are known by two independent 64-bit hashes. Texts move once, to be
 joined with the numbers of the lines that they lose.
 
 Defined cases: a null text has no lines and stays null; blank lines are never
-counted and never removed; an empty line list gives an empty text; a null site is no site; a null doc_id sorts
-first; rows with equal id and text are alike (each keeps a line of which they
-hold the first occurrence); an empty table gives an empty result; other
-columns pass through ``drop_boilerplate`` untouched.
+counted and never removed; an empty text stays empty; a null site is no site;
+a null doc_id sorts first; rows with equal id and text are alike (each keeps a
+line of which they hold the first occurrence); an empty table gives an empty
+result; other columns pass through ``drop_boilerplate`` untouched, but for
+those of names that it adds or uses inside.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str =
                      site_col: str = "source") -> DataFrame:
     """``docs`` with the boilerplate lines taken out of the text, and the
     columns n_lines and n_removed (which replace columns of those names)."""
-    docs = docs.drop("n_lines", "n_removed")
+    docs = docs.drop("n_lines", "n_removed", "_doc", "_text_hash", "_lost", "_lost_doc", "_lost_text")
     doc, text_hash = row_key(id_col, text_col)
     lost = lost_lines(docs, id_col, text_col, site_col, min_sites) \
         .select(F.col("_doc").alias("_lost_doc"), F.col("_text_hash").alias("_lost_text"), "_lost")

@@ -20,8 +20,8 @@ Tokens are words `[^\\x20\\x09-\\x0D]+`. Defined cases: a null or empty text has
 tokens (it is in every epoch and fits while its place in the order is
 reached); a null in a level column is a node of its own, named ''; equal rows
 are told apart by nothing and so ranked anyhow among themselves; an empty
-table gives an empty result; columns of the names added are replaced; other
-columns pass through.
+table gives an empty result; columns of the names that are added or used
+inside are replaced; other columns pass through.
 """
 
 from __future__ import annotations
@@ -110,8 +110,8 @@ def _place(mix: Mix, id_col: str) -> Column:
 def mix_sources(docs: DataFrame, mix: Mix = DEFAULT_MIX, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with n_tokens and copies: how often the mix takes each document
     (0: not at all). The level columns are read as text."""
-    docs = docs.drop("n_tokens", "copies")
     levels = [f"_{x}" for x in mix.levels]
+    docs = docs.drop("n_tokens", "copies", "epochs", "cut", "_text_hash", *levels)
     inner = Mix(tuple(levels), {f"_{k}": v for k, v in mix.weights.items()}, mix.budget_percent, mix.max_epochs, mix.seed)
     rows = docs.withColumns({f"_{x}": F.coalesce(F.col(x).cast("string"), F.lit("")) for x in mix.levels}
                             | {"n_tokens": token_count(text_col), "_text_hash": F.xxhash64(text_col)})
