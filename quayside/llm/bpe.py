@@ -269,7 +269,8 @@ def plain_pattern(regex) -> re.Pattern:
     """``WORD_PATTERN`` for plain characters, with the classes spelt out as
     ranges (several times faster). Contractions start with an apostrophe,
     which is in neither class, so they need not come first."""
-    plain = [c for c in map(chr, range(0x2100)) if not OUTSIDE_PLAIN.search(c) or c == "\u0307"]  # U+0307: from dotted I
+    # what lower-casing a plain text can give; a few capitals' small letters lie outside the range
+    plain = sorted({x for c in map(chr, range(0x2100)) if not OUTSIDE_PLAIN.search(c) for x in c.lower()})
 
     def cls(pattern: str) -> str:
         return "".join(f"\\u{ord(c):04x}" for c in plain if regex.fullmatch(pattern, c))
