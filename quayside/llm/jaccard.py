@@ -15,7 +15,7 @@ similarity of at least ``percent`` / 100. The method is prefix filtering:
 
 Documents of equal word sequence are one node (their sets are equal). Links
 are wanted for components, so groups of near copies are joined step by step:
-neighbours of a posting list first (and its smallest node), then wider gaps,
+neighbours in a posting list first (and its smallest node), then wider gaps,
 each step leaving out pairs that are connected already; the last step takes
 every pair that is left. No connected pair and no pair of a group is emitted
 without need, and no link between different components is lost.
@@ -50,8 +50,9 @@ SLICE_BYTES = 8 << 20
 CHUNK = 1 << 16  # entries of the count table in a row
 LEAST_BUCKETS = 64
 POSTINGS_PER_BUCKET = 1_000_000
-GAPS = ((1, 2), (2, 64), (64, None))  # distances in a posting list, by step
+GAPS = ((2, 64), (64, None))  # distances in a posting list, by step after the first
 SEEN_NODES = 1_000_000
+MAP_BITS = 1 << 27  # 16 MB
 
 
 def least_overlap(nx, ny, percent: int):
@@ -166,8 +167,9 @@ def post(docs: DataFrame, size: int, percent: int, classes, bits: int, buckets:
     return docs.mapInArrow(rows, "bucket int, postings binary")
 
 
-def shared_lists(group: pd.DataFrame) -> pd.DataFrame:
-    """Of a bucket: the posting lists with at least two nodes, by n-gram, size and node."""
+def shared_lists(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Of a bucket: the first step's pairs (as rows with b), and the posting
+    lists that hold pairs for later steps, by n-gram, size and node."""
     ngram, node, n, place = unpack(group["postings"])
     order = np.argsort(ngram, kind="stable")
     ngram, node, n, place = ngram[order], node[order], n[order], place[order]
@@ -180,47 +182,79 @@ def shared_lists(group: pd.DataFrame) -> pd.DataFrame:
     if len(ngram):  # a node posted by two tasks
         own = np.concatenate([[True], (ngram[1:] != ngram[:-1]) | (node[1:] != node[:-1])])
         ngram, node, n, place = ngram[own], node[own], n[own], place[own]
-    return pd.DataFrame({"bucket": np.full(len(ngram), group["bucket"].iloc[0], np.int32), "ngram": ngram.view(np.int64),
-                         "node": node, "n": n, "place": place})
-
-
-def candidates(lists: pd.DataFrame, percent: int, gaps: tuple[int, int | None], hub: bool) -> pd.DataFrame:
-    """Distinct pairs of one bucket's lists at the given distances that pass
-    the size and positional filters and are not yet connected (column root)."""
-    lists = lists.sort_values(["ngram", "n", "node"], kind="stable")
-    ngram, node, n, place, root = (lists[c].to_numpy() for c in ("ngram", "node", "n", "place", "root"))
-    starts = np.flatnonzero(np.concatenate([[True], ngram[1:] != ngram[:-1]]))
-    ends = np.append(starts[1:], len(ngram))
-    found = []
-
-    def test(i: np.ndarray, j: np.ndarray) -> None:
-        small, large = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
-        first = np.minimum(n[i] - place[i], n[j] - place[j])  # most overlap if this is the first common n-gram
-        keep = (root[i] != root[j]) & (100 * small >= percent * large) & (first >= least_overlap(small, large, percent))
-        if keep.any():
-            a, b = node[i[keep]], node[j[keep]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
-
-    length = np.repeat(ends - starts, ends - starts)
-    rest = np.repeat(ends, ends - starts) - np.arange(len(ngram)) - 1  # postings after this one
-    if hub:
-        least = np.minimum.reduceat(node, starts)
-        at_least = np.flatnonzero(node == np.repeat(least, ends - starts))
-        test(np.arange(len(ngram)), np.repeat(at_least, ends - starts))
-    low, high = gaps
-    if high is not None:
-        for gap in range(low, min(high, int(length.max(initial=0)))):
-            i = np.flatnonzero(rest >= gap)
-            test(i, i + gap)
-    else:
-        for a, b in zip(starts, ends):
-            if b - a <= low or (root[a:b] == root[a]).all():
+    lists = Lists(ngram.view(np.int64), node, n, place, node, percent)
+    pairs = lists.pairs([lists.at_gap(1), lists.to_hub()])
+    later = np.repeat(lists.has_later_pairs(), lists.sizes)
+    bucket = group["bucket"].iloc[0]
+    first = pd.DataFrame({"bucket": bucket, "ngram": 0, "node": pairs[0], "n": 0, "place": 0, "b": pd.array(pairs[1], "Int64")})
+    rest = pd.DataFrame({"bucket": bucket, "ngram": lists.ngram[later], "node": node[later], "n": n[later], "place": place[later],
+                         "b": pd.array([None] * int(later.sum()), "Int64")})
+    return pd.concat([first, rest])
+
+
+class Lists:
+    """Posting lists of a bucket in order of n-gram, size and node, and the
+    component (root) of each node so far."""
+
+    def __init__(self, ngram, node, n, place, root, percent: int):
+        self.ngram, self.node, self.n, self.place, self.root, self.percent = ngram, node, n, place, root, percent
+        self.starts = np.flatnonzero(np.concatenate([[True], ngram[1:] != ngram[:-1]])) if len(ngram) else np.zeros(0, np.int64)
+        self.sizes = np.diff(np.append(self.starts, len(ngram)))
+        self.rest = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(ngram)) - 1  # postings after each
+
+    def test(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs that pass the size and positional filters and are not connected."""
+        small, large = np.minimum(self.n[i], self.n[j]).astype(np.int64), np.maximum(self.n[i], self.n[j]).astype(np.int64)
+        most = np.minimum(self.n[i] - self.place[i], self.n[j] - self.place[j])  # overlap if this is the first common n-gram
+        keep = (self.root[i] != self.root[j]) & (100 * small >= self.percent * large) & (most >= least_overlap(small, large, self.percent))
+        return i[keep], j[keep]
+
+    def at_gap(self, gap: int) -> tuple[np.ndarray, np.ndarray]:
+        i = np.flatnonzero(self.rest >= gap)
+        return self.test(i, i + gap)
+
+    def to_hub(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every node with the smallest of its list."""
+        if not len(self.starts):
+            return self.starts, self.starts
+        hub = np.flatnonzero(self.node == np.repeat(np.minimum.reduceat(self.node, self.starts), self.sizes))
+        return self.test(np.arange(len(self.node)), np.repeat(hub, self.sizes))
+
+    def beyond(self, gap: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """All pairs at ``gap`` or more, of nodes outside a list's largest component with all others."""
+        found = []
+        for a, size in zip(self.starts, self.sizes):
+            b, root = a + size, self.root[a:a + size]
+            if size <= gap or (root == root[0]).all():
                 continue
-            roots, counts = np.unique(root[a:b], return_counts=True)
-            for i in np.flatnonzero(root[a:b] != roots[counts.argmax()]) + a:  # the largest part is connected
-                j = np.concatenate([np.arange(a, max(a, i - low + 1)), np.arange(min(b, i + low), b)])
-                test(np.full(len(j), i), j)
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+            roots, counts = np.unique(root, return_counts=True)
+            for i in np.flatnonzero(root != roots[counts.argmax()]) + a:
+                j = np.concatenate([np.arange(a, max(a, i - gap + 1)), np.arange(min(b, i + gap), b)])
+                found.append(self.test(np.full(len(j), i), j))
+        return found
+
+    def has_later_pairs(self, looked: int = 64) -> np.ndarray:
+        """Per list, whether a pair at gap 2 or more passes; a list longer than ``looked`` is taken to have one."""
+        has = self.sizes > looked
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        for gap in range(2, min(looked, int(self.sizes.max(initial=0)))):
+            has[owner[self.at_gap(gap)[0]]] = True
+        return has
+
+    def pairs(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Distinct pairs of nodes, the smaller first."""
+        i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        a, b = self.node[i], self.node[j]
+        return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+
+
+def candidates(group: pd.DataFrame, percent: int, low: int, high: int | None) -> pd.DataFrame:
+    """Distinct pairs of one bucket's lists at gaps from low on, below high."""
+    group = group.sort_values(["ngram", "n", "node"], kind="stable")
+    lists = Lists(*(group[c].to_numpy() for c in ("ngram", "node", "n", "place", "root")), percent)
+    longest = int(lists.sizes.max(initial=0))
+    found = lists.beyond(low) if high is None else [lists.at_gap(gap) for gap in range(low, min(high, longest))]
+    pairs = lists.pairs(found)
     return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
 
 
@@ -249,16 +283,36 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
+def id_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap by a hash of the ids, 64 bits an id and at most MAP_BITS in
+    all, and its number of bits. It can only let more ids pass."""
+    bits = min(MAP_BITS, max(1 << 15, 1 << (64 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    rows = ids.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        out[(r.part - 1) * 4096:r.part * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out, bits
+
+
 def node_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, ngrams) of the wanted nodes, (doc_id, node)."""
+    """(node, ngrams) of at least the wanted documents (doc_id). The texts stay
+    where they are: a bitmap of bounded size picks the documents."""
+    bitmap, bits = id_filter(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, hashes, bounds in batch_texts(batches, 1):
-            nodes = sequence_hashes(hashes, bounds)[0]
-            own = nodes == batch.column(0).to_numpy()  # not another text under the same id
-            sets = [shingles(hashes[a:b], size).tobytes() for a, b, k in zip(bounds, bounds[1:], own) if k]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(sets, pa.binary())], names=["node", "ngrams"])
+        for batch in batches:
+            place = batch.column(2).to_numpy()
+            picked = batch.filter(pa.array((shared.value[place >> 3] >> (place & 7) & 1).astype(bool)))
+            for part, hashes, bounds in batch_texts(iter([picked]), 1):
+                sets = [shingles(hashes[a:b], size).tobytes() for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(sequence_hashes(hashes, bounds)[0]), pa.array(sets, pa.binary())],
+                                                 names=["node", "ngrams"])
 
-    return docs.join(wanted, "doc_id").select("node", "text").mapInArrow(rows, "node long, ngrams binary").dropDuplicates(["node"])
+    placed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
+    return placed.mapInArrow(rows, "node long, ngrams binary")
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,45 +333,53 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     buckets = max(LEAST_BUCKETS, -(-(count[0] or 0) * (100 - percent) // (100 * POSTINGS_PER_BUCKET)))
     classes = spark.sparkContext.broadcast(commonness(scanned, bits))
     postings = post(docs, size, percent, classes, bits, buckets)
-    lists = staged(postings.groupBy("bucket").applyInPandas(
-        shared_lists, "bucket int, ngram long, node long, n int, place int"), "posting-lists")
-
-    known = sets = None
-    links = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
-    for step, gaps in enumerate(GAPS):
-        rooted = lists.join(roots, "node", "left").select("bucket", "ngram", "node", "n", "place", F.coalesce("root", "node").alias("root"))
-        pairs = rooted.groupBy("bucket").applyInPandas(_candidates_at(percent, gaps, step == 0), "a long, b long").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
+    listed = staged(postings.groupBy("bucket").applyInPandas(
+        _lists_of(percent), "bucket int, ngram long, node long, n int, place int, b long"), "posting-lists")
+    lists = listed.filter("b IS NULL").drop("b")
+
+    pairs = staged(listed.filter("b IS NOT NULL").select(F.col("node").alias("a"), "b").distinct(), "pairs")
+    known, sets, seen, links, roots = pairs, None, None, None, None
+    for gaps in (None, *GAPS):
+        if gaps:
+            rooted = lists.withColumn("root", F.col("node")) if roots is None else \
+                lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            pairs = rooted.groupBy("bucket").applyInPandas(_candidates_at(percent, *gaps), "a long, b long").distinct()
+            pairs = staged(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+            known = known.union(pairs)
         if pairs.isEmpty():
             continue
-        known = pairs if known is None else known.union(pairs)
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("node"), "node", "left_anti")
-        more = staged(node_sets(docs, staged(nodes.join(wanted, "node").select("doc_id", "node"), "wanted"), size), "sets")
-        sets = more if sets is None else sets.union(more)
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        ends = staged(nodes.join(ends if seen is None else ends.join(seen, "node", "left_anti"), "node").select("node", "doc_id"), "ends")
+        more = staged(node_sets(docs, ends.select("doc_id"), size), "sets")
+        seen, sets = (ends.select("node"), more) if sets is None else (seen.union(ends.select("node")), sets.union(more))
         new = staged(verified(pairs, sets, percent), "new-links")
-        if new.isEmpty():
-            continue
-        links = links.union(new)
-        roots = components(links)
-    return _members(rows, nodes, roots)
+        if not new.isEmpty():
+            links = new if links is None else links.union(new)
+            roots = components(links)
+    return _members(rows, roots)
 
 
-def _candidates_at(percent: int, gaps: tuple[int, int | None], hub: bool):
+def _lists_of(percent: int):
     def find(group: pd.DataFrame) -> pd.DataFrame:
-        return candidates(group, percent, gaps, hub)
+        return shared_lists(group, percent)
 
     return find
 
 
-def _members(rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+def _candidates_at(percent: int, low: int, high: int | None):
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        return candidates(group, percent, low, high)
+
+    return find
+
+
+def _members(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Component of every row: the smallest id of its nodes' documents. An id
     whose rows have several texts joins their components."""
-    placed = staged(rows.join(roots, "node", "left").select("doc_id", "n", F.coalesce("root", "node").alias("root")), "placed")
+    if roots is None:
+        placed = rows.select("doc_id", "n", F.col("node").alias("root"))
+    else:
+        placed = staged(rows.join(roots, "node", "left").select("doc_id", "n", F.coalesce("root", "node").alias("root")), "placed")
     counted = placed.filter("n > 0 AND doc_id IS NOT NULL")
     several = counted.groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     if not several.isEmpty():
