@@ -1,4 +1,4 @@
-"""Broadcast only behind a proven size bound."""
+"""Broadcast only behind a measured size."""
 
 from __future__ import annotations
 
@@ -6,49 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Upper bounds for shipping a table to every executor. The row cap is
-# derived from the byte budget and the projected row width, so a wide table
-# gets a lower cap; callers project to the columns they need first.
+# Upper bounds for shipping a table to every executor.
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-_STRING_GUESS = 32  # bytes assumed per string value
+_ROW_BYTES = 16  # of a row besides its values
+_FIXED = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4, T.LongType: 8,
+          T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
 
 
-def _width(dt: T.DataType) -> int:
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dt, T.DecimalType):
-        return 16
-    if isinstance(dt, T.StructType):
-        return sum(_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 8 * _STRING_GUESS
-    return _STRING_GUESS
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of ``df``, measured in one aggregate: strings by their
+    length, nested values by that of their JSON. No row leaves its task."""
+    fixed, parts = _ROW_BYTES, []
+    for f in df.schema.fields:
+        if type(f.dataType) in _FIXED:
+            fixed += _FIXED[type(f.dataType)]
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(f.name), F.lit(0)) + 8)
+        else:
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0)) + 8)
+    width = sum(parts, F.lit(fixed)).cast("long")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return row["n"], row["b"]
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Rough in-memory width of one row (8 bytes of row overhead)."""
-    return 8 + sum(_width(f.dataType) for f in df.schema.fields)
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs a job that stops reading after ``max_rows + 1`` rows, so the check is
-    cheap even when the answer is "no".
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_cap(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
-    return max(1, min(max_rows, max_bytes // estimated_row_bytes(df)))
+def within_bound(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    rows, size = measured_size(df)
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -56,11 +41,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_RO
                          max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(df_or_hinted_df, broadcasted)``.
 
-    The table is hinted for broadcast only when a counting job proves it has
-    at most ``min(max_rows, max_bytes / row width)`` rows. ``decision`` lets a
+    The table is hinted for broadcast only when its measured size is at most
+    ``max_rows`` rows and ``max_bytes`` bytes. ``decision`` lets a
     caller reuse an earlier check (e.g. once per stream rather than per
     micro-batch). When the side is too big no hint is added; the join then
     shuffles, and AQE may still pick a broadcast from the measured size.
     """
-    ok = row_count_at_most(df, broadcast_cap(df, max_rows, max_bytes)) if decision is None else decision
+    ok = within_bound(df, max_rows, max_bytes) if decision is None else decision
     return (F.broadcast(df) if ok else df), ok

@@ -5,7 +5,8 @@ Implemented as a grouped ``max``/``min`` of a struct rather than a
 key holding a third of all rows is reduced inside every map task before the
 shuffle instead of landing whole in one task. The struct carries the ordering
 columns first and then every other column, which makes the survivor a total,
-repeatable choice even when the ordering columns tie.
+repeatable choice even when the ordering columns tie. (A struct with strings
+is merged by a sort-based aggregate, in the map tasks too.)
 """
 
 from __future__ import annotations
@@ -19,11 +20,16 @@ def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None,
     """One row per ``keys``: the greatest (``keep="last"``) or least
     (``keep="first"``) by ``order``, ties broken by the remaining columns.
 
-    NULLs order lowest in either case.
+    NULLs order lowest in either case. Without ``order`` the row with the most
+    values that are not NULL survives, so a fuller row is never given up for
+    an emptier one.
     """
     order = list(order or [])
     rest = [c for c in df.columns if c not in keys]
     ordering = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    if not order and rest:
+        filled = sum((F.col(c).isNotNull().cast("int") for c in rest[1:]), F.col(rest[0]).isNotNull().cast("int"))
+        ordering = [(filled if keep == "last" else -filled).alias("_filled")]
     packed = F.struct(*ordering, *[F.col(c) for c in rest])
     agg = F.max(packed) if keep == "last" else F.min(packed) if keep == "first" else None
     if agg is None:

@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import geo
-from quayside.operators.broadcast import (DEFAULT_MAX_BROADCAST_ROWS, broadcast_cap, broadcast_if_bounded,
-                                          row_count_at_most)
+from quayside.operators.broadcast import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded,
+                                          within_bound)
 
 # (max radius km handled by the level, cell size in degrees); sizes divide 180
 GRID_LEVELS = [(100.0, 1.0), (500.0, 5.0), (float("inf"), 20.0)]
@@ -96,9 +96,9 @@ def _wrap_point_cells(cells: DataFrame, size_levels: bool) -> DataFrame:
 
 def points_broadcastable(points: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
     """Whether the point side, once placed on every grid level, fits the
-    broadcast bound (checked with a counting job)."""
-    cap = broadcast_cap(points, max_rows) // len(GRID_LEVELS)
-    return row_count_at_most(points, max(cap, 1))
+    broadcast bound (by its measured size)."""
+    levels = len(GRID_LEVELS)
+    return within_bound(points, max_rows // levels, DEFAULT_MAX_BROADCAST_BYTES // levels)
 
 
 def prepare_points(points: DataFrame, *, point_lat: str = "port_latitude", point_lon: str = "port_longitude",

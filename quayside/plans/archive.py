@@ -74,19 +74,21 @@ def incremental_archive(spark: SparkSession, source: DataFrame, *, archive_path:
 
     ``slice_col`` should be the arrival time: slicing on event time would skip
     late rows for good. Partitions are ``year/month/day`` of ``event_ts`` plus
-    ``run_id``; a re-run of the same ``run_end`` overwrites exactly its own
-    files (dynamic partition overwrite), so a crash between write and
-    watermark update cannot duplicate rows.
+    ``run_id``, which names the run by its lower bound, in microseconds. The
+    watermark moves only after a run is verified, so until then every run
+    starts at the same bound: a later one covers the slice of a run that
+    crashed before its watermark, and overwrites its files (dynamic partition
+    overwrite). Finished runs differ in their bound, however close in time.
     """
     lower = read_watermark(spark, control_base, pipeline)
-    run_id = run_end.strftime("%Y%m%dT%H%M%S")
+    run_id = lower.strftime("%Y%m%dT%H%M%S%f")
     part = with_date_parts(incremental_slice(source, slice_col, after=lower, up_to=run_end), event_ts) \
         .withColumn("run_id", F.lit(run_id))
     parts = ["run_id", "year", "month", "day"]
     # the row count is observed by the write itself (no separate counting
     # scan); an empty slice writes nothing under dynamic overwrite
     written_count = Observation(f"archive-{run_id}")
-    clustered = cluster_for_write(part, parts, keys).observe(written_count, F.count(F.lit(1)).alias("n"))
+    clustered = cluster_for_write(part, parts).observe(written_count, F.count(F.lit(1)).alias("n"))
     (clustered.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
          .partitionBy(*parts).parquet(archive_path))

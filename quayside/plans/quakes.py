@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.keys import date_key, time_key
+from quayside.functions.parse import in_time_range
 from quayside.operators.cdc import apply_changes
 from quayside.operators.keys import assign_surrogate_keys
 
@@ -27,9 +28,10 @@ ARCHIVE_COLUMNS = ["unid", "source_id", "event_timestamp", "flynn_region", "lati
 
 
 def millis_to_time(c) -> Column:
-    """Epoch milliseconds -> UTC time (exact; no trip through a double)."""
+    """Epoch milliseconds -> UTC time (exact; no trip through a double); NULL
+    outside the years 1 to 9999."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_millis(col).cast("timestamp_ntz")
+    return F.when(in_time_range(col), F.timestamp_millis(col)).cast("timestamp_ntz")
 
 
 def stage_quake_changes(changes: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.dedupe import dedupe
 from quayside.functions import geo
 from quayside.functions.keys import date_key
 from quayside.operators.geojoin import geo_range_join
@@ -64,10 +65,12 @@ def risk_fact(quakes: DataFrame, ports: DataFrame, *, mode: str = "box",
               prepared_ports: DataFrame | None = None) -> DataFrame:
     """Build the risk fact.
 
-    ``quakes``: ``unid, time, lat, lon, mag`` (one row per ``unid``; collapse
-    changes first, see :func:`quayside.operators.cdc.latest_changes`).
+    ``quakes``: ``unid, time, lat, lon, mag``; of several rows of one ``unid``
+    the latest counts (to order changes by a sequence, collapse them first,
+    see :func:`quayside.operators.cdc.latest_changes`).
     ``ports``: ``port_key, port_latitude, port_longitude``.
     """
+    quakes = dedupe(quakes.select("unid", "time", "lat", "lon", "mag"), ["unid"], order=["time"])
     q = quakes.select(
         F.col("unid"), F.col("mag"),
         F.to_date("time").alias("_event_date"),

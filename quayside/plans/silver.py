@@ -61,6 +61,5 @@ def _all_not_null(columns: list[str]):
 def build_silver(raw: DataFrame, spec: SchemaSpec, out_path: str, *, on_null: str = "fail") -> dict:
     """Clean ``raw`` and overwrite only the snapshots it contains. Returns the
     rows written, observed by the write (no extra count)."""
-    written = write_snapshot(clean_snapshot(raw, spec, on_null=on_null), out_path, list(spec.partition_columns),
-                             tiebreak=spec.business_key or spec.names[:1])
+    written = write_snapshot(clean_snapshot(raw, spec, on_null=on_null), out_path, list(spec.partition_columns))
     return {"rows_out": written}

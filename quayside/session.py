@@ -7,7 +7,6 @@ supplied by the caller.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,8 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is
-    always used as given. Only when it is unset (local tests) a private
-    folder is created for this process.
+    always used as given. Only where it is unset on a local master (tests) a
+    private folder is created for this process; on a cluster that is an error,
+    since other machines could not read such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quayside-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -91,8 +93,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_scratch_base() -> str:
-    """Scratch base for tests only."""
-    return os.environ.get("QUAYSIDE_TEST_TMP") or tempfile.mkdtemp(prefix="quayside-")

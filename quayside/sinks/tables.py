@@ -3,13 +3,16 @@
 Overwriting a path that the same job reads fails (or worse, loses data), so
 tables that are read and rewritten (the gold dimension, the CDC state, the
 watermark control table) are published as immutable versions
-``<base>/v=<n>/`` plus a ``_CURRENT`` pointer written after the version is
-complete. Readers resolve the pointer; an interrupted publish leaves the
-previous version current.
+``<base>/v=<n>/`` plus a ``_CURRENT`` pointer moved over the old one, in one
+atomic rename, after the version is complete. Readers resolve the pointer;
+an interrupted publish leaves the previous version current. The version
+before the current one is kept for its readers; older ones are removed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 _POINTER = "_CURRENT"
@@ -17,15 +20,14 @@ _POINTER = "_CURRENT"
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def cluster_for_write(df: DataFrame, partition_by: list[str], tiebreak: list[str] | None = None) -> DataFrame:
+def cluster_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Cluster rows by the output partition columns before a partitioned write.
 
     Uses the ``rebalance`` hint: rows are shuffled by the partition columns
     so each task writes to few partitions, and AQE splits a skewed output
     partition (e.g. one day holding a third of the rows) over several tasks
     and merges small ones -- sized from the measured shuffle, with no
-    sampling pass. ``tiebreak`` is accepted for callers that name a key, and
-    is not needed for the split.
+    sampling pass.
     """
     return df.hint("rebalance", *partition_by)
 
@@ -43,14 +45,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_marker(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a one-line file; a reader sees the old or the new line, never none."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     fs, p = _jvm_path(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    tmp = hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _jvm_path(spark, path)
+    fs.delete(p, True)
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    fs, p = _jvm_path(spark, base.rstrip("/"))
+    if not fs.exists(p):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(p)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
 
 
 def read_marker(spark: SparkSession, path: str) -> str | None:
@@ -66,8 +85,14 @@ def read_marker(spark: SparkSession, path: str) -> str | None:
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
+    """The version the pointer names; None before the first publish. More than
+    a first, unfinished version without a pointer is a damaged table."""
     text = read_marker(spark, f"{base.rstrip('/')}/{_POINTER}")
-    return int(text.strip()) if text else None
+    if text:
+        return int(text.strip())
+    if any(v > 1 for v in _versions(spark, base)):
+        raise FileNotFoundError(f"{base} holds versions but no {_POINTER}")
+    return None
 
 
 def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) -> int:
@@ -79,6 +104,9 @@ def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{base.rstrip('/')}/v={version}")
     write_marker(spark, f"{base.rstrip('/')}/{_POINTER}", str(version))
+    for old in _versions(spark, base):
+        if old < version - 1:
+            remove_path(spark, f"{base.rstrip('/')}/v={old}")
     return version
 
 
@@ -91,7 +119,7 @@ def read_published(spark: SparkSession, base: str, schema=None) -> DataFrame | N
     return reader.parquet(f"{base.rstrip('/')}/v={version}")
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> int:
+def write_snapshot(df: DataFrame, path: str, partition_by: list[str]) -> int:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite), so
     earlier snapshots survive a partial re-run. Returns the rows written,
     observed by the write itself (no extra count)."""
@@ -100,25 +128,24 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str], tiebreak:
 
     obs = Observation("written")
     # observed above the exchange, so only the write (not the range sampling) runs it
-    clustered = cluster_for_write(df, partition_by, tiebreak).observe(obs, F.count(F.lit(1)).alias("rows"))
+    clustered = cluster_for_write(df, partition_by).observe(obs, F.count(F.lit(1)).alias("rows"))
     (clustered.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(*partition_by).parquet(path))
     return int(obs.get.get("rows", 0))
 
 
-def append_partitioned(df: DataFrame, path: str, partition_by: list[str], tiebreak: list[str] | None = None) -> None:
+def append_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Append, clustering rows by the partition columns first so each task
     writes few files."""
-    (cluster_for_write(df, partition_by, tiebreak).write.mode("append")
+    (cluster_for_write(df, partition_by).write.mode("append")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by).parquet(path))
 
 
-def append_fact(fact: DataFrame, path: str, partition_by: list[str] | None = None,
-                tiebreak: list[str] | None = None) -> None:
+def append_fact(fact: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Bulk append of fact rows (never row-by-row inserts from the driver)."""
     parts = partition_by or ["EVENT_YEAR", "EVENT_MONTH"]
-    append_partitioned(fact, path, parts, tiebreak if tiebreak is not None else ["EARTHQUAKE_KEY", "PORT_KEY"])
+    append_partitioned(fact, path, parts)
 
 
 def replace_by_key(current: DataFrame | None, new_rows: DataFrame, keys: list[str]) -> DataFrame:

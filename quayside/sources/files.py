@@ -53,26 +53,42 @@ def dated_file_date(prefix: str, path_col: str = "_source_path"):
     return F.to_date(F.nullif(F.regexp_extract(F.col(path_col), pat, 1), F.lit("")), "yyyy-MM-dd")
 
 
-def land_dated_files(spark: SparkSession, src: str, dst: str, prefix: str, *, header: bool = True) -> DataFrame:
-    """Land ``<prefix>_YYYY-MM-DD.csv`` files under ``dst/year=YYYY/month=MM``.
+def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files with a header under ``path``, every column a string, by the
+    names in each file's own header: files of one header are read together
+    and the groups joined by column name. ``_source_path`` is a row's file."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block")).filter("block = 0")
+    # a short line per file; columns of the partition folders are read again below
+    heads = lines.groupBy("path").agg(F.min_by("value", "at").alias("head")).groupBy("head").agg(F.collect_list("path").alias("paths"))
+    out = None
+    for row in heads.orderBy("head").collect():
+        part = spark.read.option("header", True).option("inferSchema", False).option("basePath", path).csv(sorted(row["paths"])) \
+            .withColumn("_source_path", F.col("_metadata.file_path"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no CSV file under {path}")
+    return out
+
+
+def land_dated_files(spark: SparkSession, src: str, dst: str, prefix: str) -> DataFrame:
+    """Land ``<prefix>_YYYY-MM-DD.csv`` files under
+    ``dst/year=YYYY/month=MM/file_date=YYYY-MM-DD``.
 
     The date comes from each file's name; files whose name does not match are
-    skipped. Partitions are replaced as a whole (dynamic overwrite), so
-    landing the same month again overwrites it instead of duplicating it.
-    Returns the landed rows as read back.
+    skipped. Only the dates of ``src`` are replaced (dynamic overwrite):
+    landing a file again overwrites it, and the other days of its month stay.
+    Columns go by the names in each file's header. Returns all that is landed,
+    as read back.
     """
-    raw = (spark.read.option("header", header).option("inferSchema", False)
-           .option("recursiveFileLookup", True).csv(src)
-           .withColumn("_source_path", F.col("_metadata.file_path"))
-           .withColumn("_block", F.col("_metadata.file_block_start")))
-    dated = raw.withColumn("_file_date", dated_file_date(prefix)).filter(F.col("_file_date").isNotNull())
-    out = dated.withColumns({"year": F.year("_file_date"), "month": F.format_string("%02d", F.month("_file_date"))})
-    # a big file is split over several tasks by its block offset
-    clustered = cluster_for_write(out, ["year", "month"], ["_source_path", "_block"]) \
-        .drop("_source_path", "_block", "_file_date")
-    (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("header", True).partitionBy("year", "month").csv(dst))
-    return spark.read.option("header", True).csv(dst)
+    raw = read_csv_by_name(spark, src)
+    dated = raw.withColumn("file_date", dated_file_date(prefix)).filter(F.col("file_date").isNotNull())
+    out = dated.withColumns({"year": F.year("file_date"), "month": F.format_string("%02d", F.month("file_date"))})
+    (cluster_for_write(out, ["year", "month", "file_date"]).drop("_source_path")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("header", True).partitionBy("year", "month", "file_date").csv(dst))
+    return read_csv_by_name(spark, dst).drop("_source_path")
 
 
 def month_snapshot(df: DataFrame, as_of: dt.date, date_col: str = "snapshot_date") -> DataFrame:

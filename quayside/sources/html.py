@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.dedupe import dedupe
+
 from quayside.functions.parse import absolute_url, eta_from_matches, eta_matches, split_size
 
 # Total-page patterns tried in order (case-insensitive), default 1
@@ -43,8 +45,8 @@ def html_text(c) -> Column:
 
 
 def extract_total_pages(c) -> Column:
-    """First matching pagination pattern, else 1."""
-    s = _c(c)
+    """First matching pagination pattern in the page's text, else 1."""
+    s = html_text(_c(c))
     found = [F.when(s.rlike("(?i)" + p), F.regexp_extract(s, "(?i)" + p, 1).try_cast("int"))
              for p in TOTAL_PAGE_PATTERNS]
     return F.coalesce(*found, F.lit(1))
@@ -160,6 +162,7 @@ def extract_vessel_details(pages: DataFrame, *, html_col: str = "html", keep: li
 def extract_port_coordinates(port_pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(url, lat_text, lon_text)`` from port pages ("... is located in ...
     at 23.9806S, 46.3377W"); blanks when the sentence is absent."""
+    # Fixed value: the sentence that gives a port's place
     pat = r"is located in .* at (\d+\.\d+[NS]), (\d+\.\d+[EW])"
     text = html_text(_c(html_col))
     return port_pages.select(
@@ -171,8 +174,11 @@ def extract_port_coordinates(port_pages: DataFrame, *, url_col: str = "url", htm
 def with_port_coordinates(details: DataFrame, port_pages: DataFrame, link_col: str = "destination_link") -> DataFrame:
     """Attach destination coordinates: each distinct port page is parsed once
     and joined back by link (the join replaces a per-process cache)."""
-    coords = extract_port_coordinates(port_pages).dropDuplicates(["url"])
-    out = details.join(coords, details[link_col] == coords["url"], "left").drop("url")
+    coords = dedupe(extract_port_coordinates(port_pages), ["url"])
+    # rows without a link match nothing: kept out of the join, where they would be one hot key
+    linked = F.coalesce(F.col(link_col), F.lit("")) != ""
+    out = details.filter(linked).join(coords, F.col(link_col) == coords["url"], "left").drop("url") \
+        .unionByName(details.filter(~linked).withColumns({"lat_text": F.lit(None).cast("string"), "lon_text": F.lit(None).cast("string")}))
     return out.withColumn("destination_port_lat", F.coalesce(F.col("lat_text"), F.lit(""))) \
         .withColumn("destination_port_lon", F.coalesce(F.col("lon_text"), F.lit(""))) \
         .drop("lat_text", "lon_text")

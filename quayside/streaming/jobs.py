@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,16 +60,26 @@ def run_stream(df: DataFrame, on_batch: Callable[[DataFrame, int], None], checkp
 _BATCH_MARK = "_LAST_BATCH"
 
 
+def checkpoint_scope(spark: SparkSession, checkpoint: str) -> str:
+    """A name for a checkpoint that lasts as long as it does. Batch ids are
+    told apart by it: a new checkpoint counts from 0 again."""
+    marker = f"{checkpoint.rstrip('/')}/_SCOPE"
+    scope = read_marker(spark, marker)
+    if scope is None:
+        scope = uuid.uuid4().hex[:12]
+        write_marker(spark, marker, scope)
+    return scope
+
+
 def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, keys: list[str], *,
-                         op: str = "op", seq: str = "seq", value_cols: list[str] | None = None,
+                         op: str = "op", seq: str | list[str] = "seq", value_cols: list[str] | None = None,
                          mode: str = "upsert", trigger: dict | None = None,
-                         layout: str = "versioned", buckets: int = 4096) -> StreamingQuery:
+                         layout: str = "bucketed", buckets: int = 4096) -> StreamingQuery:
     """Fold each micro-batch into the state table published at ``state_base``.
 
     Per batch (an empty batch is skipped, F8): latest change per key, merge
-    with the current version, publish
-    the next version. A batch id at or below the last committed one is
-    skipped, and a replay of a batch whose commit was cut short is harmless:
+    with the current state, publish. A batch id at or below the last one
+    committed under the same checkpoint is skipped, and a replay of a batch whose commit was cut short is harmless:
     a change that is not newer than the stored sequence is ignored.
     Deleted keys stay as tombstones so batches may arrive out of order; read
     the state with :func:`read_stream_state`.
@@ -81,6 +92,8 @@ def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, k
     """
     if layout not in ("versioned", "bucketed"):
         raise ValueError("layout must be 'versioned' or 'bucketed'")
+    scope = checkpoint_scope(changes.sparkSession, checkpoint)
+    mark = f"{state_base.rstrip('/')}/{_BATCH_MARK}-{scope}"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -89,22 +102,17 @@ def stream_apply_changes(changes: DataFrame, state_base: str, checkpoint: str, k
                 batch = batch.persist()
                 try:
                     merge_into_bucketed(spark, state_base, batch, keys, batch_id=batch_id, buckets=buckets, op=op,
-                                        seq=seq, value_cols=value_cols, mode=mode)
+                                        seq=seq, value_cols=value_cols, mode=mode, scope=scope)
                 finally:
                     batch.unpersist()
             return
-        last = read_marker(spark, f"{state_base.rstrip('/')}/{_BATCH_MARK}")
+        last = read_marker(spark, mark)
         if (last is not None and batch_id <= int(last)) or batch.isEmpty():
             return
-        batch = batch.persist()  # read by the bound check and by the merge
-        try:
-            current = read_published(spark, state_base)
-            new = apply_changes(current, batch, keys, op=op, seq=seq, value_cols=value_cols, mode=mode,
-                                tombstones=True)
-            publish(new, state_base)
-        finally:
-            batch.unpersist()
-        write_marker(spark, f"{state_base.rstrip('/')}/{_BATCH_MARK}", str(batch_id))
+        current = read_published(spark, state_base)
+        publish(apply_changes(current, batch, keys, op=op, seq=seq, value_cols=value_cols, mode=mode,
+                              tombstones=True), state_base)
+        write_marker(spark, mark, str(batch_id))
 
     return run_stream(changes, on_batch, checkpoint, trigger=trigger, name=None)
 
@@ -126,14 +134,18 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
 
     Each batch is collapsed to the latest change per quake (deletes are not
     scored), scored against the static port table, and written under
-    ``EVENT_YEAR/EVENT_MONTH/batch_id=<n>`` with dynamic partition overwrite, so a replayed batch
-    replaces its own output instead of appending it twice. The port-table
-    broadcast decision is made once, not per batch.
+    ``EVENT_YEAR/EVENT_MONTH/run=<checkpoint>/batch_id=<n>`` with dynamic
+    partition overwrite, so a replayed batch replaces its own output instead
+    of appending it twice, and a new checkpoint, whose ids start at 0 again,
+    leaves the output of the old one alone. The port-table broadcast decision
+    is made once, not per batch.
 
     ``mode="replace"`` keeps one set of rows per quake instead: the fact is a
     table bucketed by quake key, and a re-scored quake's rows replace its
     earlier ones, rewriting only the buckets of the batch's quakes (read it
-    with :func:`quayside.sinks.bucketed.read_bucketed`, ``live=False``).
+    with :func:`quayside.sinks.bucketed.read_bucketed`, ``live=False``). With
+    ``seq`` the rows keep it (``_SEQ``), and an older change that comes in a
+    later batch does not replace them.
     """
     port_cols = ports.select("port_key", "port_latitude", "port_longitude")
     broadcast_ok = points_broadcastable(port_cols, max_broadcast_rows)
@@ -143,7 +155,8 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
     prepared = prepare_points(port_cols, mode=opts.get("mode", "box"))
     if broadcast_ok:
         prepared = prepared.persist()
-    parts = ["EVENT_YEAR", "EVENT_MONTH", "batch_id"]
+    parts = ["EVENT_YEAR", "EVENT_MONTH", "run", "batch_id"]
+    scope = checkpoint_scope(quakes.sparkSession, checkpoint)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -155,12 +168,20 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
             if op is not None:
                 b = b.filter(F.col(op).isNull() | (F.col(op) != OP_DELETE))
             fact = risk_fact(b, ports, broadcast_ports=broadcast_ok, prepared_ports=prepared, **opts) \
-                .withColumn("batch_id", F.lit(batch_id))
+                .withColumns({"run": F.lit(scope), "batch_id": F.lit(batch_id)})
             if mode == "replace":
-                replace_into_bucketed(b.sparkSession, fact_path, fact.drop("batch_id"), ["EARTHQUAKE_KEY"],
-                                      batch_id=batch_id, buckets=buckets)
+                rows = fact.drop("run", "batch_id")
+                if seq is not None:
+                    order = b.select(F.col(key).cast("string").alias("EARTHQUAKE_KEY"), F.col(seq).alias("_SEQ"))
+                    rows = rows.join(order, "EARTHQUAKE_KEY")
+                rows = rows.persist()  # scored once: read for the bucket list, the merge and the write
+                try:
+                    replace_into_bucketed(b.sparkSession, fact_path, rows, ["EARTHQUAKE_KEY"], batch_id=batch_id,
+                                          buckets=buckets, seq=None if seq is None else "_SEQ", scope=scope)
+                finally:
+                    rows.unpersist()
                 return
-            (cluster_for_write(fact, parts, ["EARTHQUAKE_KEY", "PORT_KEY"])
+            (cluster_for_write(fact, parts)
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*parts).parquet(fact_path))
         finally:

@@ -107,7 +107,7 @@ def detail_pages(spark, sf_dir):
     n2 = n.select(F.col("n_nationkey").alias("d_nationkey"), F.col("n_name").alias("d_name"))
     k = F.col("o_orderkey")
     j = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-         .join(F.broadcast(n2), (k % 25) == F.col("d_nationkey")))
+         .join(n2, (k % 25) == F.col("d_nationkey")))
     dep_port = F.concat(F.lit("PORT"), (F.col("o_custkey") % 50).cast("string"))
     dep_text = F.concat(dep_port, F.lit(", "), F.col("n_name"))
     atd = F.concat(F.lit("ATD: "), F.date_format("o_orderdate", "MMM d, yyyy HH:mm"))
@@ -140,7 +140,7 @@ def detail_pages(spark, sf_dir):
 
 
 def port_pages(spark, sf_dir):
-    p = ports(spark, sf_dir).filter(F.col("port_key") <= 30)
+    p = ports(spark, sf_dir)
     idx = (F.col("port_key") - 1).cast("string")
     lat = F.format_string("%.4f%s", F.abs("port_latitude"), F.when(F.col("port_latitude") < 0, "S").otherwise("N"))
     lon = F.format_string("%.4f%s", F.abs("port_longitude"), F.when(F.col("port_longitude") < 0, "W").otherwise("E"))
@@ -158,7 +158,7 @@ pp AS (
   SELECT port_key - 1 AS idx,
          printf('%.4f%s', abs(port_latitude), CASE WHEN port_latitude < 0 THEN 'S' ELSE 'N' END) AS lat_text,
          printf('%.4f%s', abs(port_longitude), CASE WHEN port_longitude < 0 THEN 'W' ELSE 'E' END) AS lon_text
-  FROM ports WHERE port_key <= 30)
+  FROM ports)
 SELECT k AS page_id,
   CASE WHEN k % 7 = 0 OR k % 3 = 1 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M') END AS departure_date,
   CASE WHEN k % 7 = 0 THEN '' ELSE n_name END AS last_port_country,

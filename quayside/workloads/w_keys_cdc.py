@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quayside.operators.cdc import apply_changes, change_counts, insert_if_absent, upsert
+from quayside.operators.cdc import apply_changes, change_counts, insert_if_absent, live_rows, upsert
 from quayside.operators.keys import assign_surrogate_keys, dense_ids
 from quayside.plans.archive import incremental_archive
 from quayside.session import ensure_utc, scratch_path
@@ -66,20 +66,28 @@ def cdc_apply(spark, sf_dir):
     return apply_changes(state, second, ["key"], value_cols=vals).select("key", *vals, "seq")
 
 
-@register("cdc_apply_strict", with_ctes(CHANGES_SQL) + f"""
-, t0 AS (
+# the MERGE rules one change at a time, in order: after SPLIT_TS an update needs a
+# row, an insert needs that there is none, a delete removes it
+STRICT_SQL = """, first AS (
   SELECT key, ts, value, event_type, seq FROM (
-    SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn
-    FROM changes WHERE ts <= {SPLIT}) WHERE rn = 1 AND op <> 'd'),
-l AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn
-    FROM changes WHERE ts > {SPLIT}) WHERE rn = 1)
-SELECT t0.* FROM t0 WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.key = t0.key)
-UNION ALL SELECT t0.* FROM t0 JOIN l USING (key) WHERE l.op IN ('c', 'r')
-UNION ALL SELECT l.key, l.ts, l.value, l.event_type, l.seq FROM l JOIN t0 USING (key) WHERE l.op = 'u'
-UNION ALL SELECT l.key, l.ts, l.value, l.event_type, l.seq FROM l
-          WHERE l.op IN ('c', 'r') AND NOT EXISTS (SELECT 1 FROM t0 WHERE t0.key = l.key)""")
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM changes WHERE ts <= {split}) WHERE rn = 1 AND op <> 'd'),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq) AS step FROM changes WHERE ts > {split}),
+merged(key, step, present, ts, value, event_type, seq) AS (
+  SELECT k.key, 0::BIGINT, f.seq IS NOT NULL, f.ts, f.value, f.event_type, f.seq
+  FROM (SELECT DISTINCT key FROM changes) k LEFT JOIN first f ON k.key = f.key
+  UNION ALL
+  SELECT m.key, n.step,
+         CASE WHEN n.op = 'd' THEN false WHEN n.op IN ('c', 'r') THEN true ELSE m.present END,
+         CASE WHEN (n.op = 'u') = m.present AND n.op <> 'd' THEN n.ts ELSE m.ts END,
+         CASE WHEN (n.op = 'u') = m.present AND n.op <> 'd' THEN n.value ELSE m.value END,
+         CASE WHEN (n.op = 'u') = m.present AND n.op <> 'd' THEN n.event_type ELSE m.event_type END,
+         CASE WHEN (n.op = 'u') = m.present AND n.op <> 'd' THEN n.seq ELSE m.seq END
+  FROM merged m JOIN numbered n ON m.key = n.key AND n.step = m.step + 1)
+SELECT key, ts, value, event_type, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY step DESC) AS rn FROM merged) WHERE rn = 1 AND present"""
+
+
+@register("cdc_apply_strict", with_ctes(CHANGES_SQL).replace("WITH ", "WITH RECURSIVE ", 1) + STRICT_SQL.format(split=SPLIT))
 def cdc_apply_strict(spark, sf_dir):
     ch = changes(spark, sf_dir)
     first = ch.filter(F.col("ts") <= F.lit(SPLIT_TS).cast("timestamp_ntz"))
@@ -90,6 +98,32 @@ def cdc_apply_strict(spark, sf_dir):
         .select("key", *vals, "seq")
 
 
+@register("cdc_strict_same_batch", with_ctes(CHANGES_SQL).replace("WITH ", "WITH RECURSIVE ", 1)
+          + STRICT_SQL.format(split="TIMESTAMP '1900-01-01 00:00:00'"))
+def cdc_strict_same_batch(spark, sf_dir):
+    """All changes as one batch under the MERGE rules: creates, updates and
+    deletes of a key come together."""
+    return apply_changes(None, changes(spark, sf_dir), ["key"], value_cols=["ts", "value", "event_type"], mode="strict") \
+        .select("key", "ts", "value", "event_type", "seq")
+
+
+@register("cdc_ties", with_ctes(CHANGES_SQL) + """
+, timed AS (SELECT key, epoch_ms(date_trunc('day', ts)) AS ms, seq AS position, op, value FROM changes)
+SELECT key, ms, position, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY ms DESC, position DESC) AS rn FROM timed) WHERE rn = 1 AND op <> 'd'""")
+def cdc_ties(spark, sf_dir):
+    """Times cut to the day, so most changes of a key tie, and the position in
+    the log decides; two batches dealt by position parity, so each holds
+    changes older and newer than the other's."""
+    ch = changes(spark, sf_dir).select(
+        "key", F.unix_millis(F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("ms"), F.col("seq").alias("position"), "op", "value")
+    state = None
+    for part in (1, 0):
+        state = apply_changes(state, ch.filter(F.col("position") % 2 == part), ["key"], seq=["ms", "position"], value_cols=["value"],
+                              tombstones=True)
+    return live_rows(state).select("key", "ms", "position", "value")
+
+
 # --- watermark control table derived from region -------------------------------
 
 CONTROL_SQL = """control AS (
@@ -175,6 +209,38 @@ def archive_partitions(spark, sf_dir):
     return spark.read.parquet(archive).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("archive_crash_rerun", """
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(day(ts) AS INTEGER) AS day, count(*) AS n
+FROM events GROUP BY 1, 2, 3""")
+def archive_crash_rerun(spark, sf_dir):
+    """The first run dies between its write and its watermark; the next one, with
+    a later end, archives the same rows and more: every row is there once."""
+    ensure_utc(spark)
+    src = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    archive, control, lost = (scratch_path(spark, n) for n in ("archive-crash", "control-crash", "control-lost"))
+    upper = src.agg(F.max("ts").alias("m")).first()["m"]
+    for base, run_end in ((lost, SPLIT_TS), (control, upper)):  # a lost control table: a watermark that was never written
+        incremental_archive(spark, src, archive_path=archive, control_base=base, pipeline="events_archive",
+                            slice_col="ts", event_ts="ts", keys=["event_id"], run_end=run_end, as_of=AS_OF)
+    return spark.read.parquet(archive).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("archive_same_second", """
+SELECT event_id % 4 AS part, count(*) AS n FROM events GROUP BY 1""")
+def archive_same_second(spark, sf_dir):
+    """Four runs that end within one second, each with rows of its own."""
+    ensure_utc(spark)
+    base = dt.datetime(2024, 3, 1)
+    src = table(spark, sf_dir, "events").select(
+        "event_id", (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 4) / 10 + 0.05)).alias("arrived"))
+    archive, control = scratch_path(spark, "archive-second"), scratch_path(spark, "control-second")
+    for k in range(4):
+        incremental_archive(spark, src, archive_path=archive, control_base=control, pipeline="p", slice_col="arrived",
+                            event_ts="arrived", keys=["event_id"], run_end=base + dt.timedelta(milliseconds=100 * (k + 1)), as_of=AS_OF)
+    return spark.read.parquet(archive).groupBy((F.col("event_id") % 4).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("archive_reconcile", f"""
 SELECT run, count(*) AS expected_rows, count(*) AS actual_rows, CAST(0 AS BIGINT) AS missing_rows,
        'OK' AS status

@@ -137,6 +137,42 @@ def land_partitions(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
+def _drop_by_date(spark, rows, src):
+    """One CSV file per order date, as ``orders_YYYY-MM-DD.csv``."""
+    name = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv"))
+    rows.withColumn("landing", name).drop("o_orderdate").repartition("landing") \
+        .write.option("header", True).partitionBy("landing").csv(src)
+
+
+@register("land_daily_two_runs", """
+SELECT CAST(o_orderdate AS DATE) AS file_date, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkeys FROM orders GROUP BY 1""")
+def land_daily_two_runs(spark, sf_dir):
+    """Odd days land first, then even days and the odd days up to the tenth once
+    more: each file is there once, beside the other days of its month."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    day, dst = F.dayofmonth("o_orderdate"), scratch_path(spark, "landed-daily")
+    landed = None
+    for part in (day % 2 == 1, (day % 2 == 0) | (day <= 10)):
+        src = scratch_path(spark, "sftp-daily")
+        _drop_by_date(spark, o.filter(part), src)
+        landed = land_dated_files(spark, src, dst, "orders")
+    return landed.groupBy(F.col("file_date").cast("date").alias("file_date")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_custkey").cast("long")).alias("custkeys"))
+
+
+@register("land_reordered_header", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN day(o_orderdate) % 2 = 0 THEN o_orderstatus END AS status FROM orders""")
+def land_reordered_header(spark, sf_dir):
+    """Files of even days have their columns in another order, and one more."""
+    o = table(spark, sf_dir, "orders")
+    even, dst = F.dayofmonth("o_orderdate") % 2 == 0, scratch_path(spark, "landed-headers")
+    src = scratch_path(spark, "sftp-headers")
+    _drop_by_date(spark, o.filter(~even).select("o_orderkey", "o_custkey", "o_orderdate"), f"{src}/a")
+    _drop_by_date(spark, o.filter(even).select(F.col("o_orderstatus").alias("status"), "o_custkey", "o_orderkey", "o_orderdate"), f"{src}/b")
+    return land_dated_files(spark, src, dst, "orders").select("o_orderkey", "o_custkey", "status")
+
+
 @register("scd2_history", """
 WITH daily AS (
   SELECT oid, d, o_orderstatus FROM (
@@ -192,8 +228,8 @@ AS_OF = dt.date(1998, 8, 1)
   SELECT vessel_key, departure_date, destination_port_key, count(*) AS n_snapshots,
          min(snapshot_date) AS first_snapshot_date,
          arg_min(arrival_date, (snapshot_date, l_orderkey, l_linenumber, arrival_date)) AS scheduled_arrival,
-         max(arrival_date) AS actual_arrival
-  FROM snap GROUP BY vessel_key, departure_date, destination_port_key)
+         arg_max(arrival_date, (snapshot_date, l_orderkey, l_linenumber, arrival_date)) AS actual_arrival
+  FROM snap WHERE departure_date IS NOT NULL GROUP BY vessel_key, departure_date, destination_port_key)
 SELECT *, CAST(datediff('day', departure_date, actual_arrival) * 24 AS BIGINT) AS trip_duration_hours,
        CAST(datediff('day', scheduled_arrival, actual_arrival) * 24 AS BIGINT) AS arrival_delay_hours,
        CASE WHEN actual_arrival <= DATE '1998-08-01' THEN 'COMPLETED' ELSE 'IN_TRANSIT' END AS trip_status

@@ -70,6 +70,42 @@ def cdc_stream_bucketed(spark, sf_dir):
     return _cdc_stream(spark, sf_dir, "bucketed", buckets=8)
 
 
+def cdc_stream_reset(spark, sf_dir):
+    """The second half of the messages comes under a new checkpoint, whose
+    batch ids start at 0 again, over the state of the first."""
+    ensure_utc(spark)
+    state = scratch_path(spark, "cdc-state")
+    ch = changes(spark, sf_dir).select(F.to_json(F.struct(*CHANGE_MESSAGE.fieldNames()), JSON_TIME_OPTIONS).alias("value"), "seq")
+    for half in (0, 1):
+        inbox = scratch_path(spark, f"cdc-inbox-{half}")
+        ch.filter(F.col("seq") % 2 == half).repartitionByRange(3, "seq").select("value").write.text(inbox)
+        raw = read_change_stream(spark, "text", inbox, max_per_trigger=1)
+        decoded = decode_json(raw, CHANGE_MESSAGE).filter(~F.col("_malformed")).drop("_malformed")
+        stream_apply_changes(decoded, state, scratch_path(spark, "cdc-ckpt"), ["key"], value_cols=["ts", "value", "event_type"],
+                             buckets=8).awaitTermination()
+    return read_stream_state(spark, state).select("key", "ts", "value", "event_type", "seq")
+
+
+def risk_stream_reset(spark, sf_dir):
+    """Two runs with a checkpoint each write to one fact: neither replaces the
+    other's rows."""
+    ensure_utc(spark)
+    fact_path = scratch_path(spark, "risk-fact")
+    q = quakes(spark, sf_dir).select("unid", "time", "lat", "lon", "mag")
+    for half in (0, 1):
+        inbox = scratch_path(spark, f"quake-inbox-{half}")
+        q.filter(F.col("unid") % 2 == half).repartitionByRange(2, "unid").write.parquet(inbox)
+        stream = read_change_stream(spark, "parquet", inbox, schema=q.schema, max_per_trigger=1)
+        stream_risk(stream, ports(spark, sf_dir), fact_path, scratch_path(spark, "risk-ckpt"),
+                    risk_options={"reason_format": "rounded", "round_digits": 6}).awaitTermination()
+    return spark.read.parquet(fact_path).select(*RISK_COLUMNS)
+
+
+RISK_COLUMNS = ["EARTHQUAKE_KEY", "PORT_KEY", "EARTHQUAKE_DATE_KEY", "DISTANCE_KM", "RISK_RADIUS_KM", "IS_NEARBY",
+                "RISK_LEVEL", "RISK_REASON", "EVENT_YEAR", "EVENT_MONTH"]
+
+register("cdc_stream_reset", ORACLE_SQL["cdc_apply"])(cdc_stream_reset)
+register("risk_stream_reset", ORACLE_SQL["risk_fact"])(risk_stream_reset)
 register("cdc_stream", ORACLE_SQL["cdc_apply"])(cdc_stream)
 register("cdc_stream_bucketed", ORACLE_SQL["cdc_apply"])(cdc_stream_bucketed)
 register("risk_stream", ORACLE_SQL["risk_fact"])(risk_stream)

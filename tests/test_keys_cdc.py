@@ -55,9 +55,8 @@ def test_cdc_edge_cases_upsert_and_strict(spark):
     up = _state(apply_changes(target, changes, ["key"], value_cols=["v"]))
     assert up == {2: ("b2", 6), 3: ("c-new", 7), 4: ("d-upd", 8), 5: ("e", 9), 6: ("late", 11)}
     strict = _state(apply_changes(target, changes, ["key"], value_cols=["v"], mode="strict"))
-    assert strict == {2: ("b2", 6), 3: ("c", 1), 5: ("e", 9)}
-    # the shuffled path gives the same answer as the broadcast path
-    assert _state(apply_changes(target, changes, ["key"], value_cols=["v"], broadcast_changes=False)) == up
+    # merged one by one: the create of 6 comes first, so its update finds a row
+    assert strict == {2: ("b2", 6), 3: ("c", 1), 5: ("e", 9), 6: ("late", 11)}
     c = change_counts(changes).first()
     assert (c.inserts, c.updates, c.deletes) == (3, 3, 1)
 
@@ -99,6 +98,71 @@ def test_apply_changes_equals_fold_in_any_batching(spark, ops, n_batches):
     assert _state(live_rows(state)) == want
 
 
+def _merge_one_by_one(changes):
+    state = {}
+    for key, seq, op, v in sorted(changes, key=lambda c: (c[1], c[2] == "d")):
+        if op == "d":
+            state.pop(key, None)
+        elif (op == "u") == (key in state):
+            state[key] = (v, seq)
+    return state
+
+
+@settings(max_examples=6, deadline=None, derandomize=True)
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["c", "r", "u", "u", "d"])), min_size=1, max_size=30),
+       st.integers(1, 4))
+def test_strict_equals_merging_one_by_one(spark, ops, n_batches):
+    rows = [(k, i, op, None if op == "d" else f"v{i}") for i, (k, op) in enumerate(ops)]
+    state, size = None, -(-len(rows) // n_batches)
+    for at in range(0, len(rows), size):
+        state = apply_changes(state, spark.createDataFrame(rows[at:at + size], SCHEMA), ["key"], value_cols=["v"], mode="strict")
+    assert _state(state) == _merge_one_by_one(rows)
+
+
+def test_ties_and_sequence_lists(spark):
+    ties = spark.createDataFrame([(1, 5, "u", "a"), (1, 5, "d", None), (2, 5, "c", "b")], SCHEMA)
+    state = apply_changes(None, ties, ["key"], value_cols=["v"], tombstones=True)
+    assert _state(live_rows(state)) == {2: ("b", 5)}
+    state = apply_changes(state, spark.createDataFrame([(2, 5, "d", None)], SCHEMA), ["key"], value_cols=["v"], tombstones=True)
+    assert live_rows(state).count() == 0  # a delete of the same millisecond in the next batch
+    kind = "key int, ms long, offset long, op string, v string"
+    one = spark.createDataFrame([(1, 5, 1, "c", "a"), (1, 5, 2, "u", "b")], kind)
+    two = spark.createDataFrame([(1, 5, 3, "u", "c"), (1, 4, 9, "u", "old")], kind)
+    state = apply_changes(apply_changes(None, one, ["key"], seq=["ms", "offset"], value_cols=["v"]), two, ["key"],
+                          seq=["ms", "offset"], value_cols=["v"])
+    assert [tuple(r) for r in state.select("key", "v", "ms", "offset").collect()] == [(1, "c", 5, 3)]
+
+
+def test_surrogate_keys_of_repeated_and_null_business_keys(spark):
+    rows = spark.createDataFrame([(7, "a"), (7, "b"), (None, "c"), (9, "d")], "oid int, v string")
+    for existing in (None, spark.createDataFrame([(9, 4)], "oid int, port_key long")):
+        got = {(r.oid, r.v): r.port_key for r in assign_surrogate_keys(rows, existing, "oid", "port_key").collect()}
+        assert got[(7, "a")] == got[(7, "b")] and got[(None, "c")] is None and got[(9, "d")] not in (None, got[(7, "a")])
+
+
+def test_archive_after_a_crash_and_within_one_second(spark, monkeypatch):
+    import quayside.plans.archive as plan
+
+    src, archive, control = _events(spark), scratch_path(spark, "arch2"), scratch_path(spark, "ctl2")
+    whole = plan.write_watermark
+
+    def crash(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(plan, "write_watermark", crash)
+    try:
+        _archive(spark, src, archive, control, dt.datetime(2024, 1, 3))
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(plan, "write_watermark", whole)
+    for micros in (0, 250_000, 500_000):  # the next scheduled run, and two more in the same second
+        _archive(spark, src, archive, control, dt.datetime(2024, 1, 6, 0, 0, 0, micros))
+    late = _events(spark).withColumns({"event_id": F.col("event_id") + 1000, "ts": F.lit(dt.datetime(2024, 1, 6, 0, 0, 0, 600_000)).cast("timestamp_ntz")})
+    _archive(spark, src.unionByName(late.limit(3)), archive, control, dt.datetime(2024, 1, 6, 0, 0, 0, 700_000))
+    got = sorted(r.event_id for r in spark.read.parquet(archive).collect())
+    assert got == [*range(21), 1000, 1001, 1002]
+
+
 def test_upsert_and_insert_if_absent(spark):
     t = spark.createDataFrame([("a", 1), ("b", 2)], "p string, w int")
     u = spark.createDataFrame([("b", 20), ("c", 30)], "p string, w int")

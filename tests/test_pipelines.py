@@ -115,6 +115,7 @@ def test_land_dated_files_skips_bad_names(spark):
     landed = land_dated_files(spark, src, scratch_path(spark, "landed"), "ports")
     got = sorted((r.k, int(r.year), int(r.month)) for r in landed.collect())
     assert got == [("a", 2024, 3), ("b", 2024, 3), ("d", 2024, 4)]
+    assert {str(r.file_date) for r in landed.collect()} == {"2024-03-05", "2024-04-01"}
 
 
 def test_sources_and_sinks_helpers(spark):
