@@ -46,7 +46,7 @@ from quayside.llm.common import slices, staged, text_buffer
 from quayside.llm.components import components
 from quayside.llm.shingles import sequence_hashes, shingles, words
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20  # of text at a time: the hashes take some fifty times that
 CHUNK = 1 << 16  # entries of the count table in a row
 LEAST_BUCKETS = 64
 POSTINGS_PER_BUCKET = 1_000_000
