@@ -130,22 +130,24 @@ class Batch:
         ids = table.column("doc_id").fill_null(LAST).to_numpy()
         return cls(ids, data, offsets, runs_of(data, offsets, length), table.column("doc_id"))
 
-    def anchors(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def anchors(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes by bucket and hash; the bounds of the buckets
-        among them; a note on each (128: in several documents; the rest: the
-        binary logarithm of its runs); and the anchor of each run."""
-        keys, inverse, counts = np.unique(self.runs.key, return_inverse=True, return_counts=True)
+        among them; and the anchor of each run."""
+        keys, inverse = np.unique(self.runs.key, return_inverse=True)
         bucket = (keys % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         place = np.empty(len(keys), np.int64)
         place[order] = np.arange(len(keys))
-        run_key = place[inverse]
+        return keys[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), place[inverse]
+
+    def notes(self, run_key: np.ndarray, n: int) -> np.ndarray:
+        """On each anchor, 128 if it is in several documents, plus the binary
+        logarithm of the number of its runs."""
         ids = self.ids[self.runs.doc]
-        least, most = np.full(len(keys), LAST), np.full(len(keys), np.iinfo(np.int64).min)
+        least, most = np.full(n, LAST), np.full(n, np.iinfo(np.int64).min)
         np.minimum.at(least, run_key, ids)
         np.maximum.at(most, run_key, ids)
-        notes = np.log2(counts[order]).astype(np.uint8) | np.where(least != most, 128, 0).astype(np.uint8)
-        return keys[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), notes, run_key
+        return np.log2(np.bincount(run_key, minlength=n)).astype(np.uint8) | np.where(least != most, 128, 0).astype(np.uint8)
 
     def texts(self, answer: np.ndarray, run_key: np.ndarray, buckets: int, length: int):
         """The distinct texts that stand for the shared runs: a run's whole
@@ -245,17 +247,25 @@ def older_windows(table: pa.Table, length: int) -> pa.Table:
     sizes = np.concatenate([np.frombuffer(b, "<u2", n, 4 + 8 * n) for b, n in zip(blobs, counts)]).astype(np.int64)
     data = np.frombuffer(b"".join(b[4 + 10 * n:] for b, n in zip(blobs, counts)), np.uint8)
     starts = np.cumsum(sizes) - sizes
-    bits = np.zeros(len(ids), np.uint64)
+    # equal texts of several batches are indexed once, for the smallest id; a larger id's windows are then all older
     order = np.argsort(ids, kind="stable")
-    portion = np.cumsum(sizes[order] - length + 1) // PORTION
+    joined, known = data.tobytes(), {}
+    same = np.empty(len(ids), np.int64)
+    for i, first, end in zip(order.tolist(), starts[order].tolist(), (starts + sizes)[order].tolist()):
+        same[i] = known.setdefault(joined[first:end], i)
+    del known
+    distinct = order[same[order] == order]
+    bits = np.zeros(len(ids), np.uint64)
+    portion = np.cumsum(sizes[distinct] - length + 1) // PORTION
     family = IndexFamily()
-    for some in np.split(order, np.flatnonzero(np.diff(portion)) + 1):
+    for some in np.split(distinct, np.flatnonzero(np.diff(portion)) + 1):
         windows = sizes[some] - length + 1
         place = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         rows = data[(np.repeat(starts[some], windows) + place)[:, None] + np.arange(length)]
         own = np.repeat(ids[some], windows)
         older = family.add(rows.view(f"S{length}").ravel(), own) < own
         np.bitwise_or.at(bits, np.repeat(some, windows)[older], np.uint64(1) << place[older].astype(np.uint64))
+    bits = np.where(ids > ids[same], ~np.uint64(0), bits[same])
     cuts = np.cumsum([0, *counts])
     return _rows({"batch": table.column("batch").to_pylist(), "bucket": table.column("bucket").to_pylist(),
                   "step": [2] * len(blobs), "answer": [bits[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]}, ANSWER)
@@ -263,7 +273,8 @@ def older_windows(table: pa.Table, length: int) -> pa.Table:
 
 # the three steps of a batch --------------------------------------------------
 def send_anchors(number: int, batch: Batch, buckets: int) -> pa.Table:
-    keys, cuts, notes, _ = batch.anchors(buckets)
+    keys, cuts, run_key = batch.anchors(buckets)
+    notes = batch.notes(run_key, len(keys))
     full = np.flatnonzero(np.diff(cuts))
     return _rows({"bucket": full, "batch": [number] * len(full),
                   "sent": [keys[cuts[k]:cuts[k + 1]].tobytes() + notes[cuts[k]:cuts[k + 1]].tobytes() for k in full]}, SENT)
@@ -279,7 +290,7 @@ def _answers(table: pa.Table, step: int, cuts: np.ndarray, kind) -> np.ndarray:
 
 
 def send_texts(number: int, batch: Batch, answers: pa.Table, buckets: int, length: int) -> pa.Table:
-    _, cuts, _, run_key = batch.anchors(buckets)
+    _, cuts, run_key = batch.anchors(buckets)
     texts, least, bucket, _ = batch.texts(_answers(answers, 1, cuts, np.uint8), run_key, buckets, length)
     order, cuts = by_bucket(bucket, buckets)
     sent, full = [], np.flatnonzero(np.diff(cuts))
@@ -292,7 +303,7 @@ def send_texts(number: int, batch: Batch, answers: pa.Table, buckets: int, lengt
 
 def covered(batch: Batch, answers: pa.Table, buckets: int, length: int) -> np.ndarray:
     """Whether each byte of the batch is to go."""
-    _, cuts, _, run_key = batch.anchors(buckets)
+    _, cuts, run_key = batch.anchors(buckets)
     _, least, bucket, items = batch.texts(_answers(answers, 1, cuts, np.uint8), run_key, buckets, length)
     order, cuts = by_bucket(bucket, buckets)
     bits = np.zeros(len(least), np.uint64)
