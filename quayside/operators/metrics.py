@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
+from quayside.session import ensure_checkpoint_dir
 
 
 def _agg(df: DataFrame, group_by, *exprs: Column) -> DataFrame:
@@ -53,23 +54,33 @@ def average(df: DataFrame, col: str, alias: str, group_by=None, exclude=None) ->
 
 
 def last_window_distinct(all_rows: DataFrame, filtered: DataFrame, ts: str, key: str, alias: str,
-                         group_by: list[str] | None = None, width_days: int = 1) -> DataFrame:
+                         group_by: list[str] | None = None, width_days: int = 1, total: str | None = None) -> DataFrame:
     """Distinct ``key`` over ALL rows whose ``ts`` lies in
     ``[latest - width, latest]``, where ``latest`` is the maximum ``ts`` of
-    ``filtered`` (per group when ``group_by`` is given).
-
-    Each window spans at most ``width_days + 1`` calendar days, so windows are
-    exploded into their days and equi-joined with the rows on the day, with
-    the exact bounds checked after the join: no nested-loop join, and the
-    window table is as small as the number of groups.
+    ``filtered`` (per group when ``group_by`` is given; with ``total`` also
+    over all groups, under that name in the first group column).
+
+    The latest times are found in one pass and written to the shared folder
+    (a row per group). The earliest start of a window is one value, so it
+    reaches the scan of the rows as a literal filter. Each window spans at
+    most ``width_days + 1`` calendar days, so windows are exploded into their
+    days and equi-joined with the rows on the day, with the exact bounds
+    checked after the join: no nested-loop join. A group whose window holds
+    nothing still reports 0.
     """
     group_by = group_by or []
-    latest = _agg(filtered, group_by, F.max(ts).alias("_latest")).filter(F.col("_latest").isNotNull())
+    ensure_checkpoint_dir(all_rows.sparkSession)
+    latest = _agg(filtered, group_by, F.max(ts).alias("_latest"))
+    if total is not None:
+        whole = latest.agg(F.max("_latest").alias("_latest"))
+        latest = latest.unionByName(whole.withColumns({g: F.lit(total if g == group_by[0] else None) for g in group_by}))
+    latest = latest.filter(F.col("_latest").isNotNull()).checkpoint()
     lo = F.col("_latest") - F.make_dt_interval(F.lit(width_days))
+    earliest = latest.agg(F.min(lo).alias("m")).first()["m"]
     windows = latest.select(*group_by, "_latest", lo.alias("_lo")) \
         .withColumn("_day", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_latest"))))
-    rows = all_rows.select(F.col(ts).alias("_ts"), F.col(key).alias("_key"), F.to_date(ts).alias("_day"))
-    windows, _ = broadcast_if_bounded(windows, DEFAULT_MAX_BROADCAST_ROWS)
+    rows = all_rows.filter(F.col(ts) >= F.lit(earliest).cast(all_rows.schema[ts].dataType)) \
+        .select(F.col(ts).alias("_ts"), F.col(key).alias("_key"), F.to_date(ts).alias("_day"))
     hit = rows.join(windows, "_day").filter((F.col("_ts") >= F.col("_lo")) & (F.col("_ts") <= F.col("_latest")))
     counted = _agg(hit, group_by, F.countDistinct("_key").cast("bigint").alias(alias))
     # groups whose window holds nothing still report 0

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.operators.broadcast import broadcast_if_bounded
 from quayside.operators.dedupe import dedupe
 
 
@@ -108,18 +107,17 @@ def scd2_from_snapshots(snapshots: DataFrame, keys: list[str], snapshot_col: str
     stays open (``is_current``). Several rows of one member in one snapshot
     are reduced to the last by ``order`` first. Because a member has at most
     one row per snapshot, the per-member window holds at most as many rows as
-    there are snapshots; the snapshot calendar is a small broadcast table.
+    there are snapshots; the snapshot calendar has a row per snapshot.
     """
     order = list(order or [])
     one = dedupe(snapshots.select(*keys, snapshot_col, *tracked, *order), [*keys, snapshot_col], order=order,
                  keep="last").select(*keys, snapshot_col, *tracked)
     h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in tracked])
     rows = one.withColumn("_h", h)
-    calendar = rows.select(snapshot_col).distinct()
+    calendar = snapshots.select(snapshot_col).distinct()  # not of the reduced rows: that would reduce them twice
     cal_order = Window.orderBy(snapshot_col)  # one row per snapshot: bounded
     calendar = calendar.select(snapshot_col, F.lag(snapshot_col).over(cal_order).alias("_gprev"),
                                F.lead(snapshot_col).over(cal_order).alias("_gnext"))
-    calendar, _ = broadcast_if_bounded(calendar)
     rows = rows.join(calendar, snapshot_col)
     by_key = Window.partitionBy(*keys).orderBy(snapshot_col)
     prev_snap, prev_h = F.lag(snapshot_col).over(by_key), F.lag("_h").over(by_key)

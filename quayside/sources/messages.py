@@ -99,6 +99,22 @@ SEISMIC_SCHEMA = T.StructType([
 ])
 
 
+def _has_properties() -> Column:
+    props = F.col("data.properties")
+    return props.isNotNull() & (F.size(props) > 0)
+
+
+def seismic_rejects(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """The messages that :func:`flatten_seismic_messages` leaves out, or whose
+    ``time`` it cannot read (the row then has no time), with the reason."""
+    m = decode_json(df.withColumn("_raw", F.col(value_col)), SEISMIC_SCHEMA, value_col, keep=["_raw"])
+    time = F.col("data.properties").getItem("time")
+    reason = F.when(F.col("_malformed"), F.lit("malformed")) \
+        .when(~F.coalesce(_has_properties(), F.lit(False)), F.lit("no properties")) \
+        .when(time.isNotNull() & parse_event_time(time).isNull(), F.lit("time"))
+    return m.select(F.col("_raw").alias("value"), reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def flatten_seismic_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw seismic messages -> one change row per message.
 
@@ -119,7 +135,7 @@ def flatten_seismic_messages(df: DataFrame, value_col: str = "value") -> DataFra
     def coord(i: int) -> Column:
         return F.coalesce(F.try_element_at(coords, F.lit(i + 1)), F.lit(0.0))
 
-    out = m.filter(~F.col("_malformed") & props.isNotNull() & (F.size(props) > 0))
+    out = m.filter(~F.col("_malformed") & _has_properties())
     return out.select(
         text("unid").alias("unid"),
         text("source_id").alias("source_id"),

@@ -34,6 +34,7 @@ def load_all() -> None:
         w_keys_cdc,
         w_messages,
         w_model,
+        w_more,
         w_pipelines,
         w_parse,
         w_risk,

@@ -76,10 +76,8 @@ SELECT l.event_type AS scope,
 FROM latest l""")
 def kpi_last_24h(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    per_type = last_window_distinct(e, e, "ts", "event_id", "earthquakes_last_24h", group_by=["event_type"])
-    overall = last_window_distinct(e, e, "ts", "event_id", "earthquakes_last_24h")
-    return per_type.withColumnRenamed("event_type", "scope") \
-        .unionByName(overall.select(F.lit("ALL").alias("scope"), "earthquakes_last_24h"))
+    return last_window_distinct(e, e, "ts", "event_id", "earthquakes_last_24h", group_by=["event_type"], total="ALL") \
+        .withColumnRenamed("event_type", "scope")
 
 
 @register("kpi_filtered_distinct", FACT_CTE + """
