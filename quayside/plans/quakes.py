@@ -57,7 +57,8 @@ def apply_quake_changes(state: DataFrame | None, staged: DataFrame, mode: str =
 
 def fact_earthquake(quakes: DataFrame, existing_keys: DataFrame | None = None) -> DataFrame:
     """FACT_EARTHQUAKE: current quakes with year/month, the five calendar
-    keys of the semantic model and a stable surrogate key."""
+    keys of the semantic model, the descriptive columns of the design and a
+    stable surrogate key."""
     keyed = assign_surrogate_keys(quakes.select(*QUAKE_COLUMNS), existing_keys, "unid", "EARTHQUAKE_SK")
     return keyed.select(
         "EARTHQUAKE_SK", F.col("unid").alias("UNID"), F.col("time").alias("TIME"), F.col("lat").alias("LAT"),
@@ -65,6 +66,9 @@ def fact_earthquake(quakes: DataFrame, existing_keys: DataFrame | None = None) -
         date_key("time").alias("TIME_DATE_KEY"), time_key("time").alias("TIME_TIME_KEY"),
         date_key("lastupdate").alias("LAST_UPDATE_DATE_KEY"), time_key("lastupdate").alias("LAST_UPDATE_TIME_KEY"),
         date_key("event_date").alias("EVENT_DATE_KEY"),
+        F.col("source_id").alias("SOURCE_ID"), F.col("source_catalog").alias("SOURCE_CATALOG"),
+        F.col("flynn_region").alias("FLYNN_REGION"), F.col("depth").alias("DEPTH"), F.col("magtype").alias("MAGNITUDE_TYPE"),
+        F.col("evtype").alias("EVENT_TYPE"), F.col("auth").alias("AUTHORITY"), F.col("received_at").alias("RECEIVED_AT"),
         F.year("time").cast("int").alias("EVENT_YEAR"), F.month("time").cast("int").alias("EVENT_MONTH"))
 
 

@@ -151,7 +151,8 @@ cur AS (
          make_timestamp((epoch_us(ts) // 1000) * 1000 + 60000000) AS lu,
          CAST((event_id * 37) % 140 - 70 AS DOUBLE) + 0.5 AS lat,
          CAST((event_id * 53) % 360 - 180 AS DOUBLE) + 0.5 AS lon,
-         CAST(2 + event_id % 7 AS DOUBLE) AS mag
+         CAST(2 + event_id % 7 AS DOUBLE) AS mag, 'src-' || CAST(event_id AS VARCHAR) AS source_id, event_type,
+         CAST(event_id % 50 AS DOUBLE) AS depth, make_timestamp((epoch_us(ts) // 1000) * 1000 + 1000000) AS received
   FROM latest WHERE event_type <> 'error')
 SELECT CAST(row_number() OVER (ORDER BY unid) AS BIGINT) AS EARTHQUAKE_SK, unid AS UNID, t AS TIME, lat AS LAT,
        lon AS LON, mag AS MAG, CAST(t AS DATE) AS EVENT_DATE,
@@ -159,6 +160,8 @@ SELECT CAST(row_number() OVER (ORDER BY unid) AS BIGINT) AS EARTHQUAKE_SK, unid
        CAST(strftime(lu, '%Y%m%d') AS INTEGER) AS LAST_UPDATE_DATE_KEY,
        CAST(strftime(lu, '%H%M%S') AS INTEGER) AS LAST_UPDATE_TIME_KEY,
        CAST(strftime(t, '%Y%m%d') AS INTEGER) AS EVENT_DATE_KEY,
+       source_id AS SOURCE_ID, 'EMSC' AS SOURCE_CATALOG, event_type AS FLYNN_REGION, depth AS DEPTH, 'ml' AS MAGNITUDE_TYPE,
+       'ke' AS EVENT_TYPE, 'AUTH' AS AUTHORITY, received AS RECEIVED_AT,
        CAST(year(t) AS INTEGER) AS EVENT_YEAR, CAST(month(t) AS INTEGER) AS EVENT_MONTH
 FROM cur""")
 def fact_earthquake_q(spark, sf_dir):

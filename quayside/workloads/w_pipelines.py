@@ -239,6 +239,34 @@ def vessel_trip_q(spark, sf_dir):
     return vessel_trip(snaps, AS_OF, order=["l_orderkey", "l_linenumber"])
 
 
+@register("vessel_trip_moving_eta", """
+WITH r AS (
+  SELECT o_custkey AS vessel_key, CASE WHEN l_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS departure_date,
+         l_orderkey % 5 AS destination_port_key, CAST(o_orderdate AS DATE) + CAST(l_linenumber AS INTEGER) AS seen,
+         CAST(o_orderdate AS DATE) + 20 + CAST(l_linenumber * 7 % 5 - 2 AS INTEGER) AS eta, l_orderkey, l_linenumber
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+w AS (SELECT *, first_value(eta) OVER t AS scheduled, last_value(eta) OVER t AS actual, row_number() OVER t AS n, count(*) OVER t AS total
+  FROM r WHERE departure_date IS NOT NULL WINDOW t AS (
+    PARTITION BY vessel_key, departure_date, destination_port_key ORDER BY seen, l_orderkey, l_linenumber
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT vessel_key, departure_date, destination_port_key, total AS n_snapshots, scheduled AS scheduled_arrival, actual AS actual_arrival,
+       CAST((actual - scheduled) * 24 AS BIGINT) AS arrival_delay_hours,
+       CASE WHEN actual <= DATE '1998-08-01' THEN 'COMPLETED' ELSE 'IN_TRANSIT' END AS trip_status
+FROM w WHERE n = 1""")
+def vessel_trip_moving_eta(spark, sf_dir):
+    """Daily reports of a voyage whose expected arrival moves back and forth, so
+    some vessels are early; every eleventh has no departure."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    k, line = F.col("l_orderkey"), F.col("l_linenumber").cast("int")
+    reports = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").join(o, k == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("vessel_key"), F.when(k % 11 != 0, F.col("day")).alias("departure_date"),
+        (k % 5).alias("destination_port_key"), F.date_add("day", line).alias("snapshot_date"),
+        F.date_add("day", 20 + line * 7 % 5 - 2).alias("arrival_date"), "l_orderkey", "l_linenumber")
+    return vessel_trip(reports, AS_OF, order=["l_orderkey", "l_linenumber"]).select(
+        "vessel_key", "departure_date", "destination_port_key", "n_snapshots", "scheduled_arrival", "actual_arrival",
+        "arrival_delay_hours", "trip_status")
+
+
 @register("vessel_port_risk", FACT_CTE + ", " + VOYAGES_SQL + """
 , latest AS (
   SELECT vessel_key, snapshot_date, destination_port_key FROM (
