@@ -57,7 +57,7 @@ def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
     """CSV files with a header under ``path``, every column a string, by the
     names in each file's own header: files of one header are read together
     and the groups joined by column name. ``_source_path`` is a row's file."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path).select(
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
         "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"),
         F.col("_metadata.file_block_start").alias("block")).filter("block = 0")
     # a short line per file; columns of the partition folders are read again below
@@ -68,7 +68,7 @@ def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("_source_path", F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
-        raise FileNotFoundError(f"no CSV file under {path}")
+        raise FileNotFoundError(f"no file with a header under {path}")
     return out
 
 
