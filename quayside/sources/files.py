@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 from quayside.operators.quality import assert_not_empty
@@ -53,25 +55,35 @@ def dated_file_date(prefix: str, path_col: str = "_source_path"):
     return F.to_date(F.nullif(F.regexp_extract(F.col(path_col), pat, 1), F.lit("")), "yyyy-MM-dd")
 
 
-def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, path: str, partitions: bool = True) -> DataFrame:
     """CSV files with a header under ``path``, every column a string, by the
-    names in each file's own header: files of one header are read together
-    and the groups joined by column name. ``_source_path`` is a row's file."""
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"),
-        F.col("_metadata.file_block_start").alias("block")).filter("block = 0")
-    # a short line per file; columns of the partition folders are read again below
-    heads = lines.groupBy("path").agg(F.min_by("value", "at").alias("head")).groupBy("head").agg(F.collect_list("path").alias("paths"))
+    names in each file's own header. The files are listed once and read as
+    lines; the lines of files with one header are parsed together, and the
+    groups joined by column name. A line equal to its file's header is a
+    header. ``_source_path`` is a row's file; ``partitions`` adds the columns
+    of the folders' names."""
+    reader = spark.read if partitions else spark.read.option("recursiveFileLookup", True)
+    lines = reader.text(path).withColumns({"_source_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
+                                           "_at": F.monotonically_increasing_id()})
+    folders = [c for c in lines.columns if c not in ("value", "_source_path", "_block", "_at")]
+    # the first line of each file; a row per file, and one per different header on the driver
+    first = lines.filter("_block = 0").groupBy("_source_path").agg(F.min_by("value", "_at").alias("_head"))
+    rows = lines.join(first, "_source_path").filter((F.col("value") != F.col("_head")) & (F.col("value") != ""))
     out = None
-    for row in heads.orderBy("head").collect():
-        part = spark.read.option("header", True).option("inferSchema", False).option("basePath", path).csv(sorted(row["paths"])) \
-            .withColumn("_source_path", F.col("_metadata.file_path"))
+    for head in sorted(r[0] for r in first.select("_head").distinct().collect()):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in next(csv.reader([head]))])
+        part = rows.filter(F.col("_head") == head).withColumn("_row", F.from_csv("value", _ddl(schema))) \
+            .select("_row.*", *folders, "_source_path")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError(f"no file with a header under {path}")
     return out
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in schema.fields)
+
+
 def land_dated_files(spark: SparkSession, src: str, dst: str, prefix: str) -> DataFrame:
     """Land ``<prefix>_YYYY-MM-DD.csv`` files under
     ``dst/year=YYYY/month=MM/file_date=YYYY-MM-DD``.
@@ -82,7 +94,7 @@ def land_dated_files(spark: SparkSession, src: str, dst: str, prefix: str) -> Da
     Columns go by the names in each file's header. Returns all that is landed,
     as read back.
     """
-    raw = read_csv_by_name(spark, src)
+    raw = read_csv_by_name(spark, src, partitions=False)
     dated = raw.withColumn("file_date", dated_file_date(prefix)).filter(F.col("file_date").isNotNull())
     out = dated.withColumns({"year": F.year("file_date"), "month": F.format_string("%02d", F.month("file_date"))})
     (cluster_for_write(out, ["year", "month", "file_date"]).drop("_source_path")

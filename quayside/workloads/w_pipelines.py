@@ -137,40 +137,51 @@ def land_partitions(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-def _drop_by_date(spark, rows, src):
-    """One CSV file per order date, as ``orders_YYYY-MM-DD.csv``."""
-    name = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(".csv"))
-    rows.withColumn("landing", name).drop("o_orderdate").repartition("landing") \
+# files are dated the 1st, 8th, 15th or 22nd of the order's month
+FILE_DAY_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE) + CAST(7 * ((day(o_orderdate) - 1) // 8) AS INTEGER)"
+
+
+def _dated_orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    week = F.floor((F.dayofmonth("o_orderdate") - 1) / 8).cast("int")
+    return o.withColumn("day", F.date_add(F.trunc("o_orderdate", "month"), 7 * week))
+
+
+def _drop_by_date(rows, src):
+    """One CSV file per day, as ``orders_YYYY-MM-DD.csv``."""
+    name = F.concat(F.lit("orders_"), F.date_format("day", "yyyy-MM-dd"), F.lit(".csv"))
+    rows.withColumn("landing", name).drop("day").repartition("landing") \
         .write.option("header", True).partitionBy("landing").csv(src)
 
 
-@register("land_daily_two_runs", """
-SELECT CAST(o_orderdate AS DATE) AS file_date, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkeys FROM orders GROUP BY 1""")
+@register("land_daily_two_runs", f"""
+SELECT {FILE_DAY_SQL} AS file_date, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS custkeys FROM orders GROUP BY 1""")
 def land_daily_two_runs(spark, sf_dir):
-    """Odd days land first, then even days and the odd days up to the tenth once
-    more: each file is there once, beside the other days of its month."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    day, dst = F.dayofmonth("o_orderdate"), scratch_path(spark, "landed-daily")
+    """The files of the 1st and 15th land first, then those of the 8th and 22nd
+    and of the 1st once more: each is there once, beside the other days of its
+    month."""
+    o = _dated_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "day")
+    day, dst = F.dayofmonth("day"), scratch_path(spark, "landed-daily")
     landed = None
-    for part in (day % 2 == 1, (day % 2 == 0) | (day <= 10)):
+    for days in ((1, 15), (1, 8, 22)):
         src = scratch_path(spark, "sftp-daily")
-        _drop_by_date(spark, o.filter(part), src)
+        _drop_by_date(o.filter(day.isin(*days)), src)
         landed = land_dated_files(spark, src, dst, "orders")
     return landed.groupBy(F.col("file_date").cast("date").alias("file_date")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("o_custkey").cast("long")).alias("custkeys"))
 
 
-@register("land_reordered_header", """
+@register("land_reordered_header", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-       CASE WHEN day(o_orderdate) % 2 = 0 THEN o_orderstatus END AS status FROM orders""")
+       CASE WHEN day({FILE_DAY_SQL}) IN (8, 22) THEN o_orderstatus END AS status FROM orders""")
 def land_reordered_header(spark, sf_dir):
-    """Files of even days have their columns in another order, and one more."""
-    o = table(spark, sf_dir, "orders")
-    even, dst = F.dayofmonth("o_orderdate") % 2 == 0, scratch_path(spark, "landed-headers")
-    src = scratch_path(spark, "sftp-headers")
-    _drop_by_date(spark, o.filter(~even).select("o_orderkey", "o_custkey", "o_orderdate"), f"{src}/a")
-    _drop_by_date(spark, o.filter(even).select(F.col("o_orderstatus").alias("status"), "o_custkey", "o_orderkey", "o_orderdate"), f"{src}/b")
-    return land_dated_files(spark, src, dst, "orders").select("o_orderkey", "o_custkey", "status")
+    """The files of two of the four days have their columns in another order,
+    and one more."""
+    o = _dated_orders(spark, sf_dir)
+    other, src = F.dayofmonth("day").isin(8, 22), scratch_path(spark, "sftp-headers")
+    _drop_by_date(o.filter(~other).select("o_orderkey", "o_custkey", "day"), f"{src}/a")
+    _drop_by_date(o.filter(other).select(F.col("o_orderstatus").alias("status"), "o_custkey", "o_orderkey", "day"), f"{src}/b")
+    return land_dated_files(spark, src, scratch_path(spark, "landed-headers"), "orders").select("o_orderkey", "o_custkey", "status")
 
 
 @register("scd2_history", """
