@@ -10,6 +10,14 @@ or main element if one does; its lines are the main text, without what the
 markup names as something else: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments.
 
+Element names and roles decide at once. Class and id words and forms only
+name a candidate: html, body, main, headings and an article outside another
+one are never taken by a word, a name of the content ("article-body") wins
+over one of something else, a state ("has-comments") names nothing, and ids of
+sections and text elements are targets of links. A candidate that holds most
+of the page's text, with no article beside it, is a wrapper of the page or a
+page-wide form and is left to the clustering.
+
 Text: character references decoded, white space inside a block turned into
 one space, trimmed, blocks joined in page order by an empty line. Nothing
 else is dropped and nothing is capped.
@@ -36,6 +44,7 @@ from quayside.llm.common import slices
 CHUNK = 1 << 16
 SIGMA = 1.0  # of the Gaussian, in lines
 REGION_SHARE = 0.8  # of the marked text that the region must hold
+WRAPPED_REST = 20  # per cent of the text: reader comments with as much beside them are not the page
 
 # Element names of HTML by what they are here.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
@@ -44,16 +53,29 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("""script style head title noscript template svg math iframe object audio video canvas select option textarea button
     datalist""".split())
-ASIDE = frozenset("nav aside footer form dialog menu".split())
+ASIDE = frozenset("nav aside footer dialog menu".split())
 PARAGRAPH_ENDS = BLOCKS - {"body", "html", "caption", "tbody", "thead", "tfoot", "tr", "td", "th", "option", "legend", "title"}
 SIBLING_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
                 "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody")}
 SIBLING_WITHIN = frozenset("ul ol menu dl table select".split())
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form note".split())
-ASIDE_WORDS = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs footer sidebar aside widget ad ads adv advert adverts
-    advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup
-    modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments
-    reply replies respond responses discussion disqus pagination pager toolbar login search masthead skip""".split())
+ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar note".split())
+# names of something else wherever they stand in a class of a container ...
+ASIDE_WORDS = frozenset("""nav navbar menubar breadcrumb breadcrumbs footer sidebar widget ad ads adv advert adverts advertisement
+    advertising adsense sponsored gdpr popup modal overlay newsletter signup disqus pagination pager toolbar login masthead""".split())
+# ... and, since they are topics as well, names only as the last word but for words of layout
+TOPIC_WORDS = frozenset("""navigation menu aside sponsor promo promotion banner cookie cookies consent notice notices alert subscribe
+    subscription share sharing social related recommended recommendations search skip""".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond responses discussion disqus".split())
+LAYOUT_WORDS = frozenset("""wrap wrapper container holder outer inner block box area region section panel pane bar strip list item items row
+    col column group unit slot zone frame card cards link links button buttons btn icon icons title heading header head label top bottom
+    left right middle center above below main primary secondary small large full desktop mobile inline fixed sticky default info warning
+    danger success error message form field count toggle content body text post posts article articles story stories entry entries page
+    pages news thread media meta author date law policy widgets trail""".split())
+STATE_WORDS = frozenset("""has have with without no not is show hide enable enabled disable disabled on off open opened closed active
+    visible collapsed expanded""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# elements with text of their own: a class names them by its last word, and an id is the target of a link
+TEXT_ELEMENTS = frozenset("article p li dt dd td th pre blockquote figure figcaption caption details summary address".split())
 CONTENT_WORDS = frozenset("article content post entry story main body text".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
@@ -67,12 +89,18 @@ class Element:
     aside: bool  # it or an element around it is not part of an article
     semantic: bool  # article or main
     depth: int
+    start: int = 0  # place among the page's elements
+    end: int = 1 << 62  # place of the last element in it
+    named: Element | None = None  # the innermost of it and those around it that a word or a form names as something else
+    form: bool = False
+    comments: bool = False
+    held: int = 0  # of a named one: its characters without links
 
 
 @dataclass
 class Line:
     parent: Element
-    parts: list[str] = field(default_factory=list)
+    parts: list[tuple[str, bool, Element | None]] = field(default_factory=list)  # text, linked, what names it
     tags: int = 0
     linked: int = 0
     text: str = ""
@@ -88,6 +116,11 @@ class Blocks(HTMLParser):
         self.names: dict[str, int] = {}
         self.line: Line | None = None
         self.tags = 0
+        self.count = 0
+        self.total = 0  # characters without links
+        self.rest = 0  # of these, what no word or form names as something else
+        self.named: list[Element] = []
+        self.contents: list[Element] = []  # articles, mains and what a word names as content
 
     def handle_starttag(self, tag, attrs):
         if tag in PARAGRAPH_ENDS and self.names.get("p"):
@@ -103,7 +136,11 @@ class Blocks(HTMLParser):
             parent = self.open[-1]
             named = dict(attrs)
             semantic = tag in ("article", "main") or named.get("role") in ("main", "article")
-            self.open.append(Element(tag, parent, parent.aside or self._is_aside(tag, named, parent), semantic, parent.depth + 1))
+            self.count += 1
+            element = Element(tag, parent, parent.aside or self._is_aside(tag, named), semantic, parent.depth + 1, self.count, named=parent.named)
+            if not element.aside:
+                self._name(element, named)
+            self.open.append(element)
             self.names[tag] = self.names.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
@@ -121,20 +158,38 @@ class Blocks(HTMLParser):
     def handle_data(self, data):
         self._text(data)
 
-    def _is_aside(self, tag: str, attrs: dict, parent: Element) -> bool:
+    def _is_aside(self, tag: str, attrs: dict) -> bool:
         if tag in SILENT or tag in ASIDE or attrs.get("role") in ASIDE_ROLES:
             return True
-        inside = any(e.semantic for e in self.open)
         if tag == "header":
-            return not inside
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", ""):
-            return True
-        if tag in ("html", "body", "main") or tag not in BLOCKS and tag not in ("span", "ins"):
-            return False
-        words = {w.lower() for w in WORDS.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
-        if "header" in words and not inside and not words & CONTENT_WORDS:
-            return True
-        return bool(words & ASIDE_WORDS)
+            return not any(e.semantic for e in self.open)
+        return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "")
+
+    def _name(self, element: Element, attrs: dict) -> None:
+        """Note an element that its words, or its being a form, name as something else or as content."""
+        tag = element.name
+        element.form = tag == "form" or attrs.get("role") == "form"
+        if tag in ("html", "body", "main") or tag in HEADINGS or tag not in BLOCKS and tag not in ("span", "ins"):
+            tokens = []
+        elif tag == "article" and not any(e.name == "article" for e in self.open):
+            tokens = []
+        else:
+            tokens = [(t, tag not in TEXT_ELEMENTS) for t in (attrs.get("class") or "").split()]
+            ids = (attrs.get("id") or "").split()
+            if not (tag == "section" or tag in TEXT_ELEMENTS or ("section", True) in tokens):
+                tokens += [(t, False) for t in ids]
+            elif tag == "section" and not any(e.semantic for e in self.open):
+                tokens += [(t, False) for t in ids if t in ("comments", "respond", "disqus_thread")]
+        kinds = [kind_of(*t) for t in tokens]
+        aside = {"aside", "comments"} & set(kinds) or "header" in kinds and not any(e.semantic for e in self.open)
+        if "content" in kinds or element.semantic and not aside:
+            self.contents.append(element)
+        elif aside:
+            element.named, element.comments = element, "comments" in kinds
+        if element.form:
+            element.named = element
+        if element.named is element:
+            self.named.append(element)
 
     def _text(self, data: str) -> None:
         element = self.open[-1]
@@ -147,22 +202,27 @@ class Blocks(HTMLParser):
             while block.parent and block.name not in BLOCKS:
                 block = block.parent
             self.line, self.tags = Line(block, tags=self.tags), 0
-        self.line.parts.append(data)
-        if self.names.get("a"):
-            self.line.linked += len(data.strip())
+        linked = bool(self.names.get("a"))
+        self.line.parts.append((data, linked, element.named))
+        if not linked:
+            size, named = len(data.strip()), element.named
+            self.total += size
+            self.rest += 0 if named else size
+            while named:
+                named.held += size
+                named = named.parent.named
 
     def _break(self) -> None:
         if self.line is not None:
             self.line.tags, self.tags = self.line.tags + self.tags, 0
-            self.line.text = SPACE.sub(" ", "".join(self.line.parts)).strip()
-            if self.line.text:
-                self.lines.append(self.line)
+            self.lines.append(self.line)
             self.line = None
 
     def _close(self, tag: str) -> None:
         self._break() if tag in BLOCKS else None
         while True:
             element = self.open.pop()
+            element.end = self.count
             self.names[element.name] -= 1
             if element.name == tag:
                 return
@@ -174,6 +234,7 @@ class Blocks(HTMLParser):
             if self.open[k].name in SIBLING_ENDS[tag]:
                 self._break()
                 for element in self.open[k:]:
+                    element.end = self.count
                     self.names[element.name] -= 1
                 del self.open[k:]
                 return self._close_siblings(tag)
@@ -181,7 +242,54 @@ class Blocks(HTMLParser):
     def finish(self) -> list[Line]:
         self.close()
         self._break()
-        return self.lines
+        wrappers = {id(e) for e in self.named if self._wraps_page(e)}
+        out, tags = [], 0
+        for line in self.lines:
+            parts = [(data, linked) for data, linked, named in line.parts if not _named_within(named, wrappers)]
+            line.text = SPACE.sub(" ", "".join(data for data, _ in parts)).strip()
+            line.tags += tags
+            tags = 0 if line.text else line.tags
+            if line.text:
+                line.linked = sum(len(data.strip()) for data, linked in parts if linked)
+                out.append(line)
+        return out
+
+    def _wraps_page(self, element: Element) -> bool:
+        """Whether a named element holds most of the page's text and no content is named beside it."""
+        if not (2 * element.held > self.total or element.form and element.held and not self.rest):
+            return False
+        if element.comments and 100 * (self.total - element.held) >= WRAPPED_REST * self.total:
+            return False
+        return not any(_beside(e, element) and (e.named is None or not _beside(e.named, element)) for e in self.contents)
+
+
+def _beside(a: Element, b: Element) -> bool:
+    """Whether neither of two elements is within the other."""
+    return a.end < b.start or b.end < a.start
+
+
+def kind_of(token: str, anywhere: bool) -> str:
+    """What one name of a class or id says: aside, comments, header, content or nothing (an empty string).
+    ``anywhere``: a word that has no other sense may stand anywhere in it."""
+    words = [w.lower() for w in WORDS.findall(token.split("--")[0])]
+    if STATE_WORDS & set(words):
+        return ""
+    head = list(words)
+    while len(head) > 1 and (head[-1] in LAYOUT_WORDS or head[-1].isdigit() or len(head[-1]) == 1):
+        head.pop()
+    if head and head[-1] in COMMENT_WORDS:
+        return "comments"
+    if head and head[-1] in ASIDE_WORDS | TOPIC_WORDS or anywhere and ASIDE_WORDS & set(words):
+        return "aside"
+    if token.lower() in CONTENT_WORDS or set(words) & CONTENT_WORDS - {"body", "text"} and set(words) <= CONTENT_WORDS | LAYOUT_WORDS:
+        return "content"
+    return "header" if "header" in words and not set(words) & CONTENT_WORDS else ""
+
+
+def _named_within(named: Element | None, wrappers: set[int]) -> bool:
+    while named is not None and id(named) in wrappers:
+        named = named.parent.named
+    return named is not None
 
 
 def page_lines(html: str) -> list[Line]:

@@ -30,6 +30,51 @@ def test_case(name):
     assert main_text(html) == "\n\n".join(want)
 
 
+BOTH = f"<p>{PARA}</p><p>{OTHER}</p>"
+NAMED_CONTENT = {  # pages and the text that a class or id word, or a form, must not take
+    "article with a state": (f'<article class="post has-comments">{BOTH}</article>', [PARA, OTHER]),
+    "article with a word": (f'<article class="social">{BOTH}</article>', [PARA, OTHER]),
+    "content name wins": (f'<div class="article-body social-share-enabled">{BOTH}</div>', [PARA, OTHER]),
+    "content id wins": (f'<div id="content" class="with-sidebar">{BOTH}</div>', [PARA, OTHER]),
+    "content beside an aside word": (f'<div class="post related"><p>{PARA}</p></div><div class="sidebar"><p>{OTHER}</p></div>', [PARA]),
+    "wrapper": (f'<div class="layout-sidebar">{BOTH}<div class="sidebar"><p>Short note.</p></div></div>', [PARA, OTHER]),
+    "heading ids": (f'<article><h2 id="related-work">Related work</h2><p>{PARA}</p><h3 id="search-algorithms">Search algorithms</h3><p>{OTHER}</p>'
+                    f'</article>', ["Related work", PARA, "Search algorithms", OTHER]),
+    "heading class": (f'<article><h2 class="widget">Widgets</h2>{BOTH}</article>', ["Widgets", PARA, OTHER]),
+    "section ids": (f'<article><p>{PARA}</p><section id="discussion"><h2>Discussion</h2><p>{OTHER}</p></section></article>',
+                    [PARA, "Discussion", OTHER]),
+    "section ids without an article": (f'<div><section id="related"><p>{PARA}</p></section><section id="discussion"><p>{OTHER}</p></section></div>',
+                                       [PARA, OTHER]),
+    "a topic in a class": (f'<article><p class="notice-period">{PARA}</p><p>{OTHER}</p></article>', [PARA, OTHER]),
+    "a topic in an id": (f'<article><div id="related-work"><p>{PARA}</p></div><p>{OTHER}</p></article>', [PARA, OTHER]),
+    "page in a form": (f'<body><form id="aspnetForm"><div class="menu"><a href=x>A</a></div><div>{BOTH}</div><select><option>x</select></form></body>',
+                       [PARA, OTHER]),
+    "article in a form": (f'<form role="form"><nav>{PARA}</nav><article>{BOTH}</article></form>', [PARA, OTHER]),
+    "main with a word": (f'<main class="sidebar">{BOTH}</main>', [PARA, OTHER]),
+}
+
+
+@pytest.mark.parametrize("name", NAMED_CONTENT)
+def test_words_and_forms_take_no_content(name):
+    html, want = NAMED_CONTENT[name]
+    assert main_text(html) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("junk", [
+    f'<div class="comments-area"><p>{PARA * 9}</p></div>', f'<section id="comments"><p>{PARA * 9}</p></section>',
+    f'<ul class="menu-items"><li>{PARA}</ul>', f'<div class="footer text-center"><p>{OTHER}</p></div>', f'<div id="cookie-notice">{OTHER}</div>',
+    f'<div class="related-posts"><p>{OTHER}</p></div>', f'<div class="widget widget_text" id="text-3"><p>{OTHER}</p></div>',
+    f'<form class="search"><p>{OTHER}</p></form>', f'<div class="ad">{OTHER * 9}</div>', f'<div id="div-gpt-ad-1-0">{OTHER}</div>',
+    f'<div id="sidebar-left"><article>{OTHER}</article></div>', f'<div class="alert alert-info">{OTHER}</div>'])
+def test_named_asides_still_go(junk):
+    assert main_text(f"<article><p>{PARA}</p></article>{junk}") == PARA
+
+
+def test_an_advert_inside_a_paragraph_goes_and_the_paragraph_stays():
+    assert main_text(f'<article><p>{PARA} <span class="ad">Buy <a>now</a></span>end</p></article>') == f"{PARA} end"
+    assert main_text(f'<article><p>{PARA}</p><article class="comment"><p>{OTHER}</p></article></article>') == PARA
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 3000 + f"<article><p>{PARA}</p></article>") == PARA
     long = "<article>" + f"<p>{PARA}</p>" * 5000 + "</article>"
