@@ -4,9 +4,11 @@ The standard library's parser streams a page as events. They are cut into
 lines, one per block of text, each with its number of tags, its linked
 characters and its open elements. The ratio of text to tags per line is
 smoothed with a Gaussian along the page, and a threshold between two clusters
-of the smoothed (logarithmic) ratios marks the content lines. The content
-region is the deepest element that holds nearly all marked text, an article
-or main element if one does; its lines are the main text, without what the
+of the smoothed (logarithmic) ratios marks the content lines. The core is the
+deepest element that holds nearly all marked text, an article or main element
+if one does. The content region is the smallest element around it that also
+holds every marked line outside the core that is not mostly links, and the
+h1 heading before the core if that has none. Its lines are the main text, without what the
 markup names as something else: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments.
 
@@ -340,26 +342,59 @@ def content_lines(lines: list[Line]) -> list[Line]:
     enough = REGION_SHARE * max(held.values())
     regions = [e for e, n in held.items() if n >= enough]
     semantic = [e for e in regions if e.semantic]
-    region = max(semantic or regions, key=lambda e: e.depth)
-    if not semantic and region.name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre") and region.parent:
-        region = region.parent  # one long paragraph is in a region, not one
+    core = max(semantic or regions, key=lambda e: e.depth)
+    if not semantic and core.name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre") and core.parent:
+        core = core.parent  # one long paragraph is in a region, not one
+    own = ratio >= threshold(smooth)
+    region, grown = _grown(lines, core, marked, own)
     inside = [k for k, x in enumerate(lines) if _within(x.parent, region)]
-    if semantic:
+    if region.semantic:
         # a line of links that the smoothed ratio does not carry is a menu
         return [lines[k] for k in inside if marked[k] or lines[k].linked < 0.8 * len(lines[k].text)]
-    # without an article element: the marked lines, what lies between them, and the other blocks beside a marked one
-    first, last = (next(k for k in ks if marked[k]) for ks in (inside, inside[::-1]))
-    beside = {id(lines[k].parent.parent) for k in inside if marked[k]}
-    return [lines[k] for k in inside if marked[k] or lines[k].linked < 0.5 * len(lines[k].text)
-            and (first <= k <= last or id(lines[k].parent.parent) in beside)]
+    in_core = [k for k in inside if _within(lines[k].parent, core)]
+    if semantic:
+        taken = {k for k in in_core if marked[k] or lines[k].linked < 0.8 * len(lines[k].text)} | grown
+        beside = set()
+    else:
+        # without an article element: the marked lines, what lies between them, and the other blocks beside a marked one
+        taken = {k for k in in_core if marked[k]} | grown
+        beside = {id(lines[k].parent.parent) for k in taken}
+    first, last = min(taken), max(taken)
+    return [lines[k] for k in inside if k in taken or lines[k].linked < 0.5 * len(lines[k].text)
+            and (not semantic or k not in in_core) and (first <= k <= last or id(lines[k].parent.parent) in beside)]
+
+
+def _grown(lines: list[Line], core: Element, marked: np.ndarray, own: np.ndarray) -> tuple[Element, set[int]]:
+    """The smallest element that holds the core and the content lines outside
+    it, and these lines. Outside an article or main element a line counts that
+    is marked by its own ratio, without its neighbours'."""
+    around, named = core, core if core.semantic else None  # the outermost article or main that holds the core
+    while around is not None:
+        named = around if around.semantic else named
+        around = around.parent
+    at = [_within(x.parent, core) for x in lines]
+    found = set()
+    for k, line in enumerate(lines):
+        if not at[k] and 2 * line.linked < len(line.text) and (marked if named is None or _within(line.parent, named) else own)[k]:
+            found.add(k)
+    if not any(_heading(x.parent) for x, own_line in zip(lines, at) if own_line):
+        first = next((k for k, x in enumerate(lines) if at[k]), 0)
+        found.update([k for k in range(first) if _heading(lines[k].parent) and 2 * lines[k].linked < len(lines[k].text)][-1:])
+    region = core
+    for k in found:
+        while not _within(lines[k].parent, region):
+            region = region.parent
+    return region, found
+
+
+def _heading(element: Element | None) -> bool:
+    while element is not None and element.name != "h1":
+        element = element.parent
+    return element is not None
 
 
-def _within(element: Element | None, region: Element) -> bool:
-    while element is not None and element.depth >= region.depth:
-        if element is region:
-            return True
-        element = element.parent
-    return False
+def _within(element: Element, region: Element) -> bool:
+    return region.start <= element.start <= region.end
 
 
 def main_text(html: str | None) -> str:

@@ -75,6 +75,34 @@ def test_an_advert_inside_a_paragraph_goes_and_the_paragraph_stays():
     assert main_text(f'<article><p>{PARA}</p><article class="comment"><p>{OTHER}</p></article></article>') == PARA
 
 
+INTRO = "An introduction that stands in an element of its own, before the rest of the text and apart from it."
+BODY = [f"{i} {PARA} {OTHER}" for i in range(8)]
+PARAS = "".join(f"<p>{b}</p>" for b in BODY)
+SPLIT = {  # content that is not all in the deepest element with 80 % of the marked text
+    "intro beside the body": (f'<div id="c"><div class="intro"><p>{INTRO}</p></div><div class="body">{PARAS}</div></div>', [INTRO, *BODY]),
+    "end beside the body": (f'<div id="c"><div class="body">{PARAS}</div><div class="end"><p>{INTRO}</p></div></div>', [*BODY, INTRO]),
+    "title in a wrapper": (f'<div id="c"><div class="top"><h1>T</h1></div><div class="body">{PARAS}</div></div>', ["T", *BODY]),
+    "title, author and intro": (f'<div id="c"><div class="top"><h1>T</h1><p>By A</p><p>{INTRO}</p></div><div class="body">{PARAS}</div></div>',
+                                ["T", "By A", INTRO, *BODY]),
+    "blockquote": (f"<div><p>{INTRO}</p><blockquote>{PARAS}</blockquote><p>{OTHER}</p></div>", [INTRO, *BODY, OTHER]),
+    "cell": (f"<div><p>{INTRO}</p><table><tr><td>{PARAS}</td></tr></table><p>{OTHER}</p></div>", [INTRO, *BODY, OTHER]),
+    "section": (f"<div><p>{INTRO}</p><section>{PARAS}</section><p>{OTHER}</p></div>", [INTRO, *BODY, OTHER]),
+    "title and lead in main": (f"<main><h1>T</h1><p>{INTRO}</p><article>{PARAS}</article></main>", ["T", INTRO, *BODY]),
+    "title and short lead in main": (f"<main><h1>T</h1><p>lead</p><article>{PARAS}</article></main>", ["T", "lead", *BODY]),
+    "title and lead before an article": (f"<body><nav>N</nav><div><h1>T</h1><p>{INTRO}</p><article>{PARAS}</article></div></body>", ["T", INTRO, *BODY]),
+    "two articles": (f"<div><article>{PARAS}</article><article><p>{INTRO}</p></article></div>", [*BODY, INTRO]),
+    "links outside stay out": (f"<div><p><a href=x>{INTRO}</a></p><article>{PARAS}</article></div>", BODY),
+    "short text outside an article stays out": (f"<div><div>Site</div><article>{PARAS}</article><div>2020</div></div>", BODY),
+    "intro beside main": (f"<body><div>Site</div><div><p>{INTRO}</p></div><main>{PARAS}</main><div>2020</div></body>", [INTRO, *BODY]),
+}
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_region_holds_all_content_lines(name):
+    html, want = SPLIT[name]
+    assert main_text(html) == "\n\n".join(want)
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 3000 + f"<article><p>{PARA}</p></article>") == PARA
     long = "<article>" + f"<p>{PARA}</p>" * 5000 + "</article>"
