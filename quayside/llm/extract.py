@@ -20,6 +20,11 @@ sections and text elements are targets of links. A candidate that holds most
 of the page's text, with no article beside it, is a wrapper of the page or a
 page-wide form and is left to the clustering.
 
+An article or main element is kept with every line in it, lists of links too.
+Elsewhere a line goes if it is not marked and half of it or more is linked,
+or if it stands before or after all marked lines and has no marked line
+beside it in the same element: nothing in the markup tells it from a menu.
+
 Text: character references decoded, white space inside a block turned into
 one space, trimmed, blocks joined in page order by an empty line. Nothing
 else is dropped and nothing is capped.
@@ -349,11 +354,10 @@ def content_lines(lines: list[Line]) -> list[Line]:
     region, grown = _grown(lines, core, marked, own)
     inside = [k for k, x in enumerate(lines) if _within(x.parent, region)]
     if region.semantic:
-        # a line of links that the smoothed ratio does not carry is a menu
-        return [lines[k] for k in inside if marked[k] or lines[k].linked < 0.8 * len(lines[k].text)]
+        return [lines[k] for k in inside]
     in_core = [k for k in inside if _within(lines[k].parent, core)]
     if semantic:
-        taken = {k for k in in_core if marked[k] or lines[k].linked < 0.8 * len(lines[k].text)} | grown
+        taken = set(in_core) | grown
         beside = set()
     else:
         # without an article element: the marked lines, what lies between them, and the other blocks beside a marked one
@@ -361,7 +365,7 @@ def content_lines(lines: list[Line]) -> list[Line]:
         beside = {id(lines[k].parent.parent) for k in taken}
     first, last = min(taken), max(taken)
     return [lines[k] for k in inside if k in taken or lines[k].linked < 0.5 * len(lines[k].text)
-            and (not semantic or k not in in_core) and (first <= k <= last or id(lines[k].parent.parent) in beside)]
+            and (first <= k <= last or id(lines[k].parent.parent) in beside)]
 
 
 def _grown(lines: list[Line], core: Element, marked: np.ndarray, own: np.ndarray) -> tuple[Element, set[int]]:

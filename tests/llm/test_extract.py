@@ -103,6 +103,14 @@ def test_region_holds_all_content_lines(name):
     assert main_text(html) == "\n\n".join(want)
 
 
+def test_lists_of_links_in_an_article_stay():
+    sources = "".join(f"<li><a href=s{i}>Source {i}</a>" for i in range(9))
+    want = "\n\n".join([*BODY, "Sources", *(f"Source {i}" for i in range(9))])
+    assert main_text(f"<article>{PARAS}<h2>Sources</h2><ul>{sources}</ul></article>") == want
+    assert main_text(f"<div><article>{PARAS}<h2>Sources</h2><ul>{sources}</ul></article><p>{INTRO}</p></div>") == f"{want}\n\n{INTRO}"
+    assert main_text(f"<article>{PARAS}<h2>Sources</h2><ul>{sources}</ul><nav><ul>{sources}</ul></nav></article>") == want
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 3000 + f"<article><p>{PARA}</p></article>") == PARA
     long = "<article>" + f"<p>{PARA}</p>" * 5000 + "</article>"
