@@ -14,7 +14,10 @@ is exact: a block is left out only if all of its scores are below the kth.
 
 Defined cases: see ``valid_vectors``; vectors of different lengths are never
 compared; equal scores rank by id; fewer than k candidates are all returned;
-an empty table gives an empty result. Other columns are ignored.
+an empty table gives an empty result. Other columns are ignored. Products
+that might leave 64 bits are computed in whole numbers of any size, row by
+row; an OverflowError is raised only if a score among a shard's k best leaves
+64 bits, or a weight that does so itself meets one other than 0.
 """
 
 from __future__ import annotations
@@ -46,14 +49,15 @@ class BlockIndex:
         self.ends = np.minimum(self.starts + block_rows, len(ids))
         self.most = np.maximum.reduceat(self.rows, self.starts)
         self.least = np.minimum.reduceat(self.rows, self.starts)
-        self.largest = int(np.abs(self.rows).max(initial=0))
+        self.largest = _largest(self.rows)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per query the ids and scores that can be among its k best. ``floors``
         are scores that the kth is known to reach (or the least integer)."""
-        limit = max(self.largest, 1) * max(int(np.abs(queries).max(initial=0)), 1) * queries.shape[1]
+        limit = max(self.largest, 1) * max(_largest(queries), 1) * queries.shape[1]
         if limit >= 2**63:
-            raise OverflowError("an inner product may exceed 64 bits")
+            sizes = np.maximum(np.abs(self.most.astype(float)), np.abs(self.least.astype(float)))
+            return [self._one_wide(sizes, own, q, k, floor) for own, q, floor in zip(query_ids, queries, floors)]
         kind = np.float64 if limit < 2**53 else np.int64  # both exact in their range; BLAS serves the first
         rows, queries = self.rows.astype(kind), queries.astype(kind)
         bounds = np.maximum(queries, 0) @ self.most.astype(kind).T + np.minimum(queries, 0) @ self.least.astype(kind).T
@@ -78,8 +82,46 @@ class BlockIndex:
                     kth = max(kth, int(scores.min()))
         return ids, scores
 
-
-LEAST = np.iinfo(np.int64).min
+    def _one_wide(self, sizes, own, query, k, floor) -> tuple[np.ndarray, np.ndarray]:
+        """The same where a product may leave 64 bits: blocks of such rows come
+        first and are never left out."""
+        size = np.abs(query.astype(float))
+        wide = sizes @ size >= WIDE
+        bounds = np.maximum(query, 0) @ self.most.T + np.minimum(query, 0) @ self.least.T  # of wide ones not used
+        found, kth = [], None if floor == LEAST else int(floor)
+        for block in np.lexsort((-bounds, ~wide)):
+            if not wide[block] and kth is not None and bounds[block] < kth:
+                break
+            ids, rows = (x[self.starts[block]:self.ends[block]] for x in (self.ids, self.rows))
+            got = _wide_scores(rows, query, size) if wide[block] else (rows @ query).tolist()
+            found += [(-score, i) for score, i in zip(got, ids.tolist()) if i != own and (kth is None or score >= kth)]
+            found = sorted(found)[:k]
+            if len(found) == k:
+                kth = -found[-1][0]
+        if any(not LEAST <= -score <= MOST for score, _ in found):
+            raise OverflowError("an inner product exceeds 64 bits")
+        return np.array([i for _, i in found], np.int64), np.array([-score for score, _ in found], np.int64)
+
+
+def _largest(weights: np.ndarray) -> int:
+    return max(int(weights.max(initial=0)), -int(weights.min(initial=0)))
+
+
+def _wide_scores(rows: np.ndarray, query: np.ndarray, size: np.ndarray) -> list[int]:
+    """Exact scores; whole numbers of any size for the rows that need them."""
+    wide = np.abs(rows.astype(float)) @ size >= WIDE
+    got = np.empty(len(rows), object)
+    got[~wide] = (rows[~wide] @ query).tolist()
+    if wide.any():
+        beyond, other = (((x == MOST) | (x == LEAST)) for x in (rows[wide], query))  # Spark's floor ends there
+        if (beyond & (query != 0)).any() or (other & (rows[wide] != 0)).any():
+            raise OverflowError("a weight exceeds 64 bits")
+        got[wide] = rows[wide].astype(object) @ query.astype(object)
+    return got.tolist()
+
+
+LEAST, MOST = int(np.iinfo(np.int64).min), int(np.iinfo(np.int64).max)
+WIDE = 2.0**62  # sums of absolute products below it, in rounded arithmetic, are safe
 
 
 def exact_top_k(vectors: DataFrame, k: int, is_query: Callable[[str], Column], scale: float = 64.0,

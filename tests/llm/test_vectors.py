@@ -56,6 +56,31 @@ def test_few_candidates_lengths_repeats_and_empty(spark):
         exact_top_k(frame(spark, big), 5, lambda i: F.col(i) % 20 == 0).collect()
 
 
+def test_wide_products(spark):
+    """Large components whose inner products stay in 64 bits, or leave it on the way only."""
+    rows = make(3, 200)
+    rows += [(2000, [6e7] + [0.0] * 15), (2001, [0.0, 6e7] + [0.0] * 14), (2002, [3.0, 6e7] + [0.0] * 14),
+             (2020, [0.0, 0.0, 2e8, 2e8] + [0.0] * 12), (2021, [0.0, 0.0, 2e8, -2e8] + [0.0] * 12), (2022, [0.0, 0.0, 1.0, 2.0] + [0.0] * 12)]
+    weights = {i: [math.floor(64 * x) for x in np.array(v, np.float32).tolist()] for i, v in rows}
+    want = []
+    for q in (i for i in weights if i % 20 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(weights[q], w)), i) for i, w in weights.items() if i != q)[:20]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    for shard_rows in (16384, 50):
+        got = exact_top_k(frame(spark, rows + ODD), 20, lambda i: F.col(i) % 20 == 0, shard_rows=shard_rows, query_rows=10)
+        assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == sorted(want)
+
+
+def test_weights_and_scores_beyond_64_bits(spark):
+    far = spark.createDataFrame([(0, [0.0, 1.0]), (1, [1e300, 2.0]), (2, [5.0, 1.0])], "vec_id long, embedding array<double>")
+    got = exact_top_k(far, 5, lambda i: F.col(i) % 20 == 0)
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 1, 64 * 128), (0, 2, 2, 64 * 64)]
+    for asked in ([1.0, 0.0], [-1.0, 0.0]):
+        bad = spark.createDataFrame([(0, asked), (1, [1e300, 2.0])], far.schema)
+        with pytest.raises(Exception, match="64 bits"):
+            exact_top_k(bad, 5, lambda i: F.col(i) % 20 == 0).collect()
+
+
 def brute_near(rows, k, every):
     ids = np.array([i for i, _ in rows])
     x = np.array([v for _, v in rows], np.float32).astype(float)
