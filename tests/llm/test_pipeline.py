@@ -1,5 +1,6 @@
 """The pipeline's stages against plain versions of them."""
 
+import hashlib
 import re
 
 import numpy as np
@@ -58,6 +59,28 @@ def test_stages_against_brute_force(spark, vocab):
         assert np.frombuffer(r.ids, "<u4").tolist() == full.encode(texts[r.doc_id], add_special_tokens=False).ids
 
 
+def token_rows(full, docs):
+    """What the token stage must give for rows of (doc_id, text), by the library itself."""
+    out = []
+    for i, text in docs:
+        ids = full.encode(text, add_special_tokens=False).ids
+        packed = np.array(ids, "<u4").tobytes()
+        decoded = full.decode(ids, skip_special_tokens=False)
+        out.append((i, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), packed))
+    return sorted(out)
+
+
+def test_every_token_row_of_run(spark, vocab):
+    from quayside.llm.bpe import Codec
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SF), name)
+    want = token_rows(Codec(vocab).full, [(r.doc_id, r.text) for r in docs.collect()])
+    result = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids").collect()
+    assert len(want) > 40 and sorted((*r[:4], bytes(r.ids)) for r in result) == want
+
+
 def test_edge_rows_pass_every_stage(spark, tmp_path):
     long = "plain words of a text " * 4000
     rows = [(1, None, "en", "src1", 0), (2, "", None, None, None), (3, long, "en", "src1", 1), (3, long, "en", "src1", 1),
