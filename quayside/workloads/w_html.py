@@ -100,7 +100,7 @@ def total_pages(spark, sf_dir):
 STATUS = {"F": "Moored", "O": "Under way using engine", "P": "At anchor"}
 
 
-def detail_pages(spark, sf_dir):
+def detail_pages(spark, sf_dir, destinations=30):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -117,7 +117,7 @@ def detail_pages(spark, sf_dir):
            .otherwise(F.concat(F.lit('<div class="vi__r1 vi__stp"><a class="_npNa" href="/ports/'), dep_port,
                                F.lit('">'), dep_text, F.lit("</a><div>Departure</div><div>"), atd,
                                F.lit("</div></div>"))))
-    dest_port = F.concat(F.lit("DEST"), (k % 30).cast("string"))
+    dest_port = F.concat(F.lit("DEST"), (k % destinations).cast("string"))
     dest_text = F.concat(dest_port, F.lit(", "), F.col("d_name"))
     eta = F.concat(F.lit("ETA: "), F.date_format(F.date_add(F.to_date("o_orderdate"), 10), "MMM d HH:mm"))
     dst = (F.when(k % 5 == 0, F.concat(F.lit('<div class="vi__r1 vi__sbt"><div>Destination</div><div>'), dest_text,
@@ -149,7 +149,7 @@ def port_pages(spark, sf_dir):
     return p.select(F.concat(F.lit(SITE + "/ports/DEST"), idx).alias("url"), html.alias("html"))
 
 
-@register("page_details", with_ctes(PORTS_SQL) + f"""
+PAGE_DETAILS_SQL = with_ctes(PORTS_SQL) + f"""
 , o AS (
   SELECT o.o_orderkey AS k, o.o_custkey, o.o_orderstatus, o.o_orderdate, n.n_name, d.n_name AS d_name
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -173,13 +173,23 @@ SELECT k AS page_id,
   CASE WHEN k % 9 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M') END AS report_date,
   CASE WHEN k % 5 = 0 THEN '' ELSE coalesce(pp.lat_text, '') END AS destination_port_lat,
   CASE WHEN k % 5 = 0 THEN '' ELSE coalesce(pp.lon_text, '') END AS destination_port_lon
-FROM o LEFT JOIN pp ON pp.idx = o.k % 30""")
-def page_details(spark, sf_dir):
-    details = extract_vessel_details(detail_pages(spark, sf_dir), keep=["page_id"], as_of_year=AS_OF_YEAR,
+FROM o LEFT JOIN pp ON pp.idx = o.k % 30"""
+
+
+@register("page_details", PAGE_DETAILS_SQL)
+def page_details(spark, sf_dir, destinations=30):
+    details = extract_vessel_details(detail_pages(spark, sf_dir, destinations), keep=["page_id"], as_of_year=AS_OF_YEAR,
                                      base_url=SITE)
     return with_port_coordinates(details, port_pages(spark, sf_dir))
 
 
+@register("page_details_all_ports", PAGE_DETAILS_SQL.replace("n.n_name, d.n_name", "n.n_name, (SELECT count(*) FROM ports) AS np, d.n_name")
+          .replace("k % 30", "k % np"))
+def page_details_all_ports(spark, sf_dir):
+    """The same with destinations over all ports there are; every fifth is named without a link."""
+    return page_details(spark, sf_dir, ports(spark, sf_dir).count())
+
+
 # --- vessel rows to the typed vessel table ------------------------------------------
 
 VESSEL_COLUMNS = ["name", "type", "year_built", "gross_tonnage", "deadweight", "length_m", "beam_m", "detail_link",
