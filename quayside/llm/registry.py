@@ -14,6 +14,7 @@ from quayside.llm.extract import extract_text
 from quayside.llm.jaccard import jaccard_components
 from quayside.llm.lines import LINES_SQL, drop_boilerplate
 from quayside.llm.mixing import MIX_SQL, domain_of, mix_sources
+from quayside.llm.pieces import piece_digests
 from quayside.llm.quality import quality_scores
 from quayside.llm.substrings import cut_digests
 from quayside.llm.topk import exact_top_k
@@ -32,10 +33,10 @@ def query(fn):
     return fn
 
 
-def vocab_path() -> str:
+def vocab_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -99,3 +100,9 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest integer inner products of every vector whose id is divisible by 20."""
     return exact_top_k(table(spark, sf_dir, "embeddings"), 20, lambda i: F.col(i) % 20 == 0)
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded to pieces and decoded again; digests of both."""
+    return piece_digests(table(spark, sf_dir, "documents"), vocab_path("piece_bpe_32k.model"))
