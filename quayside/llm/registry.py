@@ -19,6 +19,7 @@ from quayside.llm.quality import quality_scores
 from quayside.llm.substrings import cut_digests
 from quayside.llm.topk import exact_top_k
 from quayside.llm.warc import archive_round_trip
+from quayside.llm.whiten import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQLS: dict[str, str] = {}
@@ -102,6 +103,13 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), 20, lambda i: F.col(i) % 20 == 0)
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whitened on its 8 leading components."""
+    out = whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 @query
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded to pieces and decoded again; digests of both."""
