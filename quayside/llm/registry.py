@@ -14,6 +14,7 @@ from quayside.llm.extract import extract_text
 from quayside.llm.jaccard import jaccard_components
 from quayside.llm.lines import LINES_SQL, drop_boilerplate
 from quayside.llm.mixing import MIX_SQL, domain_of, mix_sources
+from quayside.llm.negatives import hard_negatives
 from quayside.llm.pieces import piece_digests
 from quayside.llm.quality import quality_scores
 from quayside.llm.substrings import cut_digests
@@ -103,6 +104,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), 20, lambda i: F.col(i) % 20 == 0)
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives of each of the 5 positives of every vector whose id is divisible by 50."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(vectors, lambda i: F.col(i) % 50 == 0)
+
+
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector whitened on its 8 leading components."""
