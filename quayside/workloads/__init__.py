@@ -39,4 +39,5 @@ def load_all() -> None:
         w_parse,
         w_risk,
         w_stream,
+        w_vessels,
     )
