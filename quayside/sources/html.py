@@ -2,10 +2,10 @@
 (S11-S14, X12-X16).
 
 Crawling is out of scope; these work on a table of already fetched pages
-``(page_id, url, html)`` and run as ordinary Spark jobs: regular-expression
-extraction and ``posexplode`` over rows and cells, all inside the JVM. A
-page that does not have the expected structure yields blanks, never a
-failed job.
+``(page_id, url, html)`` and run as ordinary Spark jobs over the array of a
+page's tag events (:mod:`quayside.sources.markup`), all inside the JVM. A
+page that does not have the expected structure yields blanks and an
+``error``, never a failed job.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from quayside.operators.dedupe import dedupe
 
 from quayside.functions.parse import absolute_url, eta_from_matches, eta_matches, split_size
+from quayside.sources.markup import (EVENT, attribute, between, closes, decode_entities, end_of, first, let, opens, page_events, step,
+                                     strings, text_of, with_table_depth)
 
 # Total-page patterns tried in order (case-insensitive), default 1
 TOTAL_PAGE_PATTERNS = [
@@ -38,10 +40,7 @@ def _c(c) -> Column:
 
 def html_text(c) -> Column:
     """Tag-stripped text with the common entities decoded."""
-    t = F.regexp_replace(_c(c), r"(?s)<[^>]*>", "")
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    return decode_entities(F.regexp_replace(_c(c), r"(?s)<[^>]*>", ""))
 
 
 def extract_total_pages(c) -> Column:
@@ -55,108 +54,108 @@ def extract_total_pages(c) -> Column:
 def extract_listing_rows(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None,
                          default_type: str | Column = "", base_url: str = "") -> DataFrame:
     """Rows of the first ``<table>`` of each page: one output row per ``<tr>``
-    with at least five cells whose first cell holds a link."""
+    with at least five cells whose first cell holds a link. Rows of a table
+    nested in it are rows too; the cells of a row are those of its own table."""
     keep = keep or []
     dtype = default_type if isinstance(default_type, Column) else F.lit(default_type)
-    table = F.regexp_extract(_c(html_col), r"(?is)<table[^>]*>(.*?)</table>", 1)
-    rows = pages.select(*keep, dtype.alias("_dtype"),
-                        F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1))
-                        .alias("row_pos", "_tr"))
-    cells = rows.withColumn("_td", F.regexp_extract_all("_tr", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1))
-    first = F.col("_td")[0]
-    link = F.regexp_extract(first, r"(?is)<a\s[^>]*href=\"([^\"]*)\"", 1)
-    ok = cells.filter((F.size("_td") >= 5) & (link != "")).withColumn("_link", link)
-    parts = F.filter(F.transform(F.split(html_text(first), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    df = page_events(pages.select(*keep, dtype.alias("_dtype"), F.col(html_col).alias("_html")), [*keep, "_dtype"], "_html")
+    ev, held = F.col("ev"), [*keep, "_dtype"]
+    df = step(df, [*held, "ev"], _table=first(ev, opens("table"))["p"])
+    df = step(df, held, _in=between(with_table_depth(ev), F.col("_table"), end_of(ev, F.col("_table"), "table")))
+
+    def row(tr: Column) -> Column:
+        """Events of a row, its own tag first, up to the end of the row."""
+        end = first(F.col("_in"), lambda e: (e["p"] > tr["p"]) & (((e["name"] == "tr") & (e["table"] == tr["table"]))
+                                                               | (closes("table")(e) & (e["table"] < tr["table"]))))
+        return between(F.col("_in"), tr["p"] - 1, end["p"])
+
+    rows = df.select(*held, F.posexplode(F.transform(F.filter("_in", opens("tr")), row)).alias("row_pos", "_row"))
+    own = F.col("_row")[0]["table"]
+
+    def cell(td: Column) -> Column:
+        ends = lambda e: (e["p"] > td["p"]) & e["name"].isin("td", "th") & (e["table"] == own)
+        inside = between(F.col("_row"), td["p"], first(F.col("_row"), ends)["p"])
+        link = attribute(first(inside, lambda e: opens("a")(e) & attribute(e, "href").isNotNull()), "href")
+        return F.struct(link.alias("link"), text_of(inside).alias("text"))
+
+    cells = F.transform(F.filter("_row", lambda e: opens("td")(e) & (e["table"] == own)), cell)
+    df = step(rows, [*held, "row_pos"], _td=cells).filter((F.size("_td") >= 5) & (F.col("_td")[0]["link"] != ""))
+    parts = F.filter(F.transform(F.split(F.col("_td")[0]["text"], "\n"), lambda x: F.trim(x)), lambda x: x != "")
     name = F.when(F.size(parts) >= 1, parts[0]).otherwise(F.lit("Unknown"))
     vtype = F.when(F.size(parts) >= 2, parts[1]).otherwise(F.col("_dtype"))
 
-    def cell(i: int) -> Column:
-        v = F.trim(html_text(F.col("_td")[i]))
+    def value(i: int) -> Column:
+        v = F.trim(F.col("_td")[i]["text"])
         return F.when(v == "", F.lit(PLACEHOLDER)).otherwise(v)
 
-    size = split_size(F.trim(html_text(F.col("_td")[4])), PLACEHOLDER)
-    return ok.select(
+    size = split_size(F.trim(F.col("_td")[4]["text"]), PLACEHOLDER)
+    return df.select(
         *keep, "row_pos", name.alias("name"), vtype.alias("type"),
-        cell(1).alias("year_built"), cell(2).alias("gross_tonnage"), cell(3).alias("deadweight"),
+        value(1).alias("year_built"), value(2).alias("gross_tonnage"), value(3).alias("deadweight"),
         size["length_m"].alias("length_m"), size["beam_m"].alias("beam_m"),
-        absolute_url(F.col("_link"), base_url).alias("detail_link"))
-
-
-BLOCK_PREFIX = '<div class="vi__r1'
-
-
-def _block(html: Column, cls: str) -> Column:
-    """Text of a block: from its opening div to the next block, the table or
-    the end (plain substring search, no regular expression)."""
-    marker = f'<div class="{cls}">'
-    start = F.instr(html, marker)
-    rest = F.substring(html, start + len(marker), 1 << 30)
-    ends = [F.locate(BLOCK_PREFIX, rest), F.locate("<table", rest)]
-    end = F.least(*[F.when(e > 0, e) for e in ends])
-    block = F.when(end.isNotNull(), F.substring(rest, F.lit(1), end - 1)).otherwise(rest)
-    return F.when(start > 0, block).otherwise(F.lit(""))
-
-
-def _port_block_stages(df: DataFrame, html: str, cls: str, p: str, as_of_year: int, base_url: str) -> DataFrame:
-    """Departure/destination block fields, computed in stages so that each
-    regular expression runs once per row (prefix ``p``)."""
-    link_re = r'<a class="' + PORT_LINK_CLASS + r'" href="([^"]*)"[^>]*>(.*?)</a>'
-    df = df.withColumns({
-        f"{p}present": F.instr(F.col(html), f'<div class="{cls}">') > 0,
-        f"{p}block": _block(F.col(html), cls),
-    })
-    block = F.col(f"{p}block")
-    df = df.withColumns({
-        f"{p}has_link": block.rlike(link_re),
-        f"{p}href": F.regexp_extract(block, link_re, 1),
-        f"{p}link_text": F.trim(html_text(F.regexp_extract(block, link_re, 2))),
-        f"{p}divs": F.regexp_extract_all(block, F.lit(r"(?s)<div[^>]*>(.*?)</div>"), 1),
-    })
-    divs = F.col(f"{p}divs")
-    df = df.withColumn(f"{p}second", F.when(F.size(divs) >= 2, html_text(divs[1])))
-    has_link, second = F.col(f"{p}has_link"), F.col(f"{p}second")
-    parts = F.split(F.when(has_link, F.col(f"{p}link_text")).otherwise(F.coalesce(second, F.lit(""))), ",")
-    usable = has_link | second.isNotNull()
-    present = F.col(f"{p}present")
-    blank = F.lit("")
-    eta_src = F.when(has_link, F.trim(second)).otherwise(second)
-    df = df.withColumns({
-        f"{p}port": F.when(present & usable, F.trim(parts[0])).otherwise(blank),
-        f"{p}country": F.when(present & usable,
-                              F.trim(F.coalesce(F.try_element_at(parts, F.lit(2)), blank))).otherwise(blank),
-        f"{p}eta_src": F.when(present, eta_src),
-        f"{p}link": F.when(present & has_link, absolute_url(F.col(f"{p}href"), base_url)).otherwise(blank),
-    })
-    eta = F.col(f"{p}eta_src")
-    m = eta_matches(eta)
-    df = df.withColumns({f"{p}m0": m[0], f"{p}m1": m[1]})
-    parsed = eta_from_matches([F.col(f"{p}m0"), F.col(f"{p}m1")], as_of_year)
-    return df.withColumn(f"{p}date", F.when(eta.isNotNull(), parsed).otherwise(blank))
+        absolute_url(F.col("_td")[0]["link"], base_url).alias("detail_link"))
+
+
+def _port_fields(ev: Column, inside: Column, anchor: Column, second: Column, base_url: str) -> dict[str, Column]:
+    """Port, country, link and arrival text of a departure or destination block."""
+    has_link, blank = anchor.isNotNull(), F.lit("")
+    linked = F.array_join(strings(between(inside, anchor["p"], first(inside, lambda e: (e["p"] > anchor["p"]) & closes("a")(e))["p"])), "")
+    second_text = F.when(second.isNotNull(), text_of(between(inside, second["p"], end_of(inside, second["p"], "div"))))
+    parts = F.split(F.when(has_link, linked).otherwise(F.coalesce(second_text, blank)), ",")
+    part = lambda i: F.trim(F.coalesce(F.try_element_at(parts, F.lit(i)), blank))
+    return {"port": part(1), "country": part(2), "eta": second_text,
+            "link": F.coalesce(absolute_url(attribute(anchor, "href"), base_url), blank)}
 
 
 def extract_vessel_details(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None,
                            as_of_year: int, base_url: str = "") -> DataFrame:
-    """Departure, destination and report fields of vessel detail pages."""
+    """Departure, destination and report fields of vessel detail pages.
+
+    A page that cannot be read gives blanks, and says why in ``error``: no
+    text at all, none of the blocks, or a block that does not end."""
     keep = keep or []
-    df = pages.select(*keep, F.col(html_col).alias("_html"))
-    df = _port_block_stages(df, "_html", DEPARTURE_BLOCK, "_d_", as_of_year, base_url)
-    df = _port_block_stages(df, "_html", DESTINATION_BLOCK, "_a_", as_of_year, base_url)
-    df = df.withColumn("_table", F.regexp_extract("_html", r"(?is)<table[^>]*>(.*?)</table>", 1))
-    df = df.withColumns({
-        "_status": F.trim(F.regexp_extract("_table", r"(?s)" + STATUS_LABEL + r"\s*</td>\s*<td[^>]*>([^<]*)<", 1)),
-        "_title": F.regexp_extract("_table", r'<svg class="' + REPORT_ICON_CLASS + r'"[^>]*data-title="([^"]*)"', 1),
-    })
-    m = eta_matches(F.col("_title"))
-    df = df.withColumns({"_r_m0": m[0], "_r_m1": m[1]})
-    parsed = eta_from_matches([F.col("_r_m0"), F.col("_r_m1")], as_of_year)
-    report = F.when(F.col("_title") != "", parsed).otherwise(F.lit(""))
+    df = page_events(pages.select(*keep, F.col(html_col).alias("_html")), keep, "_html")
+    ev, blank = F.col("ev"), F.lit("")
+    df = step(df, [*keep, "ev"], _dep=first(ev, opens("div", *DEPARTURE_BLOCK.split()))["p"],
+              _dst=first(ev, opens("div", *DESTINATION_BLOCK.split()))["p"], _tab=first(ev, opens("table"))["p"])
+    df = step(df, [*keep, "ev", "_dep", "_dst", "_tab"], _dep_end=end_of(ev, F.col("_dep"), "div"), _dst_end=end_of(ev, F.col("_dst"), "div"),
+              _tab_end=end_of(ev, F.col("_tab"), "table"))
+    unclosed = F.lit(False)
+    for b in ("_dep", "_dst", "_tab"):
+        unclosed = unclosed | (F.col(b).isNotNull() & F.col(f"{b}_end").isNull())
+    error = F.when(F.size("ev") == 0, F.lit("empty page")) \
+        .when(F.col("_dep").isNull() & F.col("_dst").isNull() & F.col("_tab").isNull(), F.lit("no vessel blocks")) \
+        .when(unclosed, F.lit("unclosed block"))
+    whole = {b: F.when(F.col(f"{b}_end").isNotNull(), between(ev, F.col(b), F.col(f"{b}_end"))).otherwise(F.array().cast(f"array<{EVENT}>"))
+             for b in ("_dep", "_dst", "_tab")}
+    df = step(df, keep, error=error, **whole)
+    marks = {}
+    for b in ("_dep", "_dst"):
+        marks[f"{b}_a"] = first(F.col(b), opens("a", PORT_LINK_CLASS))
+        marks[f"{b}_2"] = F.try_element_at(F.filter(b, opens("div")), F.lit(2))
+    # the cell after the one that holds the label
+    label = first(F.col("_tab"), lambda e: (e["kind"] == "text") & F.contains(e["t"], F.lit(STATUS_LABEL)) & F.rtrim(e["t"]).endswith(STATUS_LABEL))
+    marks["_status"] = let(label["p"], lambda p: first(F.col("_tab"), lambda e: (e["p"] > p) & opens("td")(e)))
+    marks["_icon"] = attribute(first(F.col("_tab"), opens("svg", *REPORT_ICON_CLASS.split())), "data-title")
+    df = step(df, [*keep, "error", "_dep", "_dst", "_tab"], **marks)
+    fields = {}
+    for b in ("_dep", "_dst"):
+        got = _port_fields(ev, F.col(b), F.col(f"{b}_a"), F.col(f"{b}_2"), base_url)
+        fields |= {f"{b}_{n}": c for n, c in got.items()}
+    status_end = first(F.col("_tab"), lambda e: (e["p"] > F.col("_status")["p"]) & e["name"].isin("td", "th", "tr", "table"))["p"]
+    fields["_reported"] = F.array_join(strings(between(F.col("_tab"), F.col("_status")["p"], status_end)), " ")
+    df = step(df, [*keep, "error", "_icon"], **fields)
+    times = {"_dep_eta": "departure", "_dst_eta": "arrival", "_icon": "report"}
+    found = {f"_{n}_{i}": m for c, n in times.items() for i, m in enumerate(eta_matches(F.col(c)))}
+    df = step(df, [*keep, "error", "_reported", *[f"{b}_{x}" for b in ("_dep", "_dst") for x in ("port", "country", "link")]], **found)
+    date = lambda n: F.coalesce(eta_from_matches([F.col(f"_{n}_0"), F.col(f"_{n}_1")], as_of_year), blank)
     return df.select(
         *keep,
-        F.col("_d_date").alias("departure_date"), F.col("_d_country").alias("last_port_country"),
-        F.col("_d_port").alias("last_port_name"),
-        F.col("_a_date").alias("arrival_date"), F.col("_a_country").alias("destination_port_country"),
-        F.col("_a_port").alias("destination_port_name"), F.col("_a_link").alias("destination_link"),
-        F.col("_status").alias("reported_status"), report.alias("report_date"))
+        date("departure").alias("departure_date"), F.col("_dep_country").alias("last_port_country"),
+        F.col("_dep_port").alias("last_port_name"),
+        date("arrival").alias("arrival_date"), F.col("_dst_country").alias("destination_port_country"),
+        F.col("_dst_port").alias("destination_port_name"), F.col("_dst_link").alias("destination_link"),
+        F.col("_reported").alias("reported_status"), date("report").alias("report_date"), "error")
 
 
 def extract_port_coordinates(port_pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -173,12 +172,13 @@ def extract_port_coordinates(port_pages: DataFrame, *, url_col: str = "url", htm
 
 def with_port_coordinates(details: DataFrame, port_pages: DataFrame, link_col: str = "destination_link") -> DataFrame:
     """Attach destination coordinates: each distinct port page is parsed once
-    and joined back by link (the join replaces a per-process cache)."""
+    and joined back by link (the join replaces a per-process cache). Rows
+    without a link match nothing; each gets a key of its own, so they are not
+    one hot key."""
     coords = dedupe(extract_port_coordinates(port_pages), ["url"])
-    # rows without a link match nothing: kept out of the join, where they would be one hot key
-    linked = F.coalesce(F.col(link_col), F.lit("")) != ""
-    out = details.filter(linked).join(coords, F.col(link_col) == coords["url"], "left").drop("url") \
-        .unionByName(details.filter(~linked).withColumns({"lat_text": F.lit(None).cast("string"), "lon_text": F.lit(None).cast("string")}))
+    alone = F.concat(F.lit("\0"), F.xxhash64(*details.columns).cast("string"))
+    keyed = step(details, details.columns, _link=F.when(F.col(link_col) != "", F.col(link_col)).otherwise(alone))
+    out = keyed.join(coords, F.col("_link") == coords["url"], "left")
     return out.withColumn("destination_port_lat", F.coalesce(F.col("lat_text"), F.lit(""))) \
         .withColumn("destination_port_lon", F.coalesce(F.col("lon_text"), F.lit(""))) \
-        .drop("lat_text", "lon_text")
+        .drop("lat_text", "lon_text", "url", "_link")

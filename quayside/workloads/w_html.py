@@ -176,18 +176,66 @@ SELECT k AS page_id,
 FROM o LEFT JOIN pp ON pp.idx = o.k % 30"""
 
 
-@register("page_details", PAGE_DETAILS_SQL)
-def page_details(spark, sf_dir, destinations=30):
-    details = extract_vessel_details(detail_pages(spark, sf_dir, destinations), keep=["page_id"], as_of_year=AS_OF_YEAR,
-                                     base_url=SITE)
+ALL_PORTS_SQL = PAGE_DETAILS_SQL.replace("n.n_name, d.n_name", "n.n_name, (SELECT count(*) FROM ports) AS np, d.n_name") \
+    .replace("k % 30", "k % np").replace("SELECT k AS page_id,", "SELECT k AS page_id, CAST(NULL AS VARCHAR) AS error,")
+
+
+@register("page_details", ALL_PORTS_SQL)
+def page_details(spark, sf_dir):
+    """Destinations go over all ports there are; every fifth is named without a link."""
+    details = extract_vessel_details(detail_pages(spark, sf_dir, ports(spark, sf_dir).count()), keep=["page_id"],
+                                     as_of_year=AS_OF_YEAR, base_url=SITE)
+    return with_port_coordinates(details, port_pages(spark, sf_dir))
+
+
+# the name under which the form over all ports was first registered
+register("page_details_all_ports", ALL_PORTS_SQL)(page_details)
+
+
+DETAIL_FIELDS = ["departure_date", "last_port_country", "last_port_name", "arrival_date", "destination_port_country", "destination_port_name",
+                 "destination_link", "reported_status", "report_date", "destination_port_lat", "destination_port_lon"]
+
+
+def odd_markup(html, k):
+    """The same page in other markup, by page: single quotes; other case, order
+    and spacing of names; bare attributes; a comment with a block and a nested
+    table; no page at all."""
+    def swap(c, *pairs):
+        for a, b in pairs:
+            c = F.replace(c, F.lit(a), F.lit(b))
+        return c
+
+    spread = swap(html, ('<div class="vi__r1 vi__stp">', '<DIV data-note="a > b" class=" vi__stp  new vi__r1">'),
+                  ('<div class="vi__r1 vi__sbt">', "<Div class='vi__sbt vi__r1' id=d>"), ("</div>", "</DIV >"), ("<td>", "<TD align='left'>"))
+    bare = F.regexp_replace(html, '<a class="_npNa" href="([^"]*)">', "<a title=\"class='x' href='/no'\" href=$1 class=_npNa>")
+    nested = F.concat(F.lit('<!-- <div class="vi__r1 vi__sbt"><a class="_npNa" href="/ports/NONE">NONE, X</a></div> -->'),
+                      swap(html, ("<table>", "<table><tr><td><table><tr><td>inner</td></tr></table></td></tr>"),
+                           ("<div>Destination</div>", "<div><span>Desti</span>nation</div>")))
+    return F.when(k % 6 == 1, F.replace(html, F.lit('"'), F.lit("'"))).when(k % 6 == 2, spread).when(k % 6 == 3, bare) \
+        .when(k % 6 == 4, nested).when(k % 6 == 5, F.lit(None).cast("string")).otherwise(html)
+
+
+@register("page_details_odd", f"""
+SELECT page_id, CASE WHEN page_id % 6 = 5 THEN 'empty page' END AS error,
+       {', '.join(f"CASE WHEN page_id % 6 = 5 THEN '' ELSE {c} END AS {c}" for c in DETAIL_FIELDS)}
+FROM ({ALL_PORTS_SQL})""")
+def page_details_odd(spark, sf_dir):
+    pages = detail_pages(spark, sf_dir, ports(spark, sf_dir).count())
+    pages = pages.withColumn("html", odd_markup(F.col("html"), F.col("page_id")))
+    details = extract_vessel_details(pages, keep=["page_id"], as_of_year=AS_OF_YEAR, base_url=SITE)
     return with_port_coordinates(details, port_pages(spark, sf_dir))
 
 
-@register("page_details_all_ports", PAGE_DETAILS_SQL.replace("n.n_name, d.n_name", "n.n_name, (SELECT count(*) FROM ports) AS np, d.n_name")
-          .replace("k % 30", "k % np"))
-def page_details_all_ports(spark, sf_dir):
-    """The same with destinations over all ports there are; every fifth is named without a link."""
-    return page_details(spark, sf_dir, ports(spark, sf_dir).count())
+@register("listing_rows_odd", LISTING_EXPECTED_SQL)
+def listing_rows_odd(spark, sf_dir):
+    """Listing pages with other quotes and case, row and cell ends left out, and
+    a nested table in each fourth cell."""
+    html, k = F.col("html"), F.col("page_id")
+    bare = F.regexp_replace(F.replace(F.replace(html, F.lit("</td>"), F.lit("")), F.lit("</tr>"), F.lit("")), '<a href="([^"]*)">', "<A class='n' HREF='$1'>")
+    nested = F.regexp_replace(F.replace(html, F.lit("<tr>"), F.lit("<tr class='<td>'><!--<td>-->")), "<td>([0-9]+50|[0-9]+00)</td>",
+                              "<td><table><tr><td>$1</td></tr></table></td>")
+    pages = listing_pages(spark, sf_dir).withColumn("html", F.when(k % 3 == 0, html).when(k % 3 == 1, bare).otherwise(nested))
+    return extract_listing_rows(pages, keep=["page_id"], default_type="Cargo", base_url=SITE).drop("row_pos")
 
 
 # --- vessel rows to the typed vessel table ------------------------------------------

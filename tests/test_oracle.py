@@ -63,10 +63,10 @@ def test_scalable_plans(spark, name):
 
 
 def test_destinations_go_over_all_ports(spark):
-    """Destinations grow with the port table; page_details links to 30 at every scale."""
+    """Destinations grow with the port table."""
     sf = "/root/testdata/sf0.01"
     n = spark.read.parquet(f"{sf}/supplier.parquet").count()
-    links = entry.queries()["page_details_all_ports"](spark, sf).filter("destination_link <> ''").select("destination_link", "destination_port_lat").distinct()
+    links = entry.queries()["page_details"](spark, sf).filter("destination_link <> ''").select("destination_link", "destination_port_lat").distinct()
     assert n > 30 and links.select("destination_link").distinct().count() >= 0.8 * n
     pages = {f"DEST{r.s_suppkey - 1}" for r in spark.read.parquet(f"{sf}/supplier.parquet").collect()}
     assert all((r.destination_port_lat != "") == (r.destination_link.rsplit("/", 1)[1] in pages) for r in links.collect())
