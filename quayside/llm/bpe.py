@@ -34,7 +34,7 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +48,7 @@ from quayside.llm.common import slices, with_column
 LEAF_CHARS = 32768
 UNSPLIT_CHARS = 2048
 MARGIN = 64
-CACHE_WORDS = 150_000
+CACHE_WORDS = 50_000
 
 # Fixed value: the splitter pattern of the vocabulary file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -313,17 +313,29 @@ def _ids_bytes(tokens: Tokens) -> bytes:
 def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
                leaf_chars: int = LEAF_CHARS) -> DataFrame:
     """(id_col, ids): the ids of each text as little-endian uint32 bytes."""
-    id_field = docs.schema[id_col]
-    spark_ids = f"`{id_col}` {id_field.dataType.simpleString()}, ids binary"
-    texts = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.monotonically_increasing_id().alias("_row"))
-    short = texts.filter(F.coalesce(F.length("_text"), F.lit(0)) <= leaf_chars).select(id_col, "_text")
-    long = texts.filter(F.length("_text") > leaf_chars)
+    short, long = _split(docs, id_col, text_col, leaf_chars)
 
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             ids = pa.array([codec(vocab_path).encode(t) for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
+    kind = docs.schema[id_col].dataType.simpleString()
+    return short.mapInArrow(encode_short, f"`{id_col}` {kind}, ids binary").unionByName(
+        _encode_long(long, vocab_path, id_col, kind, leaf_chars, lambda ids: {"ids": ids}, "ids binary"))
+
+
+def _split(docs: DataFrame, id_col: str, text_col: str, leaf_chars: int) -> tuple[DataFrame, DataFrame]:
+    """Texts that one task encodes as they are, and texts that are cut into leaves."""
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    short = texts.filter(F.coalesce(F.length("_text"), F.lit(0)) <= leaf_chars).select(id_col, "_text")
+    long = texts.filter(F.length("_text") > leaf_chars)
+    return short, long
+
+
+def _encode_long(long: DataFrame, vocab_path: str, id_col: str, kind: str, leaf_chars: int, columns: Callable[[bytes], dict],
+                 schema: str) -> DataFrame:
+    """``id_col`` and what ``columns`` makes of the ids of each long text, in the task that joins its leaves."""
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, text, row in batch.itertuples(index=False):
@@ -342,12 +354,12 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
         parts = [Part((np.frombuffer(ids, "<u4"),), end - len(text), end)
                  for ids, text, end in zip(group["_ids"], group["_text"], ends.tolist())]
         whole = join_leaves(codec(vocab_path), "".join(group["_text"]), parts)
-        return pd.DataFrame({id_col: group["_id"].iloc[:1], "ids": [whole.columns[0].astype("<u4").tobytes()]})
+        made = columns(whole.columns[0].astype("<u4").tobytes())
+        return pd.DataFrame({id_col: group["_id"].iloc[:1]} | {name: [value] for name, value in made.items()})
 
-    kind = id_field.dataType.simpleString()
     leaf_rows = long.mapInPandas(leaves, f"_id {kind}, _row long, _n long, _text string").repartition("_row", "_n")
     encoded = leaf_rows.mapInPandas(encode_leaf, f"_id {kind}, _row long, _n long, _text string, _ids binary")
-    return short.mapInArrow(encode_short, spark_ids).unionByName(encoded.groupBy("_row").applyInPandas(join_text, spark_ids))
+    return encoded.groupBy("_row").applyInPandas(join_text, f"`{id_col}` {kind}, {schema}")
 
 
 def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -367,19 +379,24 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_c
 def bpe_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
                 leaf_chars: int = LEAF_CHARS, keep_ids: bool = False) -> DataFrame:
     """Per document: n_tokens, ids_sha256 and decoded_sha256 (lower-case hex),
-    and the ids themselves if they are to be kept."""
-    encoded = bpe_encode(docs, vocab_path, id_col, text_col, leaf_chars)
-    kind = encoded.schema[id_col].dataType.simpleString()
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids"):
-            ids = [x or b"" for x in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                       pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                       pa.array([hashlib.sha256(codec(vocab_path).decode(x).encode()).hexdigest() for x in ids], pa.string()),
-                       *([batch.column(1)] if keep_ids else [])]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
-    return encoded.mapInArrow(digest, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-                              + (", ids binary" if keep_ids else ""))
+    and the ids themselves if they are to be kept. A text that is not cut is
+    encoded and digested by one Python stage, and a cut one by that which joins
+    it, so a task has one worker."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if keep_ids else "")
+
+    def digests(ids: bytes) -> dict:
+        decoded = codec(vocab_path).decode(ids).encode()
+        return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
+                "decoded_sha256": hashlib.sha256(decoded).hexdigest()} | ({"ids": ids} if keep_ids else {})
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text", 1 << 20):
+            made = [digests(codec(vocab_path).encode(t)) for t in batch.column(1).to_pylist()]
+            columns = pa.RecordBatch.from_pylist(made, pa.schema(
+                [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary())][:4 if keep_ids else 3]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns.columns], names=[id_col, *columns.schema.names])
+
+    short, long = _split(docs, id_col, text_col, leaf_chars)
+    return short.mapInArrow(whole, f"`{id_col}` {kind}, {schema}").unionByName(
+        _encode_long(long, vocab_path, id_col, kind, leaf_chars, digests, schema))

@@ -36,7 +36,7 @@ from quayside.llm.common import mix, slices, with_column
 
 BUCKETS = 1 << 16
 MAX_ROWS = 2500  # training rows of each class
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 
 @dataclass(frozen=True)
