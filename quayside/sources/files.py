@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,29 +58,38 @@ def dated_file_date(prefix: str, path_col: str = "_source_path"):
 
 def read_csv_by_name(spark: SparkSession, path: str, partitions: bool = True) -> DataFrame:
     """CSV files with a header under ``path``, every column a string, by the
-    names in each file's own header. The files are listed once and read as
-    lines; the lines of files with one header are parsed together, and the
-    groups joined by column name. A line equal to its file's header is a
-    header. ``_source_path`` is a row's file; ``partitions`` adds the columns
-    of the folders' names."""
+    names in each file's own header. Quoted values may hold separators, quotes
+    (doubled) and line breaks, and a record equal to the header is data.
+
+    One scan finds the first line of each file; files with one header are then
+    read together by Spark's own reader, so each file is parsed once, and the
+    groups are joined by column name. ``_source_path`` is a row's file;
+    ``partitions`` adds the columns of the folders' names. The driver holds the
+    files' paths, as it does to plan any scan."""
     reader = spark.read if partitions else spark.read.option("recursiveFileLookup", True)
-    lines = reader.text(path).withColumns({"_source_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
-                                           "_at": F.monotonically_increasing_id()})
-    folders = [c for c in lines.columns if c not in ("value", "_source_path", "_block", "_at")]
-    # the first line of each file; a row per file, and one per different header on the driver
-    first = lines.filter("_block = 0").groupBy("_source_path").agg(F.min_by("value", "_at").alias("_head"))
-    rows = lines.join(first, "_source_path").filter((F.col("value") != F.col("_head")) & (F.col("value") != ""))
+    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+                                     F.monotonically_increasing_id().alias("_at"))
+    first = lines.filter("_block = 0").groupBy("_path").agg(F.min_by("value", "_at").alias("_head"))
+    groups: dict[str, list[str]] = {}
+    for r in first.collect():
+        groups.setdefault(r["_head"], []).append(unquote(r["_path"]))
     out = None
-    for head in sorted(r[0] for r in first.select("_head").distinct().collect()):
+    for head in sorted(groups):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in next(csv.reader([head]))])
-        part = rows.filter(F.col("_head") == head).withColumn("_row", F.from_csv("value", _ddl(schema))) \
-            .select("_row.*", *folders, "_source_path")
+        opened = spark.read.options(**CSV_QUOTING, header=True, multiLine=True)
+        if partitions:
+            opened = opened.option("basePath", path)
+        part = opened.schema(_ddl(schema)).csv(sorted(groups[head])).withColumn("_source_path", F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
         raise FileNotFoundError(f"no file with a header under {path}")
     return out
 
 
+# quotes inside a quoted value are doubled; blanks around values stay
+CSV_QUOTING = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in schema.fields)
 
@@ -99,7 +109,7 @@ def land_dated_files(spark: SparkSession, src: str, dst: str, prefix: str) -> Da
     out = dated.withColumns({"year": F.year("file_date"), "month": F.format_string("%02d", F.month("file_date"))})
     (cluster_for_write(out, ["year", "month", "file_date"]).drop("_source_path")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("header", True).partitionBy("year", "month", "file_date").csv(dst))
+        .options(**CSV_QUOTING, header=True).partitionBy("year", "month", "file_date").csv(dst))
     return read_csv_by_name(spark, dst).drop("_source_path")
 
 

@@ -38,6 +38,7 @@ def load_all() -> None:
         w_pipelines,
         w_parse,
         w_risk,
+        w_rollups,
         w_stream,
         w_vessels,
     )

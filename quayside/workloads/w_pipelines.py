@@ -13,7 +13,7 @@ from quayside.plans.gold import port_dimension
 from quayside.plans.risk import risk_fact
 from quayside.plans.silver import build_silver
 from quayside.session import ensure_utc, scratch_path
-from quayside.sources.files import land_dated_files, read_snapshot_csv
+from quayside.sources.files import CSV_QUOTING, land_dated_files, read_snapshot_csv
 from quayside.spec import SchemaSpec
 from quayside.workloads import register
 from quayside.workloads.fixtures import ports, quakes, table, with_ctes
@@ -184,6 +184,25 @@ def land_reordered_header(spark, sf_dir):
     return land_dated_files(spark, src, scratch_path(spark, "landed-headers"), "orders").select("o_orderkey", "o_custkey", "status")
 
 
+@register("land_quoted_breaks", f"""
+SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'key' ELSE CAST(o_orderkey AS VARCHAR) END AS key,
+       CASE WHEN o_orderkey % 97 = 0 THEN 'note'
+            ELSE ' first, "' || CAST(o_custkey AS VARCHAR) || '"' || chr(10) || 'second; it''s' || chr(10) || chr(10) || 'last ' END AS note,
+       {FILE_DAY_SQL} AS file_date FROM orders""")
+def land_quoted_breaks(spark, sf_dir):
+    """Notes with separators, quotes, blanks at the ends and line breaks, and
+    records that equal their file's header."""
+    o, k = _dated_orders(spark, sf_dir), F.col("o_orderkey")
+    note = F.concat(F.lit(' first, "'), F.col("o_custkey").cast("string"), F.lit('"\nsecond; it\'s\n\nlast '))
+    rows = o.select(F.when(k % 97 == 0, "key").otherwise(k.cast("string")).alias("key"),
+                    F.when(k % 97 == 0, "note").otherwise(note).alias("note"), "day")
+    name = F.concat(F.lit("orders_"), F.date_format("day", "yyyy-MM-dd"), F.lit(".csv"))
+    src = scratch_path(spark, "sftp-quoted")
+    rows.withColumn("landing", name).drop("day").repartition("landing").write.options(**CSV_QUOTING, header=True).partitionBy("landing").csv(src)
+    landed = land_dated_files(spark, src, scratch_path(spark, "landed-quoted"), "orders")
+    return landed.select("key", "note", F.col("file_date").cast("date").alias("file_date"))
+
+
 @register("scd2_history", """
 WITH daily AS (
   SELECT oid, d, o_orderstatus FROM (
