@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from quayside.session import ensure_utc, scratch_path
 from quayside.sources.messages import JSON_TIME_OPTIONS, decode_json
-from quayside.streaming import read_change_stream, read_stream_state, stream_apply_changes, stream_risk
+from quayside.streaming import read_change_stream, run_stream, read_stream_state, stream_apply_changes, stream_risk
 from quayside.workloads import ORACLE_SQL, register
 from quayside.workloads import w_keys_cdc, w_risk  # noqa: F401  (oracles reused below)
-from quayside.workloads.fixtures import changes, ports, quakes
+from quayside.workloads.fixtures import changes, ports, quakes, table
 
 CHANGE_MESSAGE = T.StructType([
     T.StructField("key", T.LongType()),
@@ -109,3 +109,46 @@ register("risk_stream_reset", ORACLE_SQL["risk_fact"])(risk_stream_reset)
 register("cdc_stream", ORACLE_SQL["cdc_apply"])(cdc_stream)
 register("cdc_stream_bucketed", ORACLE_SQL["cdc_apply"])(cdc_stream_bucketed)
 register("risk_stream", ORACLE_SQL["risk_fact"])(risk_stream)
+
+
+@register("replay_stream", """
+WITH e AS (SELECT event_id, event_id % 4 AS partition FROM events),
+n AS (SELECT count(*) FILTER (WHERE event_id % 10 < 6) AS early, count(*) FILTER (WHERE event_id % 10 >= 6) AS late,
+             (count(*) + 4) // 5 AS most FROM events)
+SELECT CAST(partition AS INTEGER) AS partition, count(*) AS records, CAST(0 AS BIGINT) AS first_offset, count(*) - 1 AS last_offset,
+       count(*) AS offsets, CAST(sum(event_id) AS BIGINT) AS ids,
+       any_value(CAST((n.early + n.most - 1) // n.most + (n.late + n.most - 1) // n.most AS BIGINT)) AS batches,
+       any_value(CAST(least(n.most, greatest(n.early, n.late)) AS BIGINT)) AS largest_batch
+FROM e, n GROUP BY partition""")
+def replay_stream(spark, sf_dir):
+    """A topic of four partitions read with a limit of a fifth of the events a
+    batch: six tenths of them are there at first, the rest comes after the
+    query has stopped, and a new one goes on from its checkpoint."""
+    from quayside.sources.replay import ReplaySource, append_to_topic
+
+    spark.dataSource.register(ReplaySource)
+    e = table(spark, sf_dir, "events").select("event_id")
+    most = -(-e.count() // 5)
+    topic, out, checkpoint = (scratch_path(spark, n) for n in ("topic", "replayed", "replay-checkpoint"))
+    partition, value = F.col("event_id") % 4, F.to_json(F.struct("event_id"))
+
+    def store(batch, n):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+    following: dict[int, int] = {}
+    early = F.col("event_id") % 10 < 6
+    for records in (e.filter(early), e.filter(~early)):
+        append_to_topic(records, topic, partition, value, ["event_id"], following, segment_rows=1000)
+        stream = spark.readStream.format("replay").option("path", topic).option("checkpoint", checkpoint) \
+            .option("maxOffsetsPerTrigger", most).load()
+        query = run_stream(stream, store, checkpoint, trigger={"processingTime": "0 seconds"})
+        query.processAllAvailable()
+        query.stop()
+        following = {r["partition"]: r["n"] for r in spark.read.parquet(out).groupBy("partition").agg((F.max("offset") + 1).alias("n")).collect()}
+    got = spark.read.parquet(out)
+    sizes = got.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("batches"), F.max("n").alias("largest")).first()
+    ids = F.get_json_object("value", "$.event_id").cast("long")
+    return got.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.countDistinct("offset").alias("offsets"), F.sum(ids).alias("ids"), F.lit(sizes["batches"]).cast("long").alias("batches"),
+        F.lit(sizes["largest"]).cast("long").alias("largest_batch"))
