@@ -51,6 +51,7 @@ READ_BYTES = 64 << 10
 RECORD_URI = "urn:page:"
 RECORDS = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, "
            "refers_to long, payload binary, archive string")
+MAX_READ_TASKS = 10_000  # archives are read by one task each up to this many
 
 
 class ArchiveError(ValueError):
@@ -290,5 +291,6 @@ def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFram
     spark = pages.sparkSession
     folder = scratch_path(spark, "llm-warc")
     files = staged(write_archives(pages, folder, min_revisit_bytes), "warc-files")
-    # one task per file where there are fewer files than tasks
-    return read_archives(spark, files.repartition("archive")).drop("payload", "archive")
+    # a number given here is kept by adaptive execution: one task per archive, several only where there are very many
+    tasks = max(1, min(files.count(), MAX_READ_TASKS))
+    return read_archives(spark, files.repartition(tasks)).drop("payload", "archive")

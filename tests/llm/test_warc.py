@@ -87,3 +87,9 @@ def test_damage_is_found():
         assert old in good
         with pytest.raises(ArchiveError):
             parse_record(good.replace(old, new))
+
+
+def test_archives_are_read_by_many_tasks(spark):
+    pages = spark.range(64).selectExpr("id AS page_id", "concat('http://x/', id) AS url", "repeat(cast(id AS string), 50) AS html").repartition(16)
+    out = archive_round_trip(pages)
+    assert out.rdd.getNumPartitions() >= 8 and out.count() == 64
