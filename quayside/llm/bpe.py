@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import slices, with_column
+from quayside.llm.common import releasing, slices, with_column
 
 LEAF_CHARS = 32768
 UNSPLIT_CHARS = 2048
@@ -90,8 +90,10 @@ class Codec:
         with open(vocab_path, encoding="utf-8") as f:
             spec = json.load(f)
         self.full = tokenizers.Tokenizer.from_str(json.dumps(spec | {"truncation": None, "padding": None}))
-        self.merges = tokenizers.Tokenizer.from_str(json.dumps(
-            spec | {"truncation": None, "padding": None, "normalizer": None, "added_tokens": []}))
+        # the same model (shared, not copied) without normaliser and added tokens
+        self.merges = tokenizers.Tokenizer(self.full.model)
+        if self.full.pre_tokenizer is not None:
+            self.merges.pre_tokenizer = self.full.pre_tokenizer
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") \
             if self.special else None
@@ -256,7 +258,7 @@ def concat(parts: list[Tokens]) -> Tokens:
 
 
 def codec(vocab_path: str) -> Codec:
-    """One codec in a worker process, kept from task to task with its cache."""
+    """One codec of the running task (of the worker process, where texts are joined)."""
     if vocab_path not in _CODECS:
         _CODECS[vocab_path] = Codec(vocab_path)
     return _CODECS[vocab_path]
@@ -316,7 +318,7 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
     short, long = _split(docs, id_col, text_col, leaf_chars)
 
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in releasing(slices(batches, "_text"), _CODECS):
             ids = pa.array([codec(vocab_path).encode(t) for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
 
@@ -345,7 +347,7 @@ def _encode_long(long: DataFrame, vocab_path: str, id_col: str, kind: str, leaf_
                                     "_text": [text[a:b] for a, b in parts]})
 
     def encode_leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in releasing(batches, _CODECS):
             yield batch.assign(_ids=[codec(vocab_path).encode(t) for t in batch["_text"]])
 
     def join_text(group: pd.DataFrame) -> pd.DataFrame:
@@ -368,7 +370,7 @@ def bpe_decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", text_c
     schema = with_column(encoded, text_col, "string")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in releasing(batches, _CODECS):
             ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
             texts = pa.array([codec(vocab_path).decode(x or b"") for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, text_col])
@@ -391,7 +393,7 @@ def bpe_digests(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_c
                 "decoded_sha256": hashlib.sha256(decoded).hexdigest()} | ({"ids": ids} if keep_ids else {})
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 1 << 20):
+        for batch in releasing(slices(batches, "_text", 1 << 20), _CODECS):
             made = [digests(codec(vocab_path).encode(t)) for t in batch.column(1).to_pylist()]
             columns = pa.RecordBatch.from_pylist(made, pa.schema(
                 [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary())][:4 if keep_ids else 3]))

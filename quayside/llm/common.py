@@ -8,6 +8,8 @@ partitioning, so adaptive execution may split a hot key.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +52,22 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             first = last
 
 
+def releasing(batches: Iterator, *caches: dict) -> Iterator:
+    """The batches of a Python stage as they are. When the task ends, ``caches``
+    are emptied and freed memory goes back to the system: Spark keeps the
+    worker for later stages, whose own memory would come on top."""
+    try:
+        yield from batches
+    finally:
+        for cache in caches:
+            cache.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+        if trim:
+            trim(0)
+
+
 def value_offsets(array: pa.Array) -> np.ndarray:
     """Offsets of a string or binary array, from 0 (nulls have no bytes)."""
     return text_buffer(array)[1]
