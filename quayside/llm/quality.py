@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word, every character n-gram of a word and the pair of a word with itself
-(in one bucket for all words) hashes to a learned vector; a document is the
+Every word, every character n-gram of a word and every pair of neighbouring
+words hashes to a learned vector; a document is the
 mean of its features' vectors, and a softmax layer over that
 mean gives the class probabilities. Training is stochastic gradient descent
 in numpy over a bounded sample of labelled rows (``max_rows`` of each class,
@@ -25,6 +25,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix, slices, with_column
+from quayside.llm.common import mix, releasing, slices, with_column
 
 BUCKETS = 1 << 16
 MAX_ROWS = 2500  # training rows of each class
@@ -49,7 +50,7 @@ class Shape:
     max_n: int = 4
     steps: int = 800  # updates at least; and two passes over the rows at least
     batch: int = 16
-    rate: float = 0.5
+    rate: float = 2.0
     seed: int = 17
 
 
@@ -62,17 +63,18 @@ class Model:
     shape: Shape
 
 
-def word_features(words: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+def word_features(words: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All features of distinct words, as word number and bucket: the word
     itself and its character n-grams (of its UTF-8 bytes, with a blank at
-    either end)."""
+    either end). And a hash of each word, for ``pair_buckets``."""
     data = np.frombuffer(f" {' '.join(words)} ".encode(), np.uint8)
     blank = np.flatnonzero(data == 32)
     word = np.repeat(np.arange(len(words)), np.diff(blank))  # of each place but the last; its blank comes first
     place = np.arange(len(data) - 1)
     end = blank[1:][word]
     spelt = mix(data[:-1].astype(np.uint64) | (place - blank[word]).astype(np.uint64) << np.uint64(8))
-    numbers, buckets = [np.arange(len(words))], [mix(np.add.reduceat(spelt, blank[:-1]))]
+    hashes = mix(np.add.reduceat(spelt, blank[:-1]))
+    numbers, buckets = [np.arange(len(words))], [hashes]
     packed = data[:-1].astype(np.uint64)
     for n in range(2, shape.max_n + 1):
         packed = packed[:len(data) - n + 1] | data[n - 1:].astype(np.uint64)[:len(packed)] << np.uint64(8 * (n - 1))
@@ -80,13 +82,12 @@ def word_features(words: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarra
             inside = end[:len(packed)] >= place[:len(packed)] + n - 1
             numbers.append(word[:len(packed)][inside])
             buckets.append(mix(packed[inside] + np.uint64(n << 57)))
-    # the last bucket is kept for the repeat feature
-    return np.concatenate(numbers), (np.concatenate(buckets) % np.uint64(shape.buckets - 1)).astype(np.int64)
+    return np.concatenate(numbers), (np.concatenate(buckets) % np.uint64(shape.buckets)).astype(np.int64), hashes
 
 
-def repeats(words: list[str]) -> int:
-    """Word pairs in which a word follows itself: one feature for all of them."""
-    return sum(map(str.__eq__, words, words[1:]))
+def pair_buckets(hashes: np.ndarray, shape: Shape) -> np.ndarray:
+    """Buckets of the pairs of neighbours in a sequence of words, given by hash."""
+    return (mix(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(shape.buckets)).astype(np.int64)
 
 
 def text_features(text: str | None, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
@@ -95,9 +96,10 @@ def text_features(text: str | None, shape: Shape) -> tuple[np.ndarray, np.ndarra
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
     counted = Counter(words)
-    number, bucket = word_features(list(counted), shape)
+    number, bucket, hashes = word_features(list(counted), shape)
+    place = {w: k for k, w in enumerate(counted)}
     total = np.bincount(bucket, weights=np.fromiter(counted.values(), np.float64)[number], minlength=shape.buckets)
-    total[-1] += repeats(words)
+    total += np.bincount(pair_buckets(hashes[[place[w] for w in words]], shape), minlength=shape.buckets)
     ids = np.flatnonzero(total)
     return ids.astype(np.int32), total[ids].astype(np.int32)
 
@@ -135,30 +137,41 @@ def fit_vectors(rows: list[tuple[int, np.ndarray, np.ndarray]], shape: Shape) ->
 
 
 class Scorer:
-    """Scores batches of texts. Keeps the summed weights of recent words, in
-    two generations of at most CACHE_WORDS words."""
+    """Scores batches of texts. Keeps the summed weights of at most CACHE_WORDS
+    words, or of one batch's if it has more."""
 
     def __init__(self, model: Model):
-        self.model, self.repeat = model, float(model.weights[-1])
-        self.words: dict[str, complex] = {}  # sum of a word's weights; its number of features as imaginary part
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}  # of a word in the three arrays
+        self.sums, self.numbers, self.hashes = np.zeros(0), np.zeros(0), np.zeros(0, np.uint64)
 
     def score(self, texts: list[str | None]) -> list[float]:
         split = [(t or "").split() for t in texts]
-        new = list(set().union(*split) - self.words.keys())
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {}
+        new = list(set().union(*split) - self.place.keys())
+        if self.place and len(self.place) + len(new) > CACHE_WORDS:
+            self._forget()
             new = list(set().union(*split))
         if new:
-            number, bucket = word_features(new, self.model.shape)
-            sums = np.bincount(number, weights=self.model.weights[bucket]) + 1j * np.bincount(number)
-            self.words.update(zip(new, sums.tolist()))
-        return [self._one(words) for words in split]
-
-    def _one(self, words: list[str]) -> float:
-        again = repeats(words)
-        total = sum(map(self.words.__getitem__, words), complex(again * self.repeat, again))
-        logit = self.model.bias + (total.real / total.imag if words else 0.0)
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, logit))))
+            number, bucket, hashes = word_features(new, self.model.shape)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.sums = np.concatenate([self.sums, np.bincount(number, weights=self.model.weights[bucket])])
+            self.numbers = np.concatenate([self.numbers, np.bincount(number)])
+            self.hashes = np.concatenate([self.hashes, hashes])
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        words = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, lengths.sum())
+        text = np.repeat(np.arange(len(split)), lengths)
+        total = np.bincount(text, weights=self.sums[words], minlength=len(split))
+        count = np.bincount(text, weights=self.numbers[words], minlength=len(split))
+        if len(words) > 1:
+            inside = np.flatnonzero(text[1:] == text[:-1])  # pairs of words of one text
+            weights = self.model.weights[pair_buckets(self.hashes[words], self.model.shape)[inside]]
+            total += np.bincount(text[inside], weights=weights, minlength=len(split))
+            count += np.bincount(text[inside], minlength=len(split))
+        logit = self.model.bias + total / np.maximum(count, 1)
+        return (1 / (1 + np.exp(-np.clip(logit, -700.0, 700.0)))).tolist()
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int, shape: Shape) -> DataFrame:
@@ -175,7 +188,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: i
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in releasing(batches):
             found = [text_features(t, shape) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["quality"].astype("int64"),
                                 "ids": [f[0].tobytes() for f in found], "counts": [f[1].tobytes() for f in found]})
@@ -201,7 +214,7 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text") -> Data
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in slices(batches, text_col):
+        for batch in releasing(slices(batches, text_col)):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scorer.score(texts), pa.float64())],
                                              names=[*batch.schema.names, "score"])

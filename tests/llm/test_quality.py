@@ -1,7 +1,9 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from quayside.llm.quality import Scorer, Shape, fit_vectors, quality_scores, score_quality, text_features, train_quality, word_features
+from quayside.llm import quality
+from quayside.llm.quality import (Scorer, Shape, fit_vectors, pair_buckets, quality_scores, score_quality, text_features,
+                                  train_quality, word_features)
 
 SF = "/root/testdata/sf0.01"
 FEW = Shape(buckets=1 << 12, steps=150)
@@ -39,6 +41,33 @@ def test_word_features_do_not_depend_on_the_batch():
         assert sorted(together[1][together[0] == k]) == sorted(word_features([w], FEW)[1])
 
 
+def plain_score(text, model):
+    """Feature by feature, without caches or batches."""
+    words = (text or "").split()
+    hashes = [word_features([w], model.shape)[2][0] for w in words]
+    buckets = [b for w in words for b in word_features([w], model.shape)[1]]
+    buckets += [b for a in zip(hashes, hashes[1:]) for b in pair_buckets(np.array(a), model.shape)]
+    mean = sum(float(model.weights[b]) for b in buckets) / len(buckets) if buckets else 0.0
+    return 1 / (1 + np.exp(-(model.bias + mean)))
+
+
+def test_scores_equal_a_plain_version_whatever_the_batch_and_cache(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["good", "plain", "junk", "\u00e9t\u00e9", "a", "worth", "x" * 70]
+    texts = [" ".join(rng.choice(words, n)) for n in rng.integers(0, 30, 60)] + [None, "", " ", "one"]
+    model = fit_vectors([(k % 2, *text_features(t, FEW)) for k, t in enumerate(texts[:40])], FEW)
+    wanted = [plain_score(t, model) for t in texts]
+    monkeypatch.setattr(quality, "CACHE_WORDS", 4)  # forgets its words all the time
+    small = Scorer(model)
+    assert np.allclose([s for k in range(0, len(texts), 3) for s in small.score(texts[k:k + 3])], wanted, rtol=0, atol=1e-12)
+    assert np.allclose(Scorer(model).score(texts), wanted, rtol=0, atol=1e-12)
+
+
+def test_pairs_of_words_count_in_their_order():
+    ab, ba = (set(text_features(t, FEW)[0]) for t in ("alpha beta", "beta alpha"))
+    assert ab != ba and len(ab - ba) == len(ba - ab) == 1
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (2, "good text " * 5000, "c"), (None, "junk", "d"), (4, "x" * 50000, "e")],
                                  "doc_id long, text string, score string")
