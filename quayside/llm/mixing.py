@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
-RANGE_TOKENS = 4_000_000  # aimed at per range of the shuffle key
+RANGE_TOKENS = 4_000_000  # at most about so many per range of the shuffle key
 
 
 @dataclass(frozen=True)
@@ -117,10 +117,11 @@ def mix_sources(docs: DataFrame, mix: Mix = DEFAULT_MIX, id_col: str = "doc_id",
                             | {"n_tokens": token_count(text_col), "_text_hash": F.xxhash64(text_col)})
     keys = staged(rows.select(*levels, "n_tokens", "_text_hash", F.col(id_col).alias("_id")), "mix-keys")
     # a row per leaf; Spark broadcasts it below where its measured size allows
-    leaves = staged(leaf_budgets(keys.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), inner).select(
+    leaves = staged(leaf_budgets(keys.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("rows")), inner).select(
         *levels, "tokens", "budget", F.expr("IF(tokens = 0, 0, budget div tokens)").cast("int").alias("epochs"),
         F.expr("IF(tokens = 0, 0, budget % tokens)").alias("rest"),
-        F.expr(f"tokens div {RANGE_TOKENS} + 1").alias("ranges")), "mix-leaves")
+        # at least as many ranges as rows in each: neither the window over a leaf's ranges nor that over a range's rows grows large
+        F.expr(f"greatest(tokens div {RANGE_TOKENS} + 1, ceil(sqrt(rows)))").alias("ranges")), "mix-leaves")
     placed = keys.join(leaves.drop("budget", "tokens"), levels).withColumn("place", _place(mix, "_id")) \
         .withColumn("range", F.shiftright(F.col("place") * F.col("ranges"), 32))
     in_range = [*levels, "range"]
