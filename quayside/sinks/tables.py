@@ -11,6 +11,7 @@ before the current one is kept for its readers; older ones are removed.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,3 +175,50 @@ def write_csv(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
         return False
     df.write.mode("overwrite").option("header", True).csv(path)
     return True
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's first partition column, from the names of its
+    folders (no file is opened); NULL's folder is left out."""
+    fs, p = _jvm_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def expire_partitions(spark: SparkSession, path: str, ts: str, cutoff: dt.datetime, day: str = "day") -> dict[str, list[str]]:
+    """Delete the rows older than ``cutoff`` from a Parquet table partitioned by
+    ``day``, the date of its time stamp ``ts`` without a zone.
+
+    Folders of earlier days are removed unread. Of all others only that of the
+    cut-off's own day is rewritten, and only if it holds an older row; the rest
+    keep their files. Rows whose ``ts`` is NULL stay. The rewrite goes through
+    the shared scratch folder and dynamic partition overwrite, and every step
+    may be repeated: a run that died is finished by the next one. Returns the
+    days removed and rewritten (names of folders, never rows).
+    """
+    from pyspark.sql import functions as F
+
+    from quayside.session import scratch_path
+
+    edge = cutoff.date().isoformat()
+    days = partition_values(spark, path, day)
+    removed, rewritten = [d for d in days if d < edge], []
+    if edge in days and cutoff.time() != dt.time():
+        # read with the partition column as the folders name it: one folder is listed
+        table = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{day}={edge}")
+        old = F.col(ts) < F.lit(cutoff).cast("timestamp_ntz")
+        if not table.filter(old).isEmpty():
+            staging = scratch_path(spark, "retention")
+            table.filter(~F.coalesce(old, F.lit(False))).write.mode("overwrite").parquet(staging)
+            kept = spark.read.schema(table.schema).parquet(staging)
+            if kept.isEmpty():
+                removed.append(edge)
+            else:
+                write_snapshot(kept, path, [day])
+                rewritten.append(edge)
+    for value in removed:
+        remove_path(spark, f"{path.rstrip('/')}/{day}={value}")
+    return {"removed": removed, "rewritten": rewritten}

@@ -1,13 +1,16 @@
-"""Bitmap rollups under dashboard slices (A9, A11, A14) and content
-verification of a written archive (Q6, A16)."""
+"""Bitmap rollups under dashboard slices (A9, A11, A14), content verification
+of a written archive (Q6, A16) and retention by partition (K11)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from quayside.operators.bitmaps import bitmap_rollup, distinct_in, id_numbers
 from quayside.operators.fingerprint import compare_content
 from quayside.session import ensure_utc, scratch_path
+from quayside.sinks.tables import expire_partitions
 from quayside.workloads import register
 from quayside.workloads.fixtures import table
 
@@ -80,3 +83,22 @@ def archive_content(spark, sf_dir):
     path = scratch_path(spark, "damaged-archive")
     damaged.write.partitionBy("day").parquet(path)
     return compare_content(e, spark.read.parquet(path), ["day"])
+
+
+@register("retention_partitions", """
+WITH e AS (SELECT *, CASE WHEN event_id % 11 <> 0 THEN ts END AS seen FROM events), m AS (SELECT max(ts) AS last FROM events)
+SELECT event_id, user_id, event_type FROM e, m WHERE seen IS NULL OR seen >= last - INTERVAL 30 HOUR""")
+def retention_partitions(spark, sf_dir):
+    """Three runs of a retention of 30 hours, at ends 20 days, 9 hours and 0
+    hours before the last event, over a table by day; some rows have no time."""
+    ensure_utc(spark)
+    path = scratch_path(spark, "events-by-day")
+    e = table(spark, sf_dir, "events")
+    seen = F.when(F.col("event_id") % 11 != 0, F.col("ts")).cast("timestamp_ntz")
+    e.select("event_id", "user_id", "event_type", seen.alias("seen")).withColumn("day", F.to_date("seen")) \
+        .hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    last = e.agg(F.max(F.col("ts").cast("timestamp_ntz")).alias("last")).first()["last"]
+    for hours in (480, 9, 0):
+        expire_partitions(spark, path, "seen", last - dt.timedelta(hours=hours + 30))
+    kind = "event_id long, user_id long, event_type string, seen timestamp_ntz, day date"
+    return spark.read.schema(kind).parquet(path).select("event_id", "user_id", "event_type")
