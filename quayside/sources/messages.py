@@ -56,6 +56,45 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
                       malformed.alias("_malformed"))
 
 
+def decode_drift(df: DataFrame, schema: T.StructType, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Parse messages whose fields grow and change type over time.
+
+    A message is parsed once, to VARIANT. Fields of ``schema`` are cast where
+    the cast works and NULL where not; ``_mistyped`` names those that were there
+    but did not fit, ``_extra`` keeps the fields outside the schema (name to
+    JSON text), so neither is lost silently. ``_malformed`` marks a NULL
+    message, text that is no JSON, and JSON that is no object.
+    """
+    text = F.col(value_col).cast("string")
+    known = [f.name for f in schema.fields]
+    # behind a generator, so that the one parse is not inlined into each field
+    out = df.select(*(keep or []), text.alias("_text"), F.explode(F.array(F.try_parse_json(text))).alias("_v"))
+
+    def at(name: str, kind: str) -> Column:
+        return F.try_variant_get("_v", f'$["{name}"]', kind)
+
+    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    mistyped = F.array_compact(F.array(*[
+        F.when(at(f.name, "variant").isNotNull() & ~F.is_variant_null(at(f.name, "variant"))
+               & at(f.name, f.dataType.simpleString()).isNull(), F.lit(f.name))
+        for f in schema.fields]))
+    extra = F.map_filter(F.from_json("_text", T.MapType(T.StringType(), T.StringType())), lambda k, _: ~k.isin(*known))
+    return out.select(*(keep or []), *[F.when(is_object, at(f.name, f.dataType.simpleString())).alias(f.name) for f in schema.fields],
+                      F.when(is_object, mistyped).alias("_mistyped"), F.when(is_object, extra).alias("_extra"), (~is_object).alias("_malformed"))
+
+
+def field_kinds(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """What fields the messages really have: field, kind (text, number, boolean,
+    object, array, null), known (in ``schema``) and the number of messages."""
+    parsed = df.select(F.try_parse_json(F.col(value_col).cast("string")).alias("_v")).filter("schema_of_variant(_v) LIKE 'OBJECT%'")
+    fields = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    kind = F.schema_of_variant("value")
+    named = (F.when(kind == "STRING", "text").when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "number").when(kind == "BOOLEAN", "boolean")
+             .when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "VOID", "null").otherwise(kind))
+    return fields.groupBy(F.col("key").alias("field"), named.alias("kind")).agg(F.count(F.lit(1)).alias("messages")) \
+        .withColumn("known", F.col("field").isin(*[f.name for f in schema.fields]))
+
+
 def decode_change_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     return decode_json(df, CHANGE_SCHEMA, value_col)
 

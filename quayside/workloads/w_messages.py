@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import ensure_utc
-from quayside.sources.messages import decode_json, flatten_seismic_messages, unwrap_cdc_envelope
+from quayside.sources.messages import decode_drift, decode_json, field_kinds, flatten_seismic_messages, unwrap_cdc_envelope
 from quayside.workloads import register
 from quayside.workloads.fixtures import CHANGES_SQL, QUAKES_SQL, changes, quakes, with_ctes
 
@@ -116,6 +116,53 @@ def decode_json_q(spark, sf_dir):
     return decode_json(ch.select(msg.alias("value")), MESSAGE_SCHEMA)
 
 
+# --- messages whose fields grow and change type ---------------------------------
+
+DRIFT_SQL = with_ctes(CHANGES_SQL)
+
+
+def drifting_messages(spark, sf_dir):
+    """Every fifth message has a field more, every third a nested one; some
+    values are text, which may be a number; some messages are no object."""
+    seq = F.col("seq")
+    value = (F.when(seq % 7 == 0, F.lit('"n/a"')).when(seq % 11 == 0, F.lit('"12.5"'))
+             .otherwise(F.coalesce(F.col("value").cast("string"), F.lit("null"))))
+    text = F.concat(F.lit('{"key":'), F.to_json(F.array("key")), F.lit(',"seq":'), seq.cast("string"), F.lit(',"value":'), value,
+                    F.when(seq % 5 == 0, F.lit(',"note":"late"')).otherwise(""), F.when(seq % 3 == 0, F.lit(',"zone":{"id":1}')).otherwise(""), F.lit("}"))
+    text = F.regexp_replace(text, r'^\{"key":\[(.*?)\],', r'{"key":$1,')
+    msg = F.when(seq % 29 == 0, F.substring(text, 1, 12)).when(seq % 31 == 0, F.lit("[1]")).otherwise(text)
+    return changes(spark, sf_dir).select(seq.alias("sent"), msg.alias("value"))
+
+
+DRIFT_SCHEMA = T.StructType([f for f in MESSAGE_SCHEMA.fields if f.name != "op"])
+
+
+@register("decode_drift", DRIFT_SQL + """
+SELECT seq AS sent, CASE WHEN ok THEN key END AS key, CASE WHEN ok THEN seq END AS seq,
+       CASE WHEN NOT ok OR seq % 7 = 0 THEN NULL WHEN seq % 11 = 0 THEN 12.5 ELSE value END AS value,
+       CASE WHEN ok THEN CASE WHEN seq % 7 = 0 THEN 'value' ELSE '' END END AS mistyped,
+       CASE WHEN ok AND seq % 5 = 0 THEN 'late' END AS note,
+       CASE WHEN ok AND seq % 3 = 0 THEN '{"id":1}' END AS zone, NOT ok AS _malformed
+FROM (SELECT *, seq % 29 <> 0 AND seq % 31 <> 0 AS ok FROM changes)""")
+def decode_drift_q(spark, sf_dir):
+    """Known fields, fields that do not fit and unknown fields of such messages."""
+    out = decode_drift(drifting_messages(spark, sf_dir), DRIFT_SCHEMA, keep=["sent"])
+    return out.select("sent", "key", "seq", "value", F.array_join("_mistyped", ",").alias("mistyped"),
+                      F.col("_extra")["note"].alias("note"), F.col("_extra")["zone"].alias("zone"), "_malformed")
+
+
+@register("field_kinds", DRIFT_SQL + """, m AS (SELECT * FROM changes WHERE seq % 29 <> 0 AND seq % 31 <> 0), f AS (
+  SELECT 'key' AS field, CASE WHEN key IS NULL THEN 'null' WHEN typeof(key) = 'VARCHAR' THEN 'text' ELSE 'number' END AS kind, TRUE AS known FROM m
+  UNION ALL SELECT 'seq', 'number', TRUE FROM m
+  UNION ALL SELECT 'value', CASE WHEN seq % 7 = 0 OR seq % 11 = 0 THEN 'text' WHEN value IS NULL THEN 'null' ELSE 'number' END, TRUE FROM m
+  UNION ALL SELECT 'note', 'text', FALSE FROM m WHERE seq % 5 = 0
+  UNION ALL SELECT 'zone', 'object', FALSE FROM m WHERE seq % 3 = 0)
+SELECT field, kind, known, count(*) AS messages FROM f GROUP BY ALL""")
+def field_kinds_q(spark, sf_dir):
+    """Which fields of which kind the messages hold, known or not."""
+    return field_kinds(drifting_messages(spark, sf_dir), DRIFT_SCHEMA)
+
+
 # --- current quake state and fact from change messages on the change schema -----
 
 def quake_change_messages(spark, sf_dir):
