@@ -10,15 +10,20 @@ similarity of at least ``percent`` / 100. The method is prefix filtering:
   are posted, by bucket of the n-gram. A pair is a candidate at an n-gram
   only if its sizes allow a link and if the pair could link were this its
   first common n-gram (positional filter): a linked pair passes at its first.
-* Distinct candidates are verified once per pair, on the whole sets, after a
-  suffix filter that bounds the overlap by parts of the sorted sets.
+* Posting lists are gathered by their leader, the smallest node in them, since
+  near copies share most of their lists. The sets of a leader's nodes travel
+  there once, whatever the number of lists, and its pairs are verified once, on
+  the whole sets, after the size filter and a suffix filter that bounds the
+  overlap by the parity of parts of the sets. A pair that shares several leaders
+  is verified at the smallest.
 
 Documents of equal word sequence are one node (their sets are equal). Links
-are wanted for components, so groups of near copies are joined step by step:
-neighbours in a posting list first (and its smallest node), then wider gaps,
-each step leaving out pairs that are connected already; the last step takes
-every pair that is left. No connected pair and no pair of a group is emitted
-without need, and no link between different components is lost.
+are wanted for components: a leader's task skips pairs that are connected there
+already and emits only links that join, so neither rows nor verified pairs of a
+group of near copies grow with its square, and no link between different
+components is lost. Texts that share leaders but do not link need all their
+pairs tested; a large leader is cut by size into tiles of bounded size, and each
+two tiles that can link are tested by themselves.
 
 Postings travel as arrays by bucket, so a shuffle moves a few large rows.
 A bucket holds whole posting lists; its memory is that of the n-grams rare
@@ -33,6 +38,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -50,7 +56,10 @@ SLICE_BYTES = 2 << 20  # of text at a time: the hashes take some fifty times tha
 CHUNK = 1 << 16  # entries of the count table in a row
 LEAST_BUCKETS = 64
 POSTINGS_PER_BUCKET = 1_000_000
-GAPS = ((2, 64), (64, None))  # distances in a posting list, by step after the first
+TILE_NODES = 4096
+TILE_NGRAMS = 2_000_000  # 16 MB
+FEW_NODES = 8  # a block's pairs are tested one by one
+PARTITION_BYTES = 32 << 20  # of sets in a task
 SEEN_NODES = 1_000_000
 MAP_BITS = 1 << 27  # 16 MB
 
@@ -167,95 +176,93 @@ def post(docs: DataFrame, size: int, percent: int, classes, bits: int, buckets:
     return docs.mapInArrow(rows, "bucket int, postings binary")
 
 
-def shared_lists(group: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Of a bucket: the first step's pairs (as rows with b), and the posting
-    lists that hold pairs for later steps, by n-gram, size and node."""
-    ngram, node, n, place = unpack(group["postings"])
-    order = np.argsort(ngram, kind="stable")
-    ngram, node, n, place = ngram[order], node[order], n[order], place[order]
-    starts = np.flatnonzero(np.concatenate([[True], ngram[1:] != ngram[:-1]]))
-    count = np.diff(np.append(starts, len(ngram)))
-    keep = np.flatnonzero(np.repeat(count > 1, count))
-    ngram, node, n, place = ngram[keep], node[keep], n[keep], place[keep]
-    order = np.lexsort((node, n, ngram))
-    ngram, node, n, place = ngram[order], node[order], n[order], place[order]
-    if len(ngram):  # a node posted by two tasks
-        own = np.concatenate([[True], (ngram[1:] != ngram[:-1]) | (node[1:] != node[:-1])])
-        ngram, node, n, place = ngram[own], node[own], n[own], place[own]
-    lists = Lists(ngram.view(np.int64), node, n, place, node, percent)
-    pairs = lists.pairs([lists.at_gap(1), lists.to_hub()])
-    later = np.repeat(lists.has_later_pairs(), lists.sizes)
-    bucket = group["bucket"].iloc[0]
-    first = pd.DataFrame({"bucket": bucket, "ngram": 0, "node": pairs[0], "n": 0, "place": 0, "b": pd.array(pairs[1], "Int64")})
-    rest = pd.DataFrame({"bucket": bucket, "ngram": lists.ngram[later], "node": node[later], "n": n[later], "place": place[later],
-                         "b": pd.array([None] * int(later.sum()), "Int64")})
-    return pd.concat([first, rest])
-
-
 class Lists:
-    """Posting lists of a bucket in order of n-gram, size and node, and the
-    component (root) of each node so far."""
+    """Posting lists of a bucket in order of n-gram, size and node."""
 
-    def __init__(self, ngram, node, n, place, root, percent: int):
-        self.ngram, self.node, self.n, self.place, self.root, self.percent = ngram, node, n, place, root, percent
+    def __init__(self, ngram, node, n, place, percent: int):
+        self.node, self.n, self.place, self.percent = node, n, place, percent
         self.starts = np.flatnonzero(np.concatenate([[True], ngram[1:] != ngram[:-1]])) if len(ngram) else np.zeros(0, np.int64)
         self.sizes = np.diff(np.append(self.starts, len(ngram)))
         self.rest = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(ngram)) - 1  # postings after each
 
-    def test(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of the pairs that pass the size and positional filters and are not connected."""
-        small, large = np.minimum(self.n[i], self.n[j]).astype(np.int64), np.maximum(self.n[i], self.n[j]).astype(np.int64)
-        most = np.minimum(self.n[i] - self.place[i], self.n[j] - self.place[j])  # overlap if this is the first common n-gram
-        keep = (self.root[i] != self.root[j]) & (100 * small >= self.percent * large) & (most >= least_overlap(small, large, self.percent))
-        return i[keep], j[keep]
-
     def at_gap(self, gap: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs at this distance that pass the size and positional filters."""
         i = np.flatnonzero(self.rest >= gap)
-        return self.test(i, i + gap)
-
-    def to_hub(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every node with the smallest of its list."""
-        if not len(self.starts):
-            return self.starts, self.starts
-        hub = np.flatnonzero(self.node == np.repeat(np.minimum.reduceat(self.node, self.starts), self.sizes))
-        return self.test(np.arange(len(self.node)), np.repeat(hub, self.sizes))
-
-    def beyond(self, gap: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """All pairs at ``gap`` or more, of nodes outside a list's largest component with all others."""
-        found = []
-        for a, size in zip(self.starts, self.sizes):
-            b, root = a + size, self.root[a:a + size]
-            if size <= gap or (root == root[0]).all():
-                continue
-            roots, counts = np.unique(root, return_counts=True)
-            for i in np.flatnonzero(root != roots[counts.argmax()]) + a:
-                j = np.concatenate([np.arange(a, max(a, i - gap + 1)), np.arange(min(b, i + gap), b)])
-                found.append(self.test(np.full(len(j), i), j))
-        return found
+        j = i + gap
+        small, large = self.n[i].astype(np.int64), self.n[j].astype(np.int64)
+        most = np.minimum(small - self.place[i], large - self.place[j])  # overlap if this is the first common n-gram
+        keep = (100 * small >= self.percent * large) & (most >= least_overlap(small, large, self.percent))
+        return i[keep], j[keep]
 
-    def has_later_pairs(self, looked: int = 64) -> np.ndarray:
-        """Per list, whether a pair at gap 2 or more passes; a list longer than ``looked`` is taken to have one."""
-        has = self.sizes > looked
-        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        for gap in range(2, min(looked, int(self.sizes.max(initial=0)))):
-            has[owner[self.at_gap(gap)[0]]] = True
+    def with_partner(self, looked: int = 64) -> np.ndarray:
+        """The postings with a partner that passes; those of a list longer than ``looked`` are taken to have one."""
+        has = np.repeat(self.sizes > looked, self.sizes)
+        for gap in range(1, min(looked, int(self.sizes.max(initial=0)))):
+            i, j = self.at_gap(gap)
+            has[i] = has[j] = True
         return has
 
-    def pairs(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Distinct pairs of nodes, the smaller first."""
-        i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-        a, b = self.node[i], self.node[j]
-        return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    def leaders(self) -> np.ndarray:
+        """The smallest node of each posting's list."""
+        return np.repeat(np.minimum.reduceat(self.node, self.starts), self.sizes) if len(self.starts) else self.node
 
 
-def candidates(group: pd.DataFrame, percent: int, low: int, high: int | None) -> pd.DataFrame:
-    """Distinct pairs of one bucket's lists at gaps from low on, below high."""
-    group = group.sort_values(["ngram", "n", "node"], kind="stable")
-    lists = Lists(*(group[c].to_numpy() for c in ("ngram", "node", "n", "place", "root")), percent)
-    longest = int(lists.sizes.max(initial=0))
-    found = lists.beyond(low) if high is None else [lists.at_gap(gap) for gap in range(low, min(high, longest))]
-    pairs = lists.pairs(found)
-    return pd.DataFrame({"a": pairs[0], "b": pairs[1]})
+def list_members(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Of a bucket: the nodes of its posting lists, by the lists' leaders."""
+    ngram, node, n, place = unpack(group["postings"])
+    order = np.argsort(ngram, kind="stable")
+    ngram, node, n, place = ngram[order], node[order], n[order], place[order]
+    starts = np.flatnonzero(np.concatenate([[True], ngram[1:] != ngram[:-1]]))
+    count = np.diff(np.append(starts, len(ngram)))
+    keep = np.flatnonzero(np.repeat(count > 1, count))
+    ngram, node, n, place = ngram[keep], node[keep], n[keep], place[keep]
+    order = np.lexsort((node, n, ngram))
+    ngram, node, n, place = ngram[order], node[order], n[order], place[order]
+    if len(ngram):  # a node posted by two tasks
+        own = np.concatenate([[True], (ngram[1:] != ngram[:-1]) | (node[1:] != node[:-1])])
+        ngram, node, n, place = ngram[own], node[own], n[own], place[own]
+    lists = Lists(ngram, node, n, place, percent)
+    keep = lists.with_partner()
+    return pd.DataFrame({"leader": lists.leaders()[keep], "node": node[keep], "n": n[keep]}).drop_duplicates()
+
+
+def blocks(members: DataFrame, percent: int) -> DataFrame:
+    """(node, n, leader, leaders, block, side) for the members (leader, node, n).
+
+    A leader's nodes are one block up to the tile bounds. Beyond them they are
+    cut by size, so that only equal and neighbouring size classes can link, a
+    class by a hash of the node into tiles, and each two tiles that can link
+    are a block: side 0 is compared with side 1, or with itself where there is none.
+    """
+    width = max(1e-6, math.log(100 / percent)) * 1.001
+    rows = staged(members.groupBy("node").agg(F.sort_array(F.collect_set("leader")).alias("leaders"), F.max("n").alias("n"))
+                  .select("node", "n", "leaders", F.explode("leaders").alias("leader"),
+                          F.floor(F.log(F.col("n").cast("double")) / width).alias("class")), "members")
+    per_class = rows.groupBy("leader", "class").agg(F.count("*").alias("nodes"), F.sum("n").alias("ngrams"))
+    tiles = F.ceil(F.greatest(F.col("nodes") / TILE_NODES, F.col("ngrams") / TILE_NGRAMS)).cast("int")
+    large = staged(per_class.withColumn("tiles", tiles).groupBy("leader").agg(
+        F.sum("nodes").alias("nodes"), F.sum("ngrams").alias("ngrams"), F.map_from_entries(F.collect_list(F.struct("class", "tiles"))).alias("tiles"))
+        .filter((F.col("nodes") > TILE_NODES) | (F.col("ngrams") > TILE_NGRAMS)).select("leader", "tiles"), "large-leaders")
+    small = rows.join(large, "leader", "left_anti").select(
+        "node", "n", "leader", "leaders", F.array(F.lit(0).cast("long")).alias("block"), F.lit(0).alias("side"))
+    if large.isEmpty():
+        return small
+    of = lambda c: F.coalesce(F.try_element_at("tiles", c), F.lit(0))
+    own, c = F.pmod(F.xxhash64("node"), of(F.col("class"))).cast("long"), F.col("class")
+
+    def against(other, entry):
+        """An entry for each tile of the other class, none where there is no such class."""
+        return F.transform(F.when(other > 0, F.sequence(F.lit(0), other - 1)).otherwise(F.array().cast("array<int>")), lambda k: entry(k.cast("long")))
+
+    def entry(low, high, i, j, side):
+        return F.struct(F.array(low, high, i, j).alias("block"), F.lit(side).alias("side") if isinstance(side, int) else side.alias("side"))
+
+    same = against(of(c), lambda k: entry(c, c, F.least(own, k), F.greatest(own, k), F.when(k < own, 1).otherwise(0)))
+    above = against(of(c + 1), lambda k: entry(c, c + 1, own, k, 0))
+    below = against(of(c - 1), lambda k: entry(c - 1, c, k, own, 1))
+    cut = rows.join(large, "leader").select(
+        "node", "n", "leader", "leaders", F.inline(F.concat(same, above, below)))
+    return small.unionByName(cut)
 
 
 # verification --------------------------------------------------------------
@@ -269,18 +276,90 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int, parts: int = 8) -> bool:
     return bool(bound >= need) and len(np.intersect1d(x, y, assume_unique=True)) >= need
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link; ``sets`` has (node, ngrams)."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("ngrams").alias("x")), "a") \
-        .join(sets.select(F.col("node").alias("b"), F.col("ngrams").alias("y")), "b").select("a", "b", "x", "y")
+class Sets:
+    """Sets of a block end to end, with the parity of their parts."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = np.array([len(s) for s in sets], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.n)])
+        self.ids = np.unique(np.concatenate(sets), return_inverse=True)[1].reshape(-1)
+        self.mark = np.zeros(len(self.ids) + 1, bool)
+        bits = 1 << min(12, max(9, int(2 * self.n.max()).bit_length()))
+        parts = [np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)) for s in sets]
+        self.parity = np.stack(parts).view(np.uint64)
+
+    def linked(self, i: int, others: np.ndarray, percent: int, owned) -> np.ndarray:
+        """Those of the others that link with set i. The sets differ in at least
+        as many n-grams as there are parts of other parity (suffix filter)."""
+        small, large = np.minimum(self.n[i], self.n[others]), np.maximum(self.n[i], self.n[others])
+        others = others[100 * small >= percent * large]
+        need = least_overlap(self.n[i], self.n[others], percent)
+        differ = np.bitwise_count(self.parity[others] ^ self.parity[i]).sum(axis=1, dtype=np.int64)
+        keep = np.flatnonzero(differ <= self.n[i] + self.n[others] - 2 * need)
+        keep = keep[[owned(i, j) for j in others[keep]]] if len(keep) else keep
+        others, need = others[keep], need[keep]
+        if not len(others):
+            return others
+        mine = self.ids[self.starts[i]:self.starts[i + 1]]
+        self.mark[mine] = True
+        same = np.array([np.count_nonzero(self.mark[self.ids[self.starts[j]:self.starts[j + 1]]]) for j in others])
+        self.mark[mine] = False
+        return others[same >= need]
+
+
+def block_links(nodes: list[int], sides: list[int], sets: list[np.ndarray], earlier: list[frozenset], percent: int) -> list[tuple[int, int]]:
+    """Links of a block that join its nodes into their components, at most one
+    less than its nodes. A pair that shares an earlier leader is left to that."""
+    top = np.arange(len(nodes))
+    side, found = np.array(sides), []
+    if len(nodes) <= FEW_NODES:
+        for i, j in itertools.combinations(range(len(nodes)), 2):
+            if (side[i] != side[j] or not side.any()) and top[i] != top[j] and earlier[i].isdisjoint(earlier[j]) and linked(sets[i], sets[j], percent):
+                found.append((nodes[i], nodes[j]))
+                top[top == top[j]] = top[i]
+        return found
+    first = np.flatnonzero(side == 0)
+    second = np.flatnonzero(side == 1)
+    held = Sets(sets)
+    for at, i in enumerate(first):
+        others = second if len(second) else first[at + 1:]
+        others = others[top[others] != top[i]]
+        if not len(others):
+            continue
+        for j in held.linked(i, others, percent, lambda x, y: earlier[x].isdisjoint(earlier[y])):
+            if top[j] != top[i]:
+                found.append((nodes[i], nodes[j]))
+                top[top == top[j]] = top[i]
+    return found
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
-                    for x, y in zip(batch.column(2), batch.column(3))]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, "a long, b long")
+def links_of(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) of all blocks. A task reads its blocks one after another
+    from sorted rows and holds one of them, within the bounds of two tiles."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+
+        def result():
+            nodes = list(held)
+            pairs = block_links(nodes, *map(list, zip(*held.values())), percent) if len(nodes) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            leader, block, node, side, leaders = (batch.column(k).to_pylist() for k in range(5))
+            for r in range(batch.num_rows):
+                if key != (leader[r], block[r]):
+                    yield result()
+                    key, held = (leader[r], block[r]), {}
+                if node[r] not in held:  # rows of one id with one text
+                    held[node[r]] = (side[r], np.frombuffer(batch.column(5)[r].as_py(), np.uint64),
+                                     frozenset(x for x in leaders[r] if x < leader[r]))
+        yield result()
+
+    size = 8 * (placed.agg(F.sum("n")).first()[0] or 0)
+    parts = max(placed.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+    rows = placed.join(sets, "node").select("leader", "block", "node", "side", "leaders", "ngrams")
+    return rows.repartition(parts, "leader", "block").sortWithinPartitions("leader", "block") \
+        .mapInArrow(find, "a long, b long")
 
 
 def id_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
@@ -320,7 +399,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(24, max(16, int(math.log2(total / 400 + 1))))  # a count table of up to 16 MB of classes
+    # a count table of up to 16 MB of classes, and at most a sixteenth of a task's text
+    bits = min(24, max(16, int(math.log2(min(total / 400, total / docs.rdd.getNumPartitions() / 16) + 1))))
     scanned = staged(scan(docs, size, bits), "ngram-scan")
     rows = scanned.filter("chunk IS NULL").select("doc_id", "n", "node", "check")
     # one document for each node; two word sequences under one 64-bit hash would show in the second hash
@@ -333,42 +413,19 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     buckets = max(LEAST_BUCKETS, -(-(count[0] or 0) * (100 - percent) // (100 * POSTINGS_PER_BUCKET)))
     classes = spark.sparkContext.broadcast(commonness(scanned, bits))
     postings = post(docs, size, percent, classes, bits, buckets)
-    listed = staged(postings.groupBy("bucket").applyInPandas(
-        _lists_of(percent), "bucket int, ngram long, node long, n int, place int, b long"), "posting-lists")
-    lists = listed.filter("b IS NULL").drop("b")
-
-    pairs = staged(listed.filter("b IS NOT NULL").select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    known, sets, seen, links, roots = pairs, None, None, None, None
-    for gaps in (None, *GAPS):
-        if gaps:
-            rooted = lists.withColumn("root", F.col("node")) if roots is None else \
-                lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            pairs = rooted.groupBy("bucket").applyInPandas(_candidates_at(percent, *gaps), "a long, b long").distinct()
-            pairs = staged(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
-            known = known.union(pairs)
-        if pairs.isEmpty():
-            continue
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        ends = staged(nodes.join(ends if seen is None else ends.join(seen, "node", "left_anti"), "node").select("node", "doc_id"), "ends")
-        more = staged(node_sets(docs, ends.select("doc_id"), size), "sets")
-        seen, sets = (ends.select("node"), more) if sets is None else (seen.union(ends.select("node")), sets.union(more))
-        new = staged(verified(pairs, sets, percent), "new-links")
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            roots = components(links)
-    return _members(rows, roots)
-
-
-def _lists_of(percent: int):
-    def find(group: pd.DataFrame) -> pd.DataFrame:
-        return shared_lists(group, percent)
-
-    return find
+    members = postings.groupBy("bucket").applyInPandas(_members_at(percent), "leader long, node long, n int")
+    placed = staged(blocks(members, percent), "blocks")
+    wanted = staged(nodes.join(placed.select("node").distinct(), "node").select("doc_id"), "wanted")
+    if wanted.isEmpty():
+        return _members(rows, None)
+    sets = staged(node_sets(docs, wanted.select("doc_id"), size), "sets")
+    links = staged(links_of(placed, sets, percent), "links")
+    return _members(rows, None if links.isEmpty() else components(links))
 
 
-def _candidates_at(percent: int, low: int, high: int | None):
+def _members_at(percent: int):
     def find(group: pd.DataFrame) -> pd.DataFrame:
-        return candidates(group, percent, low, high)
+        return list_members(group, percent)
 
     return find
 

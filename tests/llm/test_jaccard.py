@@ -53,13 +53,39 @@ def rows_of(seed, n=260):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard, "LEAST_BUCKETS", 3)
-    monkeypatch.setattr(jaccard, "GAPS", ((2, 4), (4, None)))
+    monkeypatch.setattr(jaccard, "TILE_NODES", 3 if seed == 1 else 4096)
+    monkeypatch.setattr(jaccard, "FEW_NODES", 2)
     rows = rows_of(seed)
     docs = spark.createDataFrame([(i, t, 5, "x") for i, t in rows], "doc_id long, text string, n int, node string").repartition(3)
     got = jaccard_components(docs).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_texts_of_one_template_that_do_not_link(spark):
+    """2,000 texts at 0.70 to 0.79 of each other, and pairs among them that do link."""
+    rnd = random.Random(3)
+    line = [f"t{k}" for k in range(104)]
+    rows = [(k, " ".join(line + [f"own{k}x{m}" for m in range(rnd.randint(14, 18))])) for k in range(2000)]
+    rows += [(5000 + k, rows[k][1] + " more") for k in range(0, 2000, 100)]
+    first = shingle_set(rows[0][1])
+    assert 0.70 <= len(first & shingle_set(rows[1][1])) / len(first | shingle_set(rows[1][1])) <= 0.79
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert got == {k: k - 5000 if k >= 5000 else k for k, _ in rows}
+
+
+def test_a_block_joins_its_nodes_with_few_links():
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(0, 2**62, 200).astype(np.uint64)
+    sets = [np.unique(np.append(base, rnd.integers(0, 2**62, 3).astype(np.uint64))) for _ in range(300)]
+    none = [frozenset()] * 300
+    found = jaccard.block_links(list(range(300)), [0] * 300, sets, none, 80)
+    assert len(found) == 299
+    between = jaccard.block_links(list(range(300)), [k % 2 for k in range(300)], sets, none, 80)
+    assert len(between) == 299 and all(a % 2 != b % 2 for a, b in between)
+    assert jaccard.block_links(list(range(300)), [0] * 300, sets, [frozenset([1])] * 300, 80) == []
+
+
 def test_one_id_with_several_texts_joins_them(spark):
     a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     rows = [(5, a), (5, b), (7, a), (6, b), (6, b), (8, "c d e f g h")]
