@@ -11,8 +11,8 @@ similarity of at least ``percent`` / 100. The method is prefix filtering:
   only if its sizes allow a link and if the pair could link were this its
   first common n-gram (positional filter): a linked pair passes at its first.
 * Posting lists are gathered by their leader, the smallest node in them, since
-  near copies share most of their lists. The sets of a leader's nodes travel
-  there once, whatever the number of lists, and its pairs are verified once, on
+  near copies share most of their lists. The texts of a leader's nodes travel
+  there once, packed, whatever the number of lists, and its pairs are verified once, on
   the whole sets, after the size filter and a suffix filter that bounds the
   overlap by the parity of parts of the sets. A pair that shares several leaders
   is verified at the smallest.
@@ -45,6 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -333,7 +334,7 @@ def block_links(nodes: list[int], sides: list[int], sets: list[np.ndarray], earl
     return found
 
 
-def links_of(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def links_of(placed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The links (a, b) of all blocks. A task reads its blocks one after another
     from sorted rows and holds one of them, within the bounds of two tiles."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,13 +352,13 @@ def links_of(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     yield result()
                     key, held = (leader[r], block[r]), {}
                 if node[r] not in held:  # rows of one id with one text
-                    held[node[r]] = (side[r], np.frombuffer(batch.column(5)[r].as_py(), np.uint64),
+                    held[node[r]] = (side[r], unpacked_set(batch.column(5)[r].as_py(), size),
                                      frozenset(x for x in leaders[r] if x < leader[r]))
         yield result()
 
-    size = 8 * (placed.agg(F.sum("n")).first()[0] or 0)
-    parts = max(placed.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
-    rows = placed.join(sets, "node").select("leader", "block", "node", "side", "leaders", "ngrams")
+    total = 8 * (placed.agg(F.sum("n")).first()[0] or 0)
+    parts = max(placed.sparkSession.sparkContext.defaultParallelism, -(-total // PARTITION_BYTES))
+    rows = placed.join(texts, "node").select("leader", "block", "node", "side", "leaders", "packed")
     return rows.repartition(parts, "leader", "block").sortWithinPartitions("leader", "block") \
         .mapInArrow(find, "a long, b long")
 
@@ -375,23 +376,31 @@ def id_filter(ids: DataFrame) -> tuple[np.ndarray, int]:
     return out, bits
 
 
-def node_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, ngrams) of at least the wanted documents (doc_id). The texts stay
-    where they are: a bitmap of bounded size picks the documents."""
+def node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, packed text) of at least the wanted documents (doc_id). The other
+    texts stay where they are: a bitmap of bounded size picks the documents. A
+    packed text is about a third of the bytes of its set of n-grams."""
     bitmap, bits = id_filter(wanted)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor()
         for batch in batches:
             place = batch.column(2).to_numpy()
             picked = batch.filter(pa.array((shared.value[place >> 3] >> (place & 7) & 1).astype(bool)))
             for part, hashes, bounds in batch_texts(iter([picked]), 1):
-                sets = [shingles(hashes[a:b], size).tobytes() for a, b in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(sequence_hashes(hashes, bounds)[0]), pa.array(sets, pa.binary())],
-                                                 names=["node", "ngrams"])
+                data, ends = text_buffer(part.column(1))
+                packed = [packer.compress(data[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(sequence_hashes(hashes, bounds)[0]), pa.array(packed, pa.binary())],
+                                                 names=["node", "packed"])
 
     placed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
-    return placed.mapInArrow(rows, "node long, ngrams binary")
+    return placed.mapInArrow(rows, "node long, packed binary")
+
+
+def unpacked_set(packed: bytes, size: int) -> np.ndarray:
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return shingles(words(data, np.array([0, len(data)]))[0], size)
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,8 +427,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     wanted = staged(nodes.join(placed.select("node").distinct(), "node").select("doc_id"), "wanted")
     if wanted.isEmpty():
         return _members(rows, None)
-    sets = staged(node_sets(docs, wanted.select("doc_id"), size), "sets")
-    links = staged(links_of(placed, sets, percent), "links")
+    texts = staged(node_texts(docs, wanted.select("doc_id")), "texts")
+    links = staged(links_of(placed, texts, size, percent), "links")
     return _members(rows, None if links.isEmpty() else components(links))
 
 
