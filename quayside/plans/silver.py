@@ -33,6 +33,8 @@ def clean_snapshot(raw: DataFrame, spec: SchemaSpec, *, on_null: str = "fail") -
         raise DataQualityError(f"partition columns missing from the landed data: {missing_parts}")
     if not spec.allow_empty_file and df.isEmpty():
         raise DataQualityError("empty input and allow_empty_file is false")
+    # a column that may be missing and is, is NULL: the table's schema stays
+    df = df.withColumns({c: F.lit(None).cast("string") for c in spec.names if c not in df.columns and c not in spec.partition_columns})
     df = trim_strings(blank_to_null(df))
     df = cast_to_spec(df, spec.types, spec.formats)
     if spec.not_null:

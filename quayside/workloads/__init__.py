@@ -30,6 +30,7 @@ def load_all() -> None:
     # importing the modules fills the registries
     from quayside.workloads import (  # noqa: F401
         w_clean,
+        w_colocated,
         w_html,
         w_keys_cdc,
         w_messages,
