@@ -6,6 +6,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from quayside.functions import geo
+from quayside.operators import geojoin
 from quayside.operators.geojoin import geo_range_join, geo_range_join_nested
 from quayside.plans.risk import risk_fact, risk_summary, with_radius
 
@@ -134,3 +135,18 @@ def test_risk_fact_null_coordinates_keep_one_sentinel_row(spark):
     p = _points(spark, [(10, 20.0, 30.0), (11, 0.0, 10.0)])
     rows = [(r.EARTHQUAKE_KEY, r.PORT_KEY, r.RISK_LEVEL) for r in risk_fact(q, p).collect()]
     assert sorted(rows) == [("7", -1, "NONE"), ("8", -1, "NONE")]
+
+
+def test_centres_of_one_partition_are_dealt_by_the_pairs_they_test(spark, monkeypatch):
+    monkeypatch.setattr(geojoin, "PAIRS_PER_TASK", 50)
+    c = _centres(spark, [(i, float(i % 60), float(i % 90), 7.5) for i in range(200)]).coalesce(1)
+    p = _points(spark, [(i, float(i % 50), float(i % 80)) for i in range(40)])
+    for mode in ("box", "exact"):
+        joined = geo_range_join(c, p, mode=mode)
+        assert joined.rdd.getNumPartitions() > 20
+        got = sorted((r.unid, r.port_key) for r in joined.collect())
+        assert len(got) == len(set(got))
+        if mode == "box":
+            assert got == sorted((r.unid, r.port_key) for r in geo_range_join_nested(c, p).collect())
+    near = geo_range_join(c, p, mode="exact", how="left_semi")
+    assert {r.unid for r in near.collect()} == {u for u, _ in got} and near.columns == c.columns
