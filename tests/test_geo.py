@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 from hypothesis import given, settings
@@ -150,3 +151,30 @@ def test_centres_of_one_partition_are_dealt_by_the_pairs_they_test(spark, monkey
             assert got == sorted((r.unid, r.port_key) for r in geo_range_join_nested(c, p).collect())
     near = geo_range_join(c, p, mode="exact", how="left_semi")
     assert {r.unid for r in near.collect()} == {u for u, _ in got} and near.columns == c.columns
+
+
+def _above(plan: str, mark: str) -> list[list[str]]:
+    """The operators above each line of a plan's tree that holds ``mark``."""
+    lines = [(len(x) - len(x.lstrip(" +-:")), x.lstrip(" +-:")) for x in plan.splitlines()]
+    found = []
+    for i, (depth, text) in enumerate(lines):
+        if mark in text:
+            above = []
+            for d, t in reversed(lines[:i]):
+                if d < depth:
+                    above.append(t)
+                    depth = d
+            found.append(above)
+    return found
+
+
+def test_pairs_of_the_risk_fact_are_neither_shuffled_nor_joined_back(spark):
+    q = spark.createDataFrame([Row(unid=i, time=dt.datetime(2024, 1, 1 + i % 28), lat=float(i % 60), lon=float(i % 90), mag=5.5)
+                               for i in range(100)])
+    p = _points(spark, [(i, float(i % 50), float(i % 80)) for i in range(40)])
+    for opts in ({}, {"deal_by": "quake"}):
+        fact = risk_fact(q, p, **opts)
+        above = _above(fact._jdf.queryExecution().executedPlan().toString(), "Inner, BuildRight")
+        assert len(above) == 1 and not [t for t in above[0] if "Exchange" in t or "Join" in t]
+        keys = [r.EARTHQUAKE_KEY for r in fact.collect()]
+        assert set(keys) == {str(i) for i in range(100)} and len(keys) > 100
