@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from quayside.operators.runs import number_runs, ranged
-from quayside.plans.facts import fact_vessel_port_risk, fact_vessel_trip, worst_by_port_and_day
+from quayside.plans.facts import fact_earthquake_port_risk, fact_vessel_port_risk, fact_vessel_trip, worst_by_port_and_day
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,3 +106,15 @@ def test_registered_facts_have_no_nested_loop(spark):
     for name in ("fact_vessel_trip", "fact_vessel_port_risk"):
         plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not any(bad in plan for bad in ("NestedLoop", "Cartesian", "PythonUDF", "ArrowEvalPython")), name
+
+
+def test_earthquake_port_risk_is_numbered_in_order_of_quake_and_port(spark):
+    rows = [(q, p) for q in (None, "7", "10", "9") for p in range(1, 4 if q != "9" else 2)]
+    fact = spark.createDataFrame(rows[::-1], "EARTHQUAKE_KEY string, PORT_KEY long").repartition(3)
+    keyed = fact_earthquake_port_risk(fact)
+    got = sorted((r.earthquake_port_risk_key, r.earthquake_key, r.port_key) for r in keyed.collect())
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert got == [(i, *r) for i, r in enumerate(want, 1)]
+    # what is ordered as a whole is a row per quake, not the fact
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "rangepartitioning(earthquake_key#" not in plan
