@@ -178,3 +178,16 @@ def test_pairs_of_the_risk_fact_are_neither_shuffled_nor_joined_back(spark):
         assert len(above) == 1 and not [t for t in above[0] if "Exchange" in t or "Join" in t]
         keys = [r.EARTHQUAKE_KEY for r in fact.collect()]
         assert set(keys) == {str(i) for i in range(100)} and len(keys) > 100
+
+
+def test_a_filter_on_the_level_does_not_compute_the_distance_anew(spark):
+    q = spark.createDataFrame([Row(unid=i, time=dt.datetime(2024, 1, 1 + i % 28), lat=float(i % 60), lon=float(i % 90), mag=5.5)
+                               for i in range(100)])
+    p = _points(spark, [(i, float(i % 50), float(i % 80)) for i in range(40)])
+    fact = risk_fact(q, p)
+    high = fact.filter(F.col("RISK_LEVEL") == "HIGH")
+    plan = high._jdf.queryExecution().executedPlan().toString()
+    # once for the pairs; the semi join that finds quakes without a port is not part of a HIGH row
+    assert plan.count("ASIN(") == 1 and "Generate explode(array(" in plan
+    want = sorted((r.EARTHQUAKE_KEY, r.PORT_KEY) for r in fact.collect() if r.RISK_LEVEL == "HIGH")
+    assert want and sorted((r.EARTHQUAKE_KEY, r.PORT_KEY) for r in high.collect()) == want
