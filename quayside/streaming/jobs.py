@@ -14,8 +14,8 @@ from quayside.operators.geojoin import points_broadcastable, prepare_points
 from quayside.operators.cdc import OP_DELETE, apply_changes, latest_changes, live_rows
 from quayside.plans.risk import risk_fact
 from quayside.sinks.bucketed import merge_into_bucketed, read_bucketed, replace_into_bucketed
-from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, cluster_for_write, path_exists, publish, read_marker,
-                                   read_published, write_marker)
+from quayside.sinks.tables import (MAX_RECORDS_PER_FILE, path_exists, publish, read_marker, read_published,
+                                   write_marker)
 
 
 def read_change_stream(spark: SparkSession, fmt: str, path: str | None = None, *,
@@ -181,8 +181,8 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
                 finally:
                     rows.unpersist()
                 return
-            (cluster_for_write(fact, parts)
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # the pairs lie by day and place already: they outnumber the quakes and are written where they are made
+            (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*parts).parquet(fact_path))
         finally:
             batch.unpersist()
