@@ -92,8 +92,11 @@ def last_window_distinct(all_rows: DataFrame, filtered: DataFrame, ts: str, key:
 
 def cross_filter(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` that have a match in (an already filtered) ``right``:
-    a both-directions relationship propagating a filter, as a semi join."""
-    return left.join(right, on, "left_semi")
+    a both-directions relationship propagating a filter, as a semi join.
+    ``right`` is reduced to its keys in the tasks that hold it, so what is
+    shuffled does not grow with its rows per key."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return left.join(right.select(*keys).distinct(), keys, "left_semi")
 
 
 def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str, str]],

@@ -135,3 +135,15 @@ def test_incremental_and_batch_scd2_agree(spark):
     batch = scd2_from_snapshots(spark.createDataFrame(rows, "k int, s date, v string"), ["k"], "s", ["v"])
     assert incremental == sorted(tuple(r) for r in batch.select("k", "v", "effective_from", "effective_to",
                                                                  "is_current").collect())
+
+
+def test_cross_filter_shuffles_a_key_once_a_task(spark):
+    from quayside.operators.metrics import cross_filter
+
+    left = spark.createDataFrame([(i, i % 7) for i in range(50)] + [(50, None)], "v long, k long")
+    right = spark.range(1000).select((F.col("id") % 3).alias("k"), "id").union(spark.createDataFrame([(None, 1)], "k long, id long"))
+    got = cross_filter(left, right, "k").select("v", "k")
+    assert sorted(map(tuple, got.collect())) == [(i, i % 7) for i in range(50) if i % 7 < 3]
+    lines = cross_filter(left, right.hint("merge"), "k")._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = lines[[i for i, x in enumerate(lines) if "LeftSemi" in x][0]:]
+    assert any("HashAggregate" in x for x in below)
