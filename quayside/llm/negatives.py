@@ -14,7 +14,9 @@ the first time are scored whole by random access. No row still unmet can score
 more than the threshold, the sum of anchor times last value read; a search
 ends when the threshold is strictly below the kth score of each of the
 anchor's windows (or the window's lower end while it holds fewer), so ties are
-all seen.
+all seen, or when every row has been met. The anchors that come to a shard read
+its lists together, as many as keep ``SCORES`` scores: a row is fetched once
+for all that still search, each of which has its own threshold.
 
 Shards are visited in two rounds. The threshold before any access, from a
 shard's largest and smallest value of each dimension, is known for all shards:
@@ -35,7 +37,7 @@ beyond raises an error.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,7 @@ from quayside.llm.vectors import matrix
 SHARD_ROWS = 16384
 QUERY_ROWS = 8192
 SUMMARY_BYTES = 64 << 20
+SCORES = 1 << 22  # held at a time
 FIRST_DEPTH = 8  # rows read from each list at first; doubled from round to round
 LEAST, MOST = int(np.iinfo(np.int64).min), int(np.iinfo(np.int64).max)
 
@@ -62,50 +65,58 @@ class SortedLists:
         self.ids, self.labels, self.rows = ids, labels, rows
         self.order = np.argsort(rows, axis=0, kind="stable").astype(np.int32)
         self.values = np.take_along_axis(rows, self.order, 0)
-        self.seen = np.zeros(len(ids), bool)
+        self.codes, names = pd.factorize(labels)
+        self.names = {name: code for code, name in enumerate(names)}
+        self.seen, self.depth = np.zeros(len(ids), bool), 0  # rows met and entries read of each list by the last search
 
-    def sorted_access(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-        """Rounds of rows not met before, with the threshold after each."""
+    def search(self, query: int, label: str, anchor: np.ndarray, windows: list[tuple[int, int, int]], same: bool,
+               k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`search_all` of one anchor."""
+        return self.search_all([query], [label], anchor[None], [windows], same, k)[0]
+
+    def search_all(self, queries: Sequence[int], labels: Sequence[str], anchors: np.ndarray,
+                   windows: list[list[tuple[int, int, int]]], same: bool, k: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+        """Per anchor and window (lowest score, highest score, score that its
+        kth is known to reach) the ids and scores of its k best rows here."""
         n = len(self.ids)
-        top, bottom = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
-        if not len(top) and not len(bottom):
-            yield np.arange(n), LEAST
-            return
+        codes = [self.names.get(x, -1) for x in labels]
+        least = [[max(lo, floor) for lo, _, floor in w] for w in windows]  # lowest scores that still count
+        best = [[(np.zeros(0, np.int64), np.zeros(0, self.rows.dtype)) for _ in w] for w in windows]
         self.seen[:] = False
-        depth, end = 0, min(FIRST_DEPTH, n)
-        while depth < n:
-            met = np.concatenate([self.order[n - end:n - depth, top].ravel(), self.order[depth:end, bottom].ravel()])
-            new = np.unique(met[~self.seen[met]])
+        going, self.depth, end = np.arange(len(codes)), 0, min(FIRST_DEPTH, n)
+        while len(going):
+            asked = anchors[going]
+            top, bottom = np.flatnonzero((asked > 0).any(0)), np.flatnonzero((asked < 0).any(0))
+            met = np.full(n, not len(top) and not len(bottom))
+            met[self.order[n - end:n - self.depth, top]] = True  # sorted access
+            met[self.order[self.depth:end, bottom]] = True
+            new = np.flatnonzero(met & ~self.seen)
             self.seen[new] = True
-            threshold = anchor[top] @ self.values[n - end, top] + anchor[bottom] @ self.values[end - 1, bottom]
-            yield new, LEAST if end == n else int(threshold)
-            depth, end = end, min(2 * end, n)
-
-    def search(self, query: int, label: str, anchor: np.ndarray, windows: list[tuple[int, int, int]], same: bool,
-               k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per window (lowest score, highest score, score that its kth is known
-        to reach) the ids and scores of its k best rows here."""
-        scores, ids = np.zeros(0, self.rows.dtype), np.zeros(0, np.int64)
-        least, most = min(max(lo, floor) for lo, _, floor in windows), max(hi for _, hi, _ in windows)
-        places = [slice(0, 0)] * len(windows)
-        for new, threshold in self.sorted_access(anchor):
-            new = new[((self.labels[new] == label) == same) & (self.ids[new] != query)]
-            got = self.rows[new] @ anchor  # random access
-            inside = (got >= least) & (got <= most)
-            if inside.any():
-                scores, ids = np.concatenate([scores, got[inside]]), np.concatenate([ids, self.ids[new[inside]]])
-                order = np.lexsort((ids, -scores))
-                scores, ids = scores[order], ids[order]
-                falling = -scores
-                places = []
-                for lo, hi, floor in windows:
-                    first = int(np.searchsorted(falling, -hi))
-                    end = int(np.searchsorted(falling, -max(lo, floor), side="right"))
-                    places.append(slice(first, max(first, min(first + k, end))))
-            if all(threshold < (int(scores[p.stop - 1]) if p.stop - p.start == k else max(lo, floor))
-                   for (lo, _, floor), p in zip(windows, places)):
+            threshold = np.maximum(asked, 0) @ self.values[n - end] + np.minimum(asked, 0) @ self.values[end - 1]
+            got = asked @ self.rows[new].T  # random access
+            for at, scores in zip(going, got):
+                held = np.flatnonzero(scores >= min(least[at]))
+                held = held[((self.codes[new[held]] == codes[at]) == same) & (self.ids[new[held]] != queries[at])]
+                if len(held):
+                    self._keep(best[at], least[at], windows[at], self.ids[new[held]], scores[held], k)
+            self.depth = end
+            if self.seen.all():  # no row is left that a list could show
                 break
-        return [(ids[p], scores[p]) for p in places]
+            end = min(2 * end, n)
+            going = going[[bound >= min(least[at]) for at, bound in zip(going, threshold)]]
+        return best
+
+    @staticmethod
+    def _keep(best, least, windows, ids: np.ndarray, scores: np.ndarray, k: int) -> None:
+        """Merge rows into the k best of each window, and raise the scores that count."""
+        for w, (_, most, _) in enumerate(windows):
+            inside = (scores >= least[w]) & (scores <= most)
+            if inside.any():
+                both = np.concatenate([best[w][0], ids[inside]]), np.concatenate([best[w][1], scores[inside]])
+                order = np.lexsort((both[0], -both[1]))[:k]
+                best[w] = both[0][order], both[1][order]
+                if len(order) == k:
+                    least[w] = max(least[w], int(best[w][1][-1]))
 
 
 def _exact(rows: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,17 +126,30 @@ def _exact(rows: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows.astype(kind), asks.astype(kind)
 
 
+def _by_label(labels: np.ndarray, asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the rows and of the anchors of each label that has both."""
+    asked = pd.Series(np.arange(len(asking))).groupby(asking).indices
+    held = pd.Series(np.arange(len(labels))).groupby(labels).indices
+    return ((held[name], places) for name, places in asked.items() if name in held)
+
+
 def _found(documents: pd.DataFrame, asks: pd.DataFrame, same: bool, k: int) -> pd.DataFrame:
     if not len(documents) or not len(asks):
         return pd.DataFrame({"query": [], "key": [], "id": [], "score": []}, dtype="int64")
     rows, anchors = _exact(matrix(documents["vec"]), matrix(asks["vec"]))
-    lists = SortedLists(documents["id"].to_numpy(), documents["label"].to_numpy(), rows)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-    columns = (asks[c] for c in ("query", "label", "key", "lo", "hi", "floor"))
-    for anchor, (query, label, key, lo, hi, floor) in zip(anchors, zip(*columns)):
-        windows = list(zip(*(map(int, x) for x in (lo, hi, floor))))
-        for at, (ids, scores) in zip(key, lists.search(query, label, anchor, windows, same, k)):
-            out.append((np.full(len(ids), query), np.full(len(ids), at), ids, scores))
+    ids, labels, asking = documents["id"].to_numpy(), documents["label"].to_numpy(), asks["label"].to_numpy()
+    queries, keys = asks["query"].to_numpy(), asks["key"].to_numpy()
+    windows = [[tuple(map(int, w)) for w in zip(*x)] for x in zip(asks["lo"], asks["hi"], asks["floor"])]
+    out = [(np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0))]
+    # rows of other labels are left out of the lists where none of them can be asked for
+    for held, asked in _by_label(labels, asking) if same else [(np.arange(len(ids)), np.arange(len(asks)))]:
+        lists = SortedLists(ids[held], labels[held], rows[held])
+        step = max(1, SCORES // len(held))
+        for some in (asked[at:at + step] for at in range(0, len(asked), step)):
+            found = lists.search_all(queries[some], asking[some], anchors[some], [windows[i] for i in some], same, k)
+            for i, best in zip(some, found):
+                for at, (near, scores) in zip(keys[i], best):
+                    out.append((np.full(len(near), queries[i]), np.full(len(near), at), near, scores))
     return pd.DataFrame({name: np.concatenate([o[c] for o in out]).astype(np.int64)
                          for c, name in enumerate(("query", "key", "id", "score"))})
 

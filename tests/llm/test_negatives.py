@@ -116,3 +116,25 @@ def test_query(spark):
     rows = [(r.vec_id, list(r.embedding), (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label)
             for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     assert sorted(map(tuple, QUERIES["op11_hard_negatives"](spark, SMALL).collect())) == brute(rows)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_anchors_read_the_lists_together(same):
+    """All anchors of a shard in one pass give what each gives alone, and the
+    lists are left once every row has been met: unclustered vectors of 64
+    dimensions are all met long before the lists end."""
+    rng = np.random.default_rng(4)
+    rows = np.floor(256 * rng.standard_normal((4096, 64)))
+    rows[50:90] = rows[49]  # ties
+    lists = SortedLists(np.arange(4096), np.array(["a", "b", "c"], object)[np.arange(4096) % 3], rows)
+    anchors = np.concatenate([rows[40:56], np.zeros((1, 64)), rng.integers(-300, 300, (3, 64))])
+    queries, labels = [*range(40, 56), -1, -1, -1, -1], [*lists.labels[40:56], "a", "z", "b", "c"]
+    windows = [[(LEAST, MOST, LEAST)], [(0, 10**6, LEAST), (-10**5, 10**5, 0)]] * 10
+    found = lists.search_all(queries, labels, anchors, windows, same, 5)
+    assert lists.seen.all() and lists.depth < 1024
+    for query, label, anchor, window, got in zip(queries, labels, anchors, windows, found):
+        scores = rows @ anchor
+        for (lo, hi, floor), (ids, best) in zip(window, got):
+            fit = np.flatnonzero(((lists.labels == label) == same) & (lists.ids != query) & (scores >= max(lo, floor)) & (scores <= hi))
+            want = fit[np.lexsort((fit, -scores[fit]))[:5]]
+            assert ids.tolist() == want.tolist() and best.tolist() == scores[want].tolist()
