@@ -56,23 +56,38 @@ def dated_file_date(prefix: str, path_col: str = "_source_path"):
     return F.to_date(F.nullif(F.regexp_extract(F.col(path_col), pat, 1), F.lit("")), "yyyy-MM-dd")
 
 
+def file_lines(spark: SparkSession, path: str, partitions: bool = True) -> DataFrame:
+    """Lines of the files under ``path``, with their file, block and place."""
+    reader = spark.read if partitions else spark.read.option("recursiveFileLookup", True)
+    return reader.text(path).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+                                    F.monotonically_increasing_id().alias("_at"))
+
+
+def file_starts(lines: DataFrame) -> DataFrame:
+    """Place of each file's first line. The place alone is aggregated, one
+    number a file: with the line beside it Spark sorts all lines by file."""
+    return lines.filter("_block = 0").groupBy("_path").agg(F.min("_at").alias("_at"))
+
+
 def read_csv_by_name(spark: SparkSession, path: str, partitions: bool = True) -> DataFrame:
     """CSV files with a header under ``path``, every column a string, by the
     names in each file's own header. Quoted values may hold separators, quotes
     (doubled) and line breaks, and a record equal to the header is data.
 
-    One scan finds the first line of each file; files with one header are then
+    One scan finds where each file begins and one fetches those lines, in
+    memory that does not grow with the files; files with one header are then
     read together by Spark's own reader, so each file is parsed once, and the
     groups are joined by column name. ``_source_path`` is a row's file;
     ``partitions`` adds the columns of the folders' names. The driver holds the
     files' paths, as it does to plan any scan."""
-    reader = spark.read if partitions else spark.read.option("recursiveFileLookup", True)
-    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
-                                     F.monotonically_increasing_id().alias("_at"))
-    first = lines.filter("_block = 0").groupBy("_path").agg(F.min_by("value", "_at").alias("_head"))
+    lines = file_lines(spark, path, partitions)
+    starts = file_starts(lines).collect()
+    heads = lines.filter(F.col("_at").isin([r["_at"] for r in starts])).select("_path", "value").collect() if starts else []
+    if sorted(r["_path"] for r in heads) != sorted(r["_path"] for r in starts):
+        raise RuntimeError(f"the files under {path} changed while their headers were read")
     groups: dict[str, list[str]] = {}
-    for r in first.collect():
-        groups.setdefault(r["_head"], []).append(unquote(r["_path"]))
+    for r in heads:
+        groups.setdefault(r["value"], []).append(unquote(r["_path"]))
     out = None
     for head in sorted(groups):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in next(csv.reader([head]))])

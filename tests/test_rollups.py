@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quayside.operators.bitmaps import bitmap_rollup, distinct_in, id_numbers
 from quayside.operators.fingerprint import compare_content, fingerprint, merge_fingerprints
 from quayside.session import scratch_path
-from quayside.sources.files import read_csv_by_name
+from quayside.sources.files import file_lines, file_starts, read_csv_by_name
 
 KIND = "p int, a long, b string, c double"
 
@@ -79,3 +79,16 @@ def test_csv_records_keep_their_breaks(spark):
         out.close()
     got = sorted(((r.k, r.note, r.more) for r in read_csv_by_name(spark, src).collect()), key=str)
     assert got == [("1", 'x, "y"\nz', None), ("2", " plain ", None), ("3", "n3", None), ("k", "note", None)]
+
+
+def test_headers_are_found_without_a_sort(spark, tmp_path):
+    """Of every file the first line, whatever the blocks of a task; nothing
+    but a number a file is aggregated, so no task sorts or holds the lines."""
+    for i in range(12):
+        (tmp_path / f"f{i}.csv").write_text(("b,a\n" if i % 3 else "a,b\n") + f"{i},x\n" * (1 + 40 * i))
+    lines = file_lines(spark, str(tmp_path))
+    plan = file_starts(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    got = read_csv_by_name(spark, str(tmp_path)).groupBy("_source_path").agg(F.count("*").alias("n"), F.max("a").alias("a"), F.max("b").alias("b"))
+    want = {(f"f{i}.csv", 1 + 40 * i, *(("x", str(i)) if i % 3 else (str(i), "x"))) for i in range(12)}
+    assert {(r[0].rsplit("/", 1)[1], r.n, r.a, r.b) for r in got.collect()} == want
