@@ -96,15 +96,20 @@ def extract_listing_rows(pages: DataFrame, *, html_col: str = "html", keep: list
         absolute_url(F.col("_td")[0]["link"], base_url).alias("detail_link"))
 
 
-def _port_fields(ev: Column, inside: Column, anchor: Column, second: Column, base_url: str) -> dict[str, Column]:
-    """Port, country, link and arrival text of a departure or destination block."""
-    has_link, blank = anchor.isNotNull(), F.lit("")
+def _port_texts(inside: Column, anchor: Column, second: Column, base_url: str) -> dict[str, Column]:
+    """Text of the link, text of the second element and target of a departure
+    or destination block."""
     linked = F.array_join(strings(between(inside, anchor["p"], first(inside, lambda e: (e["p"] > anchor["p"]) & closes("a")(e))["p"])), "")
-    second_text = F.when(second.isNotNull(), text_of(between(inside, second["p"], end_of(inside, second["p"], "div"))))
-    parts = F.split(F.when(has_link, linked).otherwise(F.coalesce(second_text, blank)), ",")
-    part = lambda i: F.trim(F.coalesce(F.try_element_at(parts, F.lit(i)), blank))
-    return {"port": part(1), "country": part(2), "eta": second_text,
-            "link": F.coalesce(absolute_url(attribute(anchor, "href"), base_url), blank)}
+    return {"linked": F.when(anchor.isNotNull(), linked),
+            "eta": F.when(second.isNotNull(), text_of(between(inside, second["p"], end_of(inside, second["p"], "div")))),
+            "link": F.coalesce(let(attribute(anchor, "href"), lambda link: absolute_url(link, base_url)), F.lit(""))}
+
+
+def _port_parts(linked: Column, eta: Column) -> dict[str, Column]:
+    """Port and country from the text of the link, else of the second element."""
+    parts = F.split(F.coalesce(linked, eta, F.lit("")), ",")
+    part = lambda i: F.trim(F.coalesce(F.try_element_at(parts, F.lit(i)), F.lit("")))
+    return {"port": part(1), "country": part(2)}
 
 
 def extract_vessel_details(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None,
@@ -138,16 +143,15 @@ def extract_vessel_details(pages: DataFrame, *, html_col: str = "html", keep: li
     marks["_status"] = let(label["p"], lambda p: first(F.col("_tab"), lambda e: (e["p"] > p) & opens("td")(e)))
     marks["_icon"] = attribute(first(F.col("_tab"), opens("svg", *REPORT_ICON_CLASS.split())), "data-title")
     df = step(df, [*keep, "error", "_dep", "_dst", "_tab"], **marks)
-    fields = {}
-    for b in ("_dep", "_dst"):
-        got = _port_fields(ev, F.col(b), F.col(f"{b}_a"), F.col(f"{b}_2"), base_url)
-        fields |= {f"{b}_{n}": c for n, c in got.items()}
+    blocks = ("_dep", "_dst")
+    texts = {f"{b}_{n}": c for b in blocks for n, c in _port_texts(F.col(b), F.col(f"{b}_a"), F.col(f"{b}_2"), base_url).items()}
     status_end = first(F.col("_tab"), lambda e: (e["p"] > F.col("_status")["p"]) & e["name"].isin("td", "th", "tr", "table"))["p"]
-    fields["_reported"] = F.array_join(strings(between(F.col("_tab"), F.col("_status")["p"], status_end)), " ")
-    df = step(df, [*keep, "error", "_icon"], **fields)
+    texts["_reported"] = F.array_join(strings(between(F.col("_tab"), F.col("_status")["p"], status_end)), " ")
+    df = step(df, [*keep, "error", "_icon"], **texts)
+    parts = {f"{b}_{n}": c for b in blocks for n, c in _port_parts(F.col(f"{b}_linked"), F.col(f"{b}_eta")).items()}
     times = {"_dep_eta": "departure", "_dst_eta": "arrival", "_icon": "report"}
     found = {f"_{n}_{i}": m for c, n in times.items() for i, m in enumerate(eta_matches(F.col(c)))}
-    df = step(df, [*keep, "error", "_reported", *[f"{b}_{x}" for b in ("_dep", "_dst") for x in ("port", "country", "link")]], **found)
+    df = step(df, [*keep, "error", "_reported", *[f"{b}_link" for b in blocks]], **parts, **found)
     date = lambda n: F.coalesce(eta_from_matches([F.col(f"_{n}_0"), F.col(f"_{n}_1")], as_of_year), blank)
     return df.select(
         *keep,

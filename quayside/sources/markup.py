@@ -25,7 +25,6 @@ TOKEN = (r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:
          r"|</?[a-z](?:[^>\"']++|\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)|<[!?/][^>]*+(?:>|\z)|[^<]++|<")
 TAGS = ("table", "tr", "td", "th", "div", "a", "svg")  # with events; other tags only part text
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-LAST = 1 << 30
 Test = Callable[[Column], Column]
 
 
@@ -53,13 +52,13 @@ def attribute(e: Column, name: str) -> Column:
     The attributes before it are stepped over one by one, so its name inside
     another's quotes does not count."""
     value = r"(\"[^\"]*\"|'[^']*'|[^\s>]*)"
-    found = F.regexp_extract(e["t"], rf"(?is)^<[a-z0-9]+(?:[\s/]+[^\s=>/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+))?)*?[\s/]+{name}\s*=\s*{value}", 1)
+    found = lambda t: F.regexp_extract(t, rf"(?is)^<[a-z0-9]+(?:[\s/]+[^\s=>/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+))?)*?[\s/]+{name}\s*=\s*{value}", 1)
 
     def bare(v: Column) -> Column:
         quoted = v.startswith('"') | v.startswith("'")
         return F.when(v != "", decode_entities(F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)))
 
-    return F.when(F.contains(e["t"], F.lit("=")), let(found, bare))
+    return let(e["t"], lambda t: F.when(F.contains(t, F.lit("=")), let(found(t), bare)))
 
 
 EVENT = "struct<p:int,kind:string,name:string,t:string>"
@@ -108,9 +107,10 @@ def first(ev: Column, test: Test) -> Column:
 def opens(name: str, *classes: str) -> Test:
     """An element of that name with these classes, in any order."""
     def test(e: Column) -> Column:
-        ok = e["kind"].isin("open", "both") & (e["name"] == name)
-        for c in classes:  # cheap test first
+        ok = e["name"] == name  # cheap and rare things first
+        for c in classes:
             ok = ok & F.contains(e["t"], F.lit(c))
+        ok = ok & (e["kind"] != "close") & (e["kind"] != "text")
         if classes:
             ok = ok & let(F.split(F.coalesce(attribute(e, "class"), F.lit("")), r"\s+"),
                           lambda held: F.size(F.array_intersect(held, F.array(*map(F.lit, classes)))) == len(set(classes)))
@@ -119,14 +119,22 @@ def opens(name: str, *classes: str) -> Test:
 
 
 def closes(name: str) -> Test:
-    return lambda e: (e["kind"] == "close") & (e["name"] == name)
+    return lambda e: (e["name"] == name) & (e["kind"] == "close")
 
 
 def between(ev: Column, start: Column, end: Column) -> Column:
     """Events after ``start`` and before ``end`` (places); empty when ``start``
-    is NULL, up to the last when ``end`` is."""
-    bounds = F.struct(F.coalesce(start, F.lit(LAST)).alias("start"), F.coalesce(end, F.lit(LAST)).alias("end"))
-    return let(bounds, lambda b: F.filter(ev, lambda e: (e["p"] > b["start"]) & (e["p"] < b["end"])))
+    is NULL, up to the last when ``end`` is. The places of an array, or of a
+    part of one, have no gaps, so the part is cut out and not searched for."""
+    def cut(b: Column) -> Column:
+        first_place = F.try_element_at(b["ev"], F.lit(1))["p"]
+        skip = F.greatest(b["start"] + 1 - first_place, F.lit(0))
+        size = F.size(b["ev"])
+        last = F.least(F.coalesce(b["end"] - first_place, size), size)
+        held = b["start"].isNotNull() & (size > 0)
+        return F.when(held, F.slice(b["ev"], skip + 1, F.greatest(last - skip, F.lit(0)))).otherwise(F.slice(b["ev"], F.lit(1), F.lit(0)))
+
+    return let(F.struct(ev.alias("ev"), start.alias("start"), end.alias("end")), cut)
 
 
 def end_of(ev: Column, start: Column, name: str) -> Column:
@@ -136,7 +144,7 @@ def end_of(ev: Column, start: Column, name: str) -> Column:
         depth = acc["depth"] + F.when(acc["depth"] == 0, 0).when(e["kind"] == "open", 1).otherwise(-1)
         return F.struct(depth.alias("depth"), F.when(acc["depth"] > 0, e["p"]).otherwise(acc["at"]).alias("at"))
 
-    tags = F.filter(ev, lambda e: (e["p"] > start) & (e["name"] == name) & e["kind"].isin("open", "close"))
+    tags = F.filter(ev, lambda e: (e["name"] == name) & (e["p"] > start) & ((e["kind"] == "open") | (e["kind"] == "close")))
     state = F.struct(F.lit(1).alias("depth"), F.lit(-1).alias("at"))
     return F.when(start.isNotNull(), F.aggregate(tags, state, add, lambda acc: F.when(acc["depth"] == 0, acc["at"])))
 

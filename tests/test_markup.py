@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.sources.html import extract_listing_rows, extract_vessel_details, with_port_coordinates
-from quayside.sources.markup import attribute, end_of, first, opens, page_events, strings
+from quayside.sources.markup import attribute, between, end_of, first, opens, page_events, strings
 
 DETAIL = """<div class="vi__r1 vi__sbt"><a class="_npNa" href="/ports/A">Santos, Brazil</a><div>x</div><div>ETA: Aug 29 10:00</div></div>
 <table><tr><td>Navigation Status</td><td>Moored</td></tr></table>"""
@@ -73,3 +73,23 @@ def test_a_page_is_read_once(spark):
         if re.match(r"[\s:+-]*(Filter|Join)", line):
             assert "regexp" not in line and len(line) < 2000, line[:200]
     assert len(plan) < 80_000
+
+
+def test_texts_of_a_block_are_read_once(spark):
+    """The plan joins the texts of a link, of a second element (two blocks)
+    and of the status once each, whatever is made of them."""
+    pages = spark.createDataFrame([(1, "<p>")], "page_id int, html string")
+    plan = extract_vessel_details(pages, keep=["page_id"], as_of_year=2026)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join(") == 5 and "array_position(" not in plan
+
+
+def test_parts_are_cut_by_place(spark):
+    """Any part of an array, and of a part of one, by its places."""
+    ev = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.struct(i.alias("p")))
+    bounds = [None, -1, 0, 2, 4, 5, 9]
+    rows = spark.createDataFrame([(a, b, c, d) for a in bounds for b in bounds for c in (None, -1, 1, 3) for d in (None, 1, 4, 9)], "a int, b int, c int, d int")
+    cut = between(between(ev, F.col("a"), F.col("b")), F.col("c"), F.col("d"))
+    last = 1 << 30
+    for r in rows.select("*", cut["p"].alias("got")).collect():
+        inside = [p for p in range(6) if r.a is not None and r.a < p < (last if r.b is None else r.b)]
+        assert r.got == [p for p in inside if r.c is not None and r.c < p < (last if r.d is None else r.d)], r
