@@ -58,6 +58,7 @@ def run_stream(df: DataFrame, on_batch: Callable[[DataFrame, int], None], checkp
 
 
 _BATCH_MARK = "_LAST_BATCH"
+MONTHS_OPEN = 12  # files that a task of the risk stream holds open; with more months its rows are sorted by month
 
 
 def checkpoint_scope(spark: SparkSession, checkpoint: str) -> str:
@@ -152,9 +153,9 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
     opts = dict(risk_options or {})
     # the static side of every batch's join, placed on the grid once; kept
     # in memory only when it passed the broadcast bound
-    prepared = prepare_points(port_cols, mode=opts.get("mode", "box"))
+    prepared = prepare_points(port_cols, mode=opts.get("mode", "box"), broadcast=broadcast_ok)
     if broadcast_ok:
-        prepared = prepared.persist()
+        prepared = prepared.coalesce(8).persist()
     parts = ["EVENT_YEAR", "EVENT_MONTH", "run", "batch_id"]
     scope = checkpoint_scope(quakes.sparkSession, checkpoint)
 
@@ -181,7 +182,9 @@ def stream_risk(quakes: DataFrame, ports: DataFrame, fact_path: str, checkpoint:
                 finally:
                     rows.unpersist()
                 return
-            # the pairs lie by day and place already: they outnumber the quakes and are written where they are made
+            # the pairs lie by day and place already: they outnumber the quakes and are written where they are made,
+            # unsorted, to as many files at a time as a task has months (the session is the stream's own)
+            b.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", MONTHS_OPEN)
             (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*parts).parquet(fact_path))
         finally:

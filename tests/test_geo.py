@@ -191,3 +191,47 @@ def test_a_filter_on_the_level_does_not_compute_the_distance_anew(spark):
     assert plan.count("ASIN(") == 1 and "Generate explode(array(" in plan
     want = sorted((r.EARTHQUAKE_KEY, r.PORT_KEY) for r in fact.collect() if r.RISK_LEVEL == "HIGH")
     assert want and sorted((r.EARTHQUAKE_KEY, r.PORT_KEY) for r in high.collect()) == want
+
+
+def test_points_and_boxes_out_of_range_equal_the_nested_loop(spark):
+    c = _centres(spark, [(1, 10.0, 179.5, 6.5), (2, 89.0, 0.0, 7.5), (3, -10.0, -179.0, 8.5), (4, 5.0, 182.0, 5.5), (5, 1.0, 2.0, 3.0)])
+    p = _points(spark, [(1, 10.0, 181.0), (2, 90.5, 10.0), (3, -10.0, -181.5), (4, 5.5, 182.5), (5, 5.0, 184.0), (6, 1.2, 2.1), (7, None, 2.0), (8, 1.0, None)])
+    grid = {(r.unid, r.port_key) for r in geo_range_join(c, p, mode="box").collect()}
+    assert grid == {(r.unid, r.port_key) for r in geo_range_join_nested(c, p).collect()}
+    assert {(1, 1), (3, 3), (4, 4), (5, 6)} <= grid
+
+
+def test_points_of_a_cell_are_one_row_or_few_where_they_are_many(spark, monkeypatch):
+    c = _centres(spark, [(i, 10.0 + i / 10, 20.0, 6.0 + i % 3) for i in range(20)])
+    p = _points(spark, [(i, 10.0 + i / 1000, 20.0 + i / 1000) for i in range(300)])
+    want = sorted((r.unid, r.port_key) for r in geo_range_join_nested(c, p).collect())
+    prepared = geojoin.prepare_points(p)
+    assert prepared.count() <= 3 and prepared.agg(F.sum(F.size("_g_points"))).first()[0] == 900
+    monkeypatch.setattr(geojoin, "POINTS_PER_PACK", 20)
+    cut = geojoin.prepare_points(p, broadcast=False)
+    assert cut.agg(F.max(F.size("_g_points"))).first()[0] < 60
+    for given in ({"broadcast_points": True, "prepared_points": prepared}, {"broadcast_points": False}):
+        assert sorted((r.unid, r.port_key) for r in geo_range_join(c, p, **given).collect()) == want
+
+
+def test_what_a_pair_has_of_its_quake_is_made_before_the_join(spark):
+    q = spark.createDataFrame([Row(unid=i, time=dt.datetime(2024, 1, 1 + i % 28), lat=float(i % 60), lon=float(i % 90), mag=5.5 + i % 3)
+                               for i in range(100)] + [Row(unid=100, time=dt.datetime(2024, 2, 1), lat=0.0, lon=0.0, mag=None)])
+    p = _points(spark, [(i, float(i % 50), float(i % 80)) for i in range(40)])
+    fact = risk_fact(q, p, reason_format="rounded", round_digits=6)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    above = _above(plan, "format_string(Earthquake of magnitude %.1f at , mag")
+    assert above and all("Join" in " ".join(x) for x in above)
+    rows = risk_fact(q, p).join(q.select(F.col("unid").cast("string").alias("EARTHQUAKE_KEY"), "mag"), "EARTHQUAKE_KEY").filter("PORT_KEY >= 0") \
+        .select("EARTHQUAKE_KEY", "PORT_KEY", F.round("DISTANCE_KM", 6).alias("d"),
+                F.format_string("Earthquake of magnitude %.1f at %.3f km from port", "mag", "DISTANCE_KM").alias("t")).collect()
+    got = fact.filter("PORT_KEY >= 0").select("EARTHQUAKE_KEY", "PORT_KEY", F.col("DISTANCE_KM").alias("d"), F.col("RISK_REASON").alias("t")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, rows)) and any(r.EARTHQUAKE_KEY == "100" for r in got)
+
+
+def test_a_quake_whose_ports_are_all_far_is_not_alone(spark):
+    q = spark.createDataFrame([Row(unid=i, time=dt.datetime(2024, 1, 1), lat=0.0, lon=10.0 * i, mag=m) for i, m in enumerate([8.5, 3.0, 7.5, 6.5])])
+    p = _points(spark, [(1, 0.0, 15.0), (2, 0.0, 20.3)])
+    for opts in ({}, {"deal_by": "quake"}, {"broadcast_ports": False}):
+        rows = {(r.EARTHQUAKE_KEY, r.PORT_KEY) for r in risk_fact(q, p, **opts).collect()}
+        assert rows == {("0", 1), ("1", -1), ("2", 1), ("2", 2), ("3", -1)}
